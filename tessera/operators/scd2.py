@@ -27,8 +27,14 @@ UNKNOWN_NAME = "Unknown"
 
 
 def _ts(value) -> Column:
+    """Run timestamp as a Column; Python values are read in the session time
+    zone (not the driver machine's)."""
     if isinstance(value, Column):
         return value.cast("timestamp")
+    if isinstance(value, _dt.datetime):
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    elif isinstance(value, _dt.date):
+        value = value.isoformat()
     return F.lit(value).cast("timestamp")
 
 
