@@ -201,6 +201,10 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, fact_code: Column | str,
                       F.col("valid_to").alias("__vt"), *[F.col(c).alias(f"__d_{c}") for c in wanted])
     if broadcast_dim:
         dsel = F.broadcast(dsel)
+    if unknown is not None:
+        # a NULL code can only end at the unknown member; giving it that code
+        # keeps NULL keys from piling up in one shuffle partition
+        code = F.coalesce(code.cast("string"), F.lit(UNKNOWN_CODE))
     f = fact.withColumn("__code", code).withColumn("__date", d.cast("date"))
     cond = ((F.col("__code") == F.col("__dim_code")) & (F.col("__date") >= F.col("__vf"))
             & (F.col("__date") < F.col("__vt")))

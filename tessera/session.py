@@ -32,6 +32,7 @@ PLANNING_CONF = {
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -82,3 +83,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables, under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: the lineage is cut, the rows are stored columnar and compressed, and
+    a lost executor costs a re-read instead of a recomputation."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
