@@ -83,14 +83,14 @@ def split_code_label(c: ColumnOrName, sep: str = ":") -> tuple[Column, Column]:
 def pg_initcap(c: ColumnOrName) -> Column:
     """Title case where a word starts after *any* non-alphanumeric character.
 
-    Spark's ``initcap`` splits on spaces only (``O'halloran``); this follows the
-    convention of capitalising after apostrophes, hyphens and dots as well
-    (``O'Halloran``). Runs of letters/digits and runs of other characters are
-    split apart, each run's first character upper-cased, then re-joined.
+    Spark's ``initcap`` starts words after spaces only (``O'halloran``); this
+    follows the convention of capitalising after apostrophes, hyphens and
+    dots as well (``O'Halloran``). A space is put after every non-alphanumeric
+    character, ``initcap`` is applied, and exactly those spaces are removed
+    again: built-in expressions only, so it stays in generated code.
     """
-    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0))
-    cased = F.transform(runs, lambda t: F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30)))
-    return F.when(_col(c).isNotNull(), F.array_join(cased, ""))
+    spaced = F.regexp_replace(F.lower(_col(c)), r"([^\p{L}\p{N}])", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), r"([^\p{L}\p{N}]) ", "$1")
 
 
 def decode(c: ColumnOrName, mapping: Sequence[tuple[object, object]], default: object = None) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.columns import financial_year, iso_day_of_week, surrogate_key
+from tessera.sources.seeds import local_table
 
 
 def _date(v) -> Column:
@@ -86,12 +87,12 @@ def make_bands(spark: SparkSession, start: int, width: int, count: int, open_max
         hi = open_max if last else lo + width - 1
         label = f"{lo}+" if last else f"{lo}-{hi}"
         rows.append((f"{prefix}{lo:02d}", label, lo, hi, i + 1))
-    return spark.createDataFrame(rows, BAND_SCHEMA)
+    return local_table(spark, rows, BAND_SCHEMA)
 
 
 def band_join(df: DataFrame, value: Column | str, bands: DataFrame, code_col: str = "band_code",
               lo: str = "min_value", hi: str = "max_value", out_col: str | None = None,
-              how: str = "left", max_members: int = 100_000) -> DataFrame:
+              how: str = "left", max_members: int = 100_000, max_bands: int = 10_000) -> DataFrame:
     """Attach the band whose closed interval ``[lo, hi]`` holds the value.
 
     Bands are a seed-sized table (a bounded, version-controlled list), so they
@@ -111,11 +112,15 @@ def band_join(df: DataFrame, value: Column | str, bands: DataFrame, code_col: st
     numeric_value = integral_value or isinstance(vtype, (T.FloatType, T.DoubleType, T.DecimalType))
     integral_bounds = (isinstance(bands.schema[lo].dataType, int_types)
                        and isinstance(bands.schema[hi].dataType, int_types))
-    exploded_ok = False
-    if numeric_value and integral_bounds:
-        # Size check on the (seed-sized) band table before exploding it.
-        members = bands.agg(F.sum(F.col(hi).cast("long") - F.col(lo) + 1)).first()[0] or 0
-        exploded_ok = members <= max_members
+    # Bands are broadcast, so their size is checked first: at most
+    # ``max_bands`` rows (a bounded read; for bands built in memory the rows
+    # are already on the driver and no job runs).
+    spans = bands.select((F.col(hi).cast("long") - F.col(lo).cast("long") + 1).alias("n")) \
+        .limit(max_bands + 1).collect()
+    if len(spans) > max_bands:
+        raise ValueError(f"band table exceeds {max_bands} rows; it is not a seed-sized table")
+    exploded_ok = (numeric_value and integral_bounds
+                   and sum(max(r.n or 0, 0) for r in spans) <= max_members)
     if exploded_ok:
         exploded = (bands.select(F.explode(F.sequence(F.col(lo).cast("long"), F.col(hi).cast("long"))).alias("__bv"),
                                  F.col(lo).alias("__lo"), F.col(hi).alias("__hi"), F.col(code_col).alias(out_col)))

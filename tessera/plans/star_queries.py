@@ -9,8 +9,9 @@ population. ``oracle_sql.py`` holds the same queries in DuckDB SQL.
 
 from __future__ import annotations
 
+import contextvars
 import datetime as _dt
-from functools import reduce
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import (digits_only_int, flag, pg_initcap, sentinel_to_null, surrogate_key)
 from tessera import session
 from tessera.operators import conform, dims, quality, report, scd2
-from tessera.sources import bronze
+from tessera.sources import bronze, seeds
 
 # Fixed values of the test scenario (parameters, not data subsets).
 NATION_RUN_TS = _dt.datetime(1995, 1, 1)           # single snapshot run of the nation code list
@@ -42,6 +43,47 @@ CUSTOMER_RULES = conform.NormaliseRules(
 )
 
 
+# Within one query build, every table is read once and every shared piece
+# (a dimension, a fact) is built once and reused by all its consumers: less
+# plan analysis on the driver, and identical subplans that Spark's exchange
+# reuse can share. Nothing is cached across queries.
+_SCOPE: contextvars.ContextVar[dict | None] = contextvars.ContextVar("tessera_query_scope", default=None)
+
+
+def _memo(fn):
+    @functools.wraps(fn)
+    def wrapper(spark, *args):
+        cache = _SCOPE.get()
+        if cache is None:
+            return fn(spark, *args)
+        key = (fn.__name__, args)
+        if key not in cache:
+            cache[key] = fn(spark, *args)
+        return cache[key]
+    return wrapper
+
+
+def _provide(builder, sf_dir: str, df: DataFrame) -> None:
+    """Within the current query build, let ``builder(spark, sf_dir)`` return ``df``."""
+    cache = _SCOPE.get()
+    if cache is not None:
+        cache[(builder.__name__, (sf_dir,))] = df
+
+
+def _query(fn):
+    @functools.wraps(fn)
+    def wrapper(spark, sf_dir):
+        if _SCOPE.get() is not None:          # called from inside another query's build
+            return fn(spark, sf_dir)
+        token = _SCOPE.set({})
+        try:
+            return fn(spark, sf_dir)
+        finally:
+            _SCOPE.reset(token)
+    return wrapper
+
+
+@_memo
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -53,6 +95,7 @@ def _money(c: Column | str) -> Column:
 
 # --------------------------------------------------------------------------- bronze / sources
 
+@_query
 def q01_bronze_land(spark, sf_dir):
     """Land the orders table as text with its source resource."""
     o = _t(spark, sf_dir, "orders")
@@ -61,6 +104,7 @@ def q01_bronze_land(spark, sf_dir):
     return bronze.land_text(typed, "orders.parquet", with_timestamp=False)
 
 
+@_query
 def q02_latest_extract(spark, sf_dir):
     """Per language, the page with the highest number in its URL; ties go to the
     first listed (lowest id) (A3, D10, F1)."""
@@ -74,6 +118,7 @@ def q02_latest_extract(spark, sf_dir):
     return best.select("lang", "b.page_id", "b.url", "b.number")
 
 
+@_query
 def q03_json_flatten(spark, sf_dir):
     """Typed field out of a JSON text column."""
     e = _t(spark, sf_dir, "events")
@@ -81,6 +126,7 @@ def q03_json_flatten(spark, sf_dir):
     return e.select("event_id", "event_type", parsed["k"].alias("k"))
 
 
+@_query
 def q04_union_parts(spark, sf_dir):
     """One part per event type, each with its own column order, concatenated
     by name and counted per type (A4, A8, G2)."""
@@ -118,11 +164,13 @@ def silver_orders(bronze_orders: DataFrame) -> DataFrame:
     )
 
 
+@_query
 def q05_silver_orders(spark, sf_dir):
     """Silver view over the landed text orders."""
     return silver_orders(q01_bronze_land(spark, sf_dir))
 
 
+@_query
 def q06_guarded_cast(spark, sf_dir):
     """Digits-only guarded casts; anything else becomes NULL."""
     p = _t(spark, sf_dir, "part")
@@ -134,12 +182,14 @@ def q06_guarded_cast(spark, sf_dir):
 
 # --------------------------------------------------------------------------- conformance
 
+@_query
 def q07_normalise(spark, sf_dir):
     """Distinct names through a rule chain of their own."""
     names = _t(spark, sf_dir, "customer").select(F.col("c_name").alias("source_name")).distinct()
     return names.select("source_name", conform.normalise("source_name", CUSTOMER_RULES).alias("normalised_name"))
 
 
+@_memo
 def nation_codelist(spark, sf_dir) -> DataFrame:
     """Official code list: code = nation key as text, name 'NATION_k and region'."""
     n = _t(spark, sf_dir, "nation")
@@ -150,6 +200,7 @@ def nation_codelist(spark, sf_dir) -> DataFrame:
                     F.col("n_name").alias("nation_name"), F.col("r_name").alias("region_name")))
 
 
+@_memo
 def customer_place_names(spark, sf_dir) -> DataFrame:
     """Free-text place names as a source system would spell them, one per
     customer row, varying with the customer's market segment."""
@@ -168,9 +219,11 @@ def customer_place_names(spark, sf_dir) -> DataFrame:
 
 
 def nation_overrides(spark) -> DataFrame:
-    return spark.createDataFrame(NATION_OVERRIDES, "source_name string, code string")
+    return seeds.local_table(spark, NATION_OVERRIDES, seeds.NAME_CODE_SCHEMA)
 
 
+@_query
+@_memo
 def q08_conform_bridge(spark, sf_dir):
     """Bridge from free-text names to codes: override, exact, no conjunction."""
     return conform.conform_names(customer_place_names(spark, sf_dir), "place_name",
@@ -178,6 +231,7 @@ def q08_conform_bridge(spark, sf_dir):
                                  overrides=nation_overrides(spark))
 
 
+@_query
 def q09_match_methods(spark, sf_dir):
     """Bridge coverage: names and source rows per match method, unmatched included."""
     bridge = q08_conform_bridge(spark, sf_dir)
@@ -201,11 +255,13 @@ def order_conditions(o: DataFrame) -> DataFrame:
 CONDITION_COLS = ["status", "priority", "is_large"]
 
 
+@_query
 def q10_junk_dim(spark, sf_dir):
     """Distinct attribute combinations with a hash key."""
     return dims.junk_dim(order_conditions(_t(spark, sf_dir, "orders")), CONDITION_COLS, "condition_key")
 
 
+@_query
 def q11_date_dim(spark, sf_dir):
     """Calendar covering every order and ship date, whole years."""
     lo, hi = dims.covering_bounds((_t(spark, sf_dir, "orders"), "o_orderdate"),
@@ -221,6 +277,7 @@ def quantity_bands(spark) -> DataFrame:
     return dims.make_bands(spark, start=1, width=10, count=5, prefix="Q")
 
 
+@_query
 def q12_band_dim(spark, sf_dir):
     """Band dimension from a rule, with the number of parts in each band."""
     bands = size_bands(spark)
@@ -253,10 +310,12 @@ def yearly_customer_extracts(spark, sf_dir) -> DataFrame:
                     .alias("run_ts"))
 
 
+@_memo
 def customer_snapshot(spark, sf_dir) -> DataFrame:
     return scd2.snapshot_history(yearly_customer_extracts(spark, sf_dir), "customer_id", ["priority"], "run_ts")
 
 
+@_query
 def q13_scd2_merge(spark, sf_dir):
     """Type-2 snapshot after replaying every yearly run."""
     s = customer_snapshot(spark, sf_dir)
@@ -274,6 +333,7 @@ CUSTOMER_DIM_COLS = ["customer_key", "customer_code", "priority", "customer_name
                      "valid_from", "valid_to", "is_current"]
 
 
+@_memo
 def customer_dim(spark, sf_dir) -> DataFrame:
     """Versions keyed by the numeric id (the partitioning key); the hash key
     and the public code are its text form."""
@@ -284,6 +344,7 @@ def customer_dim(spark, sf_dir) -> DataFrame:
     return d.select(*CUSTOMER_DIM_COLS)
 
 
+@_query
 def q14_versioned_dim(spark, sf_dir):
     """Versioned dimension: row_number, backdating, open end, current flag, unknown member."""
     return customer_dim(spark, sf_dir)
@@ -291,6 +352,7 @@ def q14_versioned_dim(spark, sf_dir):
 
 # --------------------------------------------------------------------------- facts
 
+@_memo
 def fact_orders(spark, sf_dir) -> DataFrame:
     o = order_conditions(_t(spark, sf_dir, "orders"))
     f = o.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").cast("string").alias("customer_code"),
@@ -303,6 +365,7 @@ def fact_orders(spark, sf_dir) -> DataFrame:
     return j.select("order_key", "customer_key", "order_date", "condition_key", "order_status", "total_price")
 
 
+@_query
 def q15_fact_orders(spark, sf_dir):
     """Transaction fact: version in force on the order date, junk key computed
     inline, unknown routing (I11, C5, C6)."""
@@ -320,6 +383,7 @@ def fact_lines(spark, sf_dir, orders_fact: DataFrame | None = None) -> DataFrame
                          F.col("l_extendedprice").alias("extended_price"), F.lit(1).alias("line_count"))
 
 
+@_query
 def q16_fact_lines(spark, sf_dir):
     """Child fact: date and customer version inherited from the parent order,
     quantity band, constant measure (I12, C4, C7, B19)."""
@@ -330,6 +394,7 @@ def nation_unknown() -> dict:
     return scd2.unknown_member("nation_code", ["nation_name", "region_name"], "region_key")
 
 
+@_memo
 def nation_dim(spark, sf_dir) -> DataFrame:
     codes = nation_codelist(spark, sf_dir).select(F.col("code").alias("nation_code"), "nation_name", "region_name")
     snap = scd2.snapshot_merge(None, codes, "nation_code", ["nation_name"], NATION_RUN_TS)
@@ -337,6 +402,7 @@ def nation_dim(spark, sf_dir) -> DataFrame:
                               unknown=nation_unknown())
 
 
+@_memo
 def population_observations(spark, sf_dir) -> DataFrame:
     """Registered customers per nation, segment and year, with segment totals
     ('TOT') as a published extract would carry them.
@@ -363,6 +429,7 @@ def population_observations(spark, sf_dir) -> DataFrame:
                       "population")
 
 
+@_memo
 def fact_population(spark, sf_dir) -> DataFrame:
     obs = population_observations(spark, sf_dir).filter(F.col("segment") != "TOT")
     obs = obs.withColumn("year_date", F.make_date("year", F.lit(1), F.lit(1)))
@@ -371,11 +438,13 @@ def fact_population(spark, sf_dir) -> DataFrame:
     return j.select("region_key", "year_date", "year", "segment", "population")
 
 
+@_query
 def q17_periodic_fact(spark, sf_dir):
     """Periodic snapshot: additive cells only, anchored to 1 January."""
     return fact_population(spark, sf_dir)
 
 
+@_memo
 def orders_by_nation(spark, sf_dir) -> DataFrame:
     """Order rows with the nation version in force on the order date."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
@@ -387,6 +456,7 @@ def orders_by_nation(spark, sf_dir) -> DataFrame:
                                    ["region_key"])
 
 
+@_query
 def q18_rate_report(spark, sf_dir):
     """Orders and order value per 10,000 registered customers by nation and year."""
     f = orders_by_nation(spark, sf_dir).withColumn("year", F.year("order_date").cast("int"))
@@ -398,6 +468,7 @@ def q18_rate_report(spark, sf_dir):
         rates={"orders_per_10k": ("orders", 0), "value_per_10k": ("order_value_cents", 2)})
 
 
+@_query
 def q19_rate_by_band(spark, sf_dir):
     """Line items per 10,000 registered customers by nation, year and segment
     (the population fact's cell), aggregated per order before any join (I16)."""
@@ -418,6 +489,7 @@ def q19_rate_by_band(spark, sf_dir):
 
 # --------------------------------------------------------------------------- quality
 
+@_query
 def q20_reconcile(spark, sf_dir):
     """Orders whose stated total differs from the sum of their line charges;
     orders without lines compare against 0 (J9, C11, D7)."""
@@ -431,6 +503,7 @@ def q20_reconcile(spark, sf_dir):
                     F.col("observed").cast("double").alias("line_total"))
 
 
+@_query
 def q21_coverage(spark, sf_dir):
     """Order days on which nothing shipped."""
     o = _t(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
@@ -443,12 +516,20 @@ def star_checks(spark, sf_dir, materialize: bool = True):
     built once and written under the shared checkpoint folder (as the gold
     layer would be stored), so the checks scan stored rows instead of
     rebuilding a table per check."""
-    keep = (lambda df, n: session.materialize(df, n)) if materialize else (lambda df, n: df)
-    cust = keep(customer_dim(spark, sf_dir), "customer_dim")
-    nat = keep(nation_dim(spark, sf_dir), "nation_dim")
-    fo = keep(fact_orders(spark, sf_dir), "fact_orders")
-    fl = keep(fact_lines(spark, sf_dir, fo), "fact_lines")
-    fp = keep(fact_population(spark, sf_dir), "fact_population")
+    def keep(builder, name):
+        df = builder(spark, sf_dir)
+        if not materialize:
+            return df
+        stored = session.materialize(df, name)
+        _provide(builder, sf_dir, stored)   # later builders read the stored table
+        return stored
+
+    cust = keep(customer_dim, "customer_dim")
+    nat = keep(nation_dim, "nation_dim")
+    fo = keep(fact_orders, "fact_orders")
+    fl = fact_lines(spark, sf_dir, fo)
+    fl = session.materialize(fl, "fact_lines") if materialize else fl
+    fp = keep(fact_population, "fact_population")
     Q = quality
     return [
         ("customer_dim", cust, [Q.NotNull("customer_key"), Q.Unique("customer_key"), Q.NotNull("customer_code"),
@@ -471,6 +552,7 @@ def star_checks(spark, sf_dir, materialize: bool = True):
     ]
 
 
+@_query
 def q22_scorecard(spark, sf_dir):
     """All checks of the star tables in one scorecard."""
     return quality.scorecard(star_checks(spark, sf_dir))

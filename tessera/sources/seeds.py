@@ -2,9 +2,46 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    if isinstance(v, _dt.datetime):
+        return f"TIMESTAMP '{v.isoformat(sep=' ')}'"
+    if isinstance(v, _dt.date):
+        return f"DATE '{v.isoformat()}'"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def local_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
+    """A small in-memory table as a ``VALUES`` relation.
+
+    Unlike ``createDataFrame`` on a Python list it is a local relation: no
+    Python worker and no job to read it, and the optimiser knows its exact
+    size (so a broadcast of it is planned from a known bound).
+    """
+    names = [f.name for f in schema.fields]
+    casts = ", ".join(f"CAST(col{i + 1} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                      for i, f in enumerate(schema.fields))
+    if not rows:
+        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+        return spark.sql(f"SELECT {nulls} WHERE false")
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    if any(len(r) != len(names) for r in rows):
+        raise ValueError("row width differs from schema")
+    return spark.sql(f"SELECT {casts} FROM VALUES {values}")
+
+
 AGE_BAND_SCHEMA = T.StructType([
     T.StructField("age_band_code", T.StringType(), False),
     T.StructField("age_band", T.StringType(), False),
@@ -41,6 +78,11 @@ OVERRIDE_SCHEMA = T.StructType([
     T.StructField("note", T.StringType(), True),
 ])
 
+NAME_CODE_SCHEMA = T.StructType([
+    T.StructField("source_name", T.StringType(), False),
+    T.StructField("code", T.StringType(), False),
+])
+
 # Council names the rule chain cannot resolve, with their codes.
 COUNCIL_NAME_OVERRIDES = [
     ("PT.PIRIE CITY & DIST. COUNCIL", "46450", "irregular abbreviation"),
@@ -57,11 +99,11 @@ NON_GEOGRAPHIC_CODES = ("49399", "49499", "49799")
 
 
 def age_bands(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(AGE_BANDS, AGE_BAND_SCHEMA)
+    return local_table(spark, AGE_BANDS, AGE_BAND_SCHEMA)
 
 
 def council_overrides(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COUNCIL_NAME_OVERRIDES, OVERRIDE_SCHEMA)
+    return local_table(spark, COUNCIL_NAME_OVERRIDES, OVERRIDE_SCHEMA)
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

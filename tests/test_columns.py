@@ -77,3 +77,27 @@ def test_decode_without_else(spark):
     e = C.decode("v", [("1", "Male"), ("2", "Female")])
     assert one(spark, e, "2") == "Female"
     assert one(spark, e, "9") is None
+
+
+def _pg_initcap_reference(s):
+    out, prev_alnum = [], False
+    for ch in s:
+        out.append(ch.lower() if prev_alnum else ch.upper())
+        prev_alnum = ch.isalnum()
+    return "".join(out)
+
+
+def test_pg_initcap_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    values = []
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.text(alphabet="abcXYZé9 '-.\t_/", max_size=12))
+    def collect(v):
+        values.append(v)
+
+    collect()
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r.r for r in df.select(C.pg_initcap("v").alias("r")).collect()]
+    assert got == [_pg_initcap_reference(v) for v in values]
