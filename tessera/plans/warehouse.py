@@ -282,6 +282,32 @@ def warehouse_checks(t: Mapping[str, DataFrame]) -> list:
     ]
 
 
+def register_views(spark: SparkSession, raw: Mapping[str, DataFrame] | None = None,
+                   paths: Mapping[str, str] | None = None) -> list[str]:
+    """Expose the layers to SQL users: silver models as temporary views over
+    the bronze frames, gold tables as views over their written Parquet.
+
+    ``spark.sql("select * from rpt_lga_crash_rates where year = 2024")`` then
+    plans against the stored facts like any other query.
+    """
+    names: list[str] = []
+    if raw is not None:
+        silver = {"stg_crashes": stg_crashes, "stg_casualties": stg_casualties, "stg_units": stg_units,
+                  "stg_erp": stg_erp, "stg_codelist": stg_codelist}
+        source = {"stg_crashes": "crashes", "stg_casualties": "casualties", "stg_units": "units",
+                  "stg_erp": "erp", "stg_codelist": "codelist"}
+        for view, fn in silver.items():
+            if source[view] in raw:
+                fn(raw[source[view]]).createOrReplaceTempView(view)
+                names.append(view)
+    for name, path in (paths or {}).items():
+        if "/" in name:          # versioned snapshot folders are not views
+            continue
+        spark.read.parquet(path).createOrReplaceTempView(name)
+        names.append(name)
+    return names
+
+
 def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_ts: _dt.datetime,
           previous_snapshot: DataFrame | None = None) -> dict[str, str]:
     """Build and write the gold layer from bronze frames.

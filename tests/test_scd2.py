@@ -109,3 +109,24 @@ def test_point_in_time_boundaries(spark):
     assert got == {1: "Alpha2", 2: "Alpha", 3: "Alpha", 4: "Unknown", 5: "Unknown"}
     # every (code, date) of a known code hits exactly one version
     assert inner.count() == 4
+
+
+def test_pit_join_keeps_every_fact_row(spark):
+    """Property: with routing to the unknown member, every fact row gets
+    exactly one version, whatever its code or date."""
+    from hypothesis import given, settings, strategies as st
+
+    dim, unk = dim_of(spark)
+    cases = []
+
+    @settings(max_examples=60, deadline=None)
+    @given(st.sampled_from(["A", "B", "UNK", "Z", None]),
+           st.dates(min_value=dt.date(1901, 1, 1), max_value=dt.date(9998, 12, 30)))
+    def collect(code, day):
+        cases.append((len(cases), code, day))
+
+    collect()
+    facts = spark.createDataFrame(cases, "id int, code string, d date")
+    out = scd2.point_in_time_join(facts, dim, "code", "d", "code", ["key"], unknown=unk)
+    ids = [r.id for r in out.collect()]
+    assert sorted(ids) == list(range(len(cases)))

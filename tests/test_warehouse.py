@@ -77,6 +77,14 @@ def test_build(spark, tmp_path):
     assert score[("fact_road_crashes", "row_count_between", "*")] == 1   # 7 rows, far below 40,000
     assert score[("fact_crash_casualties", "relationships", "report_id")] == 0
 
+    # SQL over the built layers
+    views = W.register_views(spark, raw, paths)
+    assert "stg_crashes" in views and "rpt_lga_crash_rates" in views
+    got = spark.sql("SELECT lga_name, crashes_per_10k FROM rpt_lga_crash_rates WHERE lga_code = '40070' "
+                    "AND year = 2023").collect()
+    assert [(r.lga_name, r.crashes_per_10k) for r in got] == [("Adelaide", 0.7)]
+    assert spark.sql("SELECT count(*) AS n FROM stg_crashes WHERE lga_name IS NULL").first().n == 1
+
     # second run with a renamed region: old version closed, new one opened
     codes2 = raw["codelist"].withColumn("name", F.when(F.col("code") == "40070", "City of Adelaide")
                                         .otherwise(F.col("name")))
@@ -87,3 +95,15 @@ def test_build(spark, tmp_path):
     assert sorted((v.lga_name, v.valid_from, v.valid_to, v.is_current) for v in versions) == [
         ("Adelaide", dt.date(1900, 1, 1), dt.date(2025, 6, 1), False),
         ("City of Adelaide", dt.date(2025, 6, 1), dt.date(9999, 12, 31), True)]
+
+
+def test_population_parts_sum_to_published_totals(spark, tmp_path):
+    """The additive cells (Male + Female) reproduce the published Persons total."""
+    FX.write_all(str(tmp_path))
+    erp = W.stg_erp(load(spark, str(tmp_path))["erp"]).filter(F.col("age_band_code") != "TOT")
+    parts = erp.filter(F.col("sex").isin("Male", "Female")).groupBy("lga_code", "year", "age_band_code") \
+        .agg(F.sum("population").alias("parts"))
+    totals = erp.filter(F.col("sex") == "Persons").select("lga_code", "year", "age_band_code",
+                                                          F.col("population").alias("total"))
+    j = parts.join(totals, ["lga_code", "year", "age_band_code"], "full_outer")
+    assert j.filter(~F.col("parts").eqNullSafe(F.col("total"))).count() == 0
