@@ -61,6 +61,19 @@ class UniqueCombination:
     columns: Sequence[str]
 
 
+@dataclass(frozen=True)
+class Violations:
+    """A singular check: ``rows`` holds one row per violation (e.g. the output
+    of ``reconcile`` or ``coverage_gaps``); the scorecard counts them."""
+    name: str
+    column: str
+    rows: DataFrame = field(compare=False)
+
+
+class DataQualityError(RuntimeError):
+    """Raised by ``assert_clean`` when a check has violations."""
+
+
 @dataclass(frozen=True)
 class Relationship:
     column: str
@@ -149,6 +162,10 @@ def scorecard(tables: Sequence[tuple[str, DataFrame, Sequence]]) -> DataFrame:
                 parts.append(n.select(F.lit(table).alias("table_name"),
                                       F.lit("unique_combination").alias("check_name"),
                                       F.lit(",".join(ch.columns)).alias("column_name"), "violations"))
+            elif isinstance(ch, Violations):
+                n = ch.rows.agg(F.count(F.lit(1)).alias("violations"))
+                parts.append(n.select(F.lit(table).alias("table_name"), F.lit(ch.name).alias("check_name"),
+                                      F.lit(ch.column).alias("column_name"), "violations"))
             elif isinstance(ch, Relationship):
                 n = orphans(df, ch.column, ch.parent, ch.parent_column).agg(F.count(F.lit(1)).alias("violations"))
                 parts.append(n.select(F.lit(table).alias("table_name"), F.lit("relationships").alias("check_name"),
@@ -158,6 +175,15 @@ def scorecard(tables: Sequence[tuple[str, DataFrame, Sequence]]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def assert_clean(card: DataFrame) -> None:
+    """Fail like a test run: raise when any check of the scorecard has
+    violations. Only the failing rows (at most one per check) reach the driver."""
+    bad = card.filter(F.col("violations") > 0).collect()
+    if bad:
+        lines = [f"{r.table_name}.{r.column_name} {r.check_name}: {r.violations}" for r in bad]
+        raise DataQualityError("data-quality checks failed:\n" + "\n".join(lines))
+
+
 def reconcile(parent: DataFrame, child: DataFrame, key: str, stated: str, measure: Column | None = None,
               child_key: str | None = None) -> DataFrame:
     """Parents whose stated measure differs from the aggregate of their children.

@@ -51,7 +51,7 @@ def rate_report(numerator_fact: DataFrame, denominator_fact: DataFrame, dim: Dat
     num = numerator_fact.groupBy(*keys).agg(*[c.alias(n) for n, c in numerator_aggs.items()])
     den = (denominator_fact.groupBy(*keys)
            .agg(F.sum(F.col(denominator_col)).cast("long").alias(denominator_name)))
-    d = dim.select(F.col(dim_key).alias(keys[0]), *dim_cols)
+    d = dim.select(F.col(dim_key).alias(keys[0]), *[c for c in dim_cols if c != keys[0]])
     j = num.join(den, list(keys), "inner").join(d, keys[0], "inner").filter(F.col(denominator_name) > 0)
     out = [*dim_cols, *[k for k in keys if k != keys[0]], *numerator_aggs.keys(), denominator_name]
     rate_cols = [per_capita(F.col(src), F.col(denominator_name), per, digits, scale).alias(name)

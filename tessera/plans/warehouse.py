@@ -48,11 +48,22 @@ def _audit(df: DataFrame) -> list:
 
 # --------------------------------------------------------------------------- silver
 
-def stg_crashes(raw: DataFrame) -> DataFrame:
+TEXT_PASS_THROUGH = ["Position Type", "Horizontal Align", "Vertical Align", "Road Surface", "Moisture Cond",
+                     "Weather Cond", "DayNight", "Crash Type", "Traffic Ctrls", "UNIQUE_LOC"]
+
+
+def stg_crashes(raw: DataFrame, trim_all: bool = False) -> DataFrame:
     """Typed crash rows: stable id, trimmed text, strict ints, timestamps,
-    severity split, two-valued flags, projected coordinates."""
+    severity split, two-valued flags, projected coordinates.
+
+    Only the geography columns are trimmed by default; ``trim_all`` also
+    trims the descriptive text columns (padded values would otherwise split
+    junk-dimension combinations)."""
     sev_code, sev_label = split_code_label(quoted("CSEF Severity"), ":")
     crash_at = parse_day_first_timestamp(quoted("Crash Date Time"))
+    if trim_all:
+        raw = raw.select(*[trimmed_or_null(quoted(c)).alias(c) if c in TEXT_PASS_THROUGH else quoted(c)
+                           for c in raw.columns])
     return raw.select(
         strip_extract_suffix(quoted("REPORT_ID")).alias("report_id"),
         trimmed_or_null(quoted("Stats Area")).alias("stats_area"),
@@ -164,6 +175,11 @@ def region_bridge(crashes: DataFrame, codelist: DataFrame, overrides: DataFrame)
                     F.col("code").alias("lga_code"), "match_method")
 
 
+def codelist_match_keys(codelist: DataFrame) -> DataFrame:
+    """The keys the bridge matches on after dropping the conjunction."""
+    return codelist.select(conform.without_conjunction(F.upper(F.col("lga_name"))).alias("match_key"))
+
+
 def region_unknown() -> dict:
     return scd2.unknown_member("lga_code", ["lga_name", "lga_name_abs"], "region_key",
                                extra={"is_incorporated": False})
@@ -222,16 +238,33 @@ def fact_population_annual(erp: DataFrame, regions: DataFrame) -> DataFrame:
     return j.select("region_key", "year_date", "year", "sex", "age_band_code", "population")
 
 
-def rpt_lga_crash_rates(crash_fact: DataFrame, population_fact: DataFrame, regions: DataFrame) -> DataFrame:
+def rpt_lga_crash_rates(crash_fact: DataFrame, population_fact: DataFrame, regions: DataFrame,
+                        grain: str = "version") -> DataFrame:
+    """Crashes, casualties and fatalities per 10,000 residents by region and year.
+
+    ``grain="version"`` (default) joins the facts on the region *version*: a
+    region renamed mid-year splits into two keys and crashes after the rename
+    find no population (anchored to 1 January). ``grain="code"`` aggregates
+    both facts by the stable region code instead and names it by its current
+    version.
+    """
     f = crash_fact.withColumn("year", F.year("crash_date").cast("int"))
-    return report.rate_report(
-        f, population_fact, regions, keys=["region_key", "year"],
-        numerator_aggs={"crashes": F.count(F.lit(1)),
-                        "casualties": F.sum("total_casualties").cast("long"),
-                        "fatalities": F.sum("total_fatalities").cast("long"),
-                        "serious_injuries": F.sum("total_serious_injuries").cast("long")},
-        denominator_col="population", dim_key="region_key", dim_cols=["lga_name", "lga_code"],
-        rates={"crashes_per_10k": ("crashes", 0), "casualties_per_10k": ("casualties", 0)})
+    aggs = {"crashes": F.count(F.lit(1)),
+            "casualties": F.sum("total_casualties").cast("long"),
+            "fatalities": F.sum("total_fatalities").cast("long"),
+            "serious_injuries": F.sum("total_serious_injuries").cast("long")}
+    rates = {"crashes_per_10k": ("crashes", 0), "casualties_per_10k": ("casualties", 0)}
+    if grain == "version":
+        return report.rate_report(f, population_fact, regions, keys=["region_key", "year"], numerator_aggs=aggs,
+                                  denominator_col="population", dim_key="region_key",
+                                  dim_cols=["lga_name", "lga_code"], rates=rates)
+    if grain != "code":
+        raise ValueError("grain must be 'version' or 'code'")
+    codes = regions.select("region_key", "lga_code")
+    current = regions.filter(F.col("is_current")).select("lga_code", "lga_name")
+    return report.rate_report(f.join(codes, "region_key"), population_fact.join(codes, "region_key"), current,
+                              keys=["lga_code", "year"], numerator_aggs=aggs, denominator_col="population",
+                              dim_key="lga_code", dim_cols=["lga_name", "lga_code"], rates=rates)
 
 
 def rpt_casualty_rates_by_age(casualty_fact: DataFrame, population_fact: DataFrame, regions: DataFrame) -> DataFrame:
@@ -246,39 +279,82 @@ def rpt_casualty_rates_by_age(casualty_fact: DataFrame, population_fact: DataFra
 
 
 def warehouse_checks(t: Mapping[str, DataFrame]) -> list:
-    """The declared checks of the star tables (not NULL, unique, relationships,
-    accepted values, ranges, row counts)."""
+    """Every declared check of the warehouse, per table, plus the two
+    cross-table assertions (crash/casualty reconciliation, year coverage).
+
+    ``t`` holds the seeds, the silver frames, the bridge and the gold tables
+    under their model names.
+    """
     Q = quality
+    nn, uq = Q.NotNull, Q.Unique
+
+    def rel(col, parent, parent_col):
+        return Q.Relationship(col, t[parent], parent_col, parent)
+
+    crash_years = t["fact_road_crashes"].select(F.year("crash_date").cast("int").alias("year"))
     return [
-        ("dim_region", t["dim_region"], [Q.NotNull("region_key"), Q.Unique("region_key"), Q.NotNull("lga_code"),
-                                         Q.NotNull("valid_from"), Q.NotNull("valid_to")]),
-        ("dim_date", t["dim_date"], [Q.NotNull("date_day"), Q.Unique("date_day"),
-                                     Q.MaxBetween("date_day", _dt.date(2025, 1, 1), _dt.date(2030, 12, 31))]),
-        ("dim_age_band", t["dim_age_band"], [Q.NotNull("age_band_code"), Q.Unique("age_band_code")]),
-        ("dim_crash_condition", t["dim_crash_condition"], [Q.NotNull("condition_key"), Q.Unique("condition_key")]),
+        ("seed_abs_age_bands", t["seed_abs_age_bands"], [uq("age_band_code"), nn("age_band_code")]),
+        ("seed_lga_name_overrides", t["seed_lga_name_overrides"], [uq("source_name"), nn("source_name"), nn("code")]),
+        ("stg_data_sa__crashes", t["stg_crashes"], [
+            uq("report_id"), nn("report_id"), nn("crash_date"), nn("severity_code"),
+            Q.AcceptedValues("severity_code", [1, 2, 3, 4])]),
+        ("stg_data_sa__casualties", t["stg_casualties"], [
+            nn("report_id"), rel("report_id", "stg_crashes", "report_id"),
+            Q.UniqueCombination(["report_id", "unit_number", "casualty_number"])]),
+        ("stg_data_sa__units", t["stg_units"], [
+            nn("report_id"), rel("report_id", "stg_crashes", "report_id"),
+            Q.UniqueCombination(["report_id", "unit_number"])]),
+        ("stg_abs__erp_lga", t["stg_erp"], [
+            nn("population"), nn("sex"), Q.AcceptedValues("sex", ["Male", "Female", "Persons"]),
+            Q.UniqueCombination(["lga_code", "year", "sex", "age_band_code"])]),
+        ("stg_abs__lga_codelist", t["stg_codelist"], [uq("lga_code"), nn("lga_code"), uq("lga_name"), nn("lga_name")]),
+        # the conjunction-free match key must be unique too, or the bridge fans out
+        ("stg_abs__lga_codelist_match_key", t["codelist_match_keys"], [uq("match_key")]),
+        ("int_lga_name_conformed", t["int_lga_name_conformed"], [
+            uq("source_lga_name"), nn("source_lga_name"), nn("lga_code"),
+            rel("lga_code", "stg_codelist", "lga_code"), nn("match_method"),
+            Q.AcceptedValues("match_method", ["seed_override", "exact_name", "name_without_conjunction"])]),
+        ("dim_region", t["dim_region"], [
+            uq("region_key"), nn("region_key"), nn("lga_code"), nn("lga_name"), nn("valid_from"), nn("valid_to"),
+            nn("is_current")]),
+        ("dim_date", t["dim_date"], [
+            uq("date_day"), nn("date_day"), nn("year"), nn("is_weekend"),
+            Q.MaxBetween("date_day", _dt.date(2026, 12, 31), None)]),
+        ("dim_age_band", t["dim_age_band"], [uq("age_band_code"), nn("age_band_code"), uq("age_band"), nn("age_band")]),
+        ("dim_crash_condition", t["dim_crash_condition"], [
+            uq("condition_key"), nn("condition_key"), nn("is_dui_involved"), nn("is_drugs_involved")]),
         ("fact_road_crashes", t["fact_road_crashes"], [
-            Q.NotNull("report_id"), Q.Unique("report_id"), Q.NotNull("region_key"),
-            Q.Relationship("region_key", t["dim_region"], "region_key"),
-            Q.Relationship("crash_date", t["dim_date"], "date_day"),
-            Q.Relationship("condition_key", t["dim_crash_condition"], "condition_key"),
-            Q.AcceptedValues("severity_code", [1, 2, 3, 4]),
+            uq("report_id"), nn("report_id"), nn("region_key"), rel("region_key", "dim_region", "region_key"),
+            nn("crash_date"), rel("crash_date", "dim_date", "date_day"),
+            nn("condition_key"), rel("condition_key", "dim_crash_condition", "condition_key"),
+            nn("severity_code"), Q.AcceptedValues("severity_code", [1, 2, 3, 4]),
             Q.AcceptedValues("severity_label", ["PDO", "MI", "SI", "Fatal"]),
             Q.AcceptedValues("stats_area", ["1 City", "2 Metropolitan", "3 Country"]),
-            Q.Between("total_casualties", 0, 100), Q.Between("total_fatalities", 0, 20),
-            Q.Between("total_fatalities", 1, None, row_condition="severity_label = 'Fatal'"),
-            Q.RowCountBetween(40000, 200000)]),
+            Q.Between("total_casualties", 0, 100), Q.RowCountBetween(40000, 200000)]),
         ("fact_crash_casualties", t["fact_crash_casualties"], [
-            Q.UniqueCombination(["report_id", "unit_number", "casualty_number"]),
-            Q.NotNull("region_key"), Q.Relationship("region_key", t["dim_region"], "region_key"),
-            Q.Relationship("report_id", t["fact_road_crashes"], "report_id"),
-            Q.Relationship("age_band_code", t["dim_age_band"], "age_band_code"),
+            nn("region_key"), rel("region_key", "dim_region", "region_key"),
+            nn("crash_date"), rel("crash_date", "dim_date", "date_day"),
+            rel("age_band_code", "dim_age_band", "age_band_code"),
             Q.AcceptedValues("sex", ["Male", "Female", "Unknown"]),
-            Q.Between("age", 0, 120)]),
+            Q.Between("age", 0, 120, row_condition="age is not null"),
+            Q.AcceptedValues("casualty_count", [1]),
+            Q.UniqueCombination(["report_id", "unit_number", "casualty_number"])]),
         ("fact_population_annual", t["fact_population_annual"], [
-            Q.UniqueCombination(["region_key", "year", "sex", "age_band_code"]),
-            Q.NotNull("region_key"), Q.Relationship("region_key", t["dim_region"], "region_key"),
-            Q.Relationship("age_band_code", t["dim_age_band"], "age_band_code"),
-            Q.AcceptedValues("sex", ["Male", "Female"]), Q.Between("population", 0, None)]),
+            nn("region_key"), rel("region_key", "dim_region", "region_key"),
+            nn("year_date"), rel("year_date", "dim_date", "date_day"),
+            nn("sex"), Q.AcceptedValues("sex", ["Male", "Female"]),
+            nn("age_band_code"), rel("age_band_code", "dim_age_band", "age_band_code"),
+            nn("population"), Q.Between("population", 0, 50000),
+            Q.UniqueCombination(["region_key", "year", "sex", "age_band_code"])]),
+        ("rpt_lga_crash_rates", t["rpt_lga_crash_rates"], [
+            nn("crashes_per_10k"), Q.Between("crashes_per_10k", 0, 500),
+            Q.UniqueCombination(["lga_code", "year"])]),
+        ("fact_road_crashes", t["fact_road_crashes"], [
+            Q.Violations("reconcile_casualty_rows", "total_casualties",
+                         Q.reconcile(t["fact_road_crashes"], t["fact_crash_casualties"], "report_id",
+                                     "total_casualties")),
+            Q.Violations("population_covers_crash_years", "year",
+                         Q.coverage_gaps(crash_years, t["fact_population_annual"], "year"))]),
     ]
 
 
@@ -309,7 +385,8 @@ def register_views(spark: SparkSession, raw: Mapping[str, DataFrame] | None = No
 
 
 def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_ts: _dt.datetime,
-          previous_snapshot: DataFrame | None = None) -> dict[str, str]:
+          previous_snapshot: DataFrame | None = None, fail_on_violation: bool = False,
+          trim_all: bool = False) -> dict[str, str]:
     """Build and write the gold layer from bronze frames.
 
     Order: silver views -> region snapshot (written as a new version, then
@@ -318,7 +395,7 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_t
     -> report view -> checks. Returns the written paths.
     """
     out = out_dir.rstrip("/")
-    crashes, casualties = stg_crashes(raw["crashes"]), stg_casualties(raw["casualties"])
+    crashes, casualties = stg_crashes(raw["crashes"], trim_all=trim_all), stg_casualties(raw["casualties"])
     erp, codelist = stg_erp(raw["erp"]), stg_codelist(raw["codelist"])
     paths: dict[str, str] = {}
 
@@ -337,7 +414,14 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_t
                  scd2.snapshot_merge(previous_snapshot, snap_src, "lga_code", ["lga_name"], run_ts))
     regions = write("dim_region", dim_region(snap))
     bridge = write("int_lga_name_conformed", region_bridge(crashes, codelist, seeds.council_overrides(spark)))
-    tables: dict[str, DataFrame] = {"dim_region": regions}
+    tables: dict[str, DataFrame] = {
+        "dim_region": regions, "int_lga_name_conformed": bridge,
+        "seed_abs_age_bands": seeds.age_bands(spark), "seed_lga_name_overrides": seeds.council_overrides(spark),
+        "stg_crashes": crashes, "stg_casualties": casualties, "stg_erp": erp, "stg_codelist": codelist,
+        "codelist_match_keys": codelist_match_keys(codelist),
+    }
+    if "units" in raw:
+        tables["stg_units"] = stg_units(raw["units"])
     tables["dim_date"] = write("dim_date", dims.date_dim(spark, CALENDAR_START, CALENDAR_END_EXCLUSIVE))
     tables["dim_age_band"] = write("dim_age_band", seeds.age_bands(spark))
     tables["dim_crash_condition"] = write("dim_crash_condition", dim_crash_condition(crashes))
@@ -349,5 +433,10 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_t
     tables["rpt_lga_crash_rates"] = write(
         "rpt_lga_crash_rates",
         rpt_lga_crash_rates(tables["fact_road_crashes"], tables["fact_population_annual"], regions))
-    write("quality_scorecard", quality.scorecard(warehouse_checks(tables)))
+    checks = warehouse_checks(tables)
+    if "stg_units" not in tables:
+        checks = [c for c in checks if c[0] != "stg_data_sa__units"]
+    card = write("quality_scorecard", quality.scorecard(checks))
+    if fail_on_violation:
+        quality.assert_clean(card)
     return paths

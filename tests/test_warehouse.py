@@ -72,10 +72,26 @@ def test_build(spark, tmp_path):
     assert a23.crashes_per_10k == 0.7 and a23.casualties_per_10k == 1.0
     assert all(k[0] != "UNK" for k in rpt)              # no population for the unknown member
 
-    score = {(r.table_name, r.check_name, r.column_name): r.violations for r in read("quality_scorecard").collect()}
+    card = read("quality_scorecard").collect()
+    assert len(card) == 90       # 87 declared checks + 2 cross-table assertions + the T7 match-key check
+    score = {(r.table_name, r.check_name, r.column_name): r.violations for r in card}
     assert score[("fact_road_crashes", "not_null", "region_key")] == 0
     assert score[("fact_road_crashes", "row_count_between", "*")] == 1   # 7 rows, far below 40,000
-    assert score[("fact_crash_casualties", "relationships", "report_id")] == 0
+    assert score[("stg_data_sa__casualties", "relationships", "report_id")] == 0
+    assert score[("int_lga_name_conformed", "not_null", "lga_code")] == 1  # ATLANTIS: the designed alarm
+    assert score[("fact_road_crashes", "reconcile_casualty_rows", "total_casualties")] == 1  # 2024-4: 1 stated, 2 rows
+    assert score[("fact_road_crashes", "population_covers_crash_years", "year")] == 0
+    assert score[("dim_date", "max_between", "date_day")] == 0
+    import pytest
+    from tessera.operators import quality
+    with pytest.raises(quality.DataQualityError, match="row_count_between"):
+        quality.assert_clean(read("quality_scorecard"))
+
+    # rates by stable code equal rates by version when nothing was renamed
+    by_code = W.rpt_lga_crash_rates(read("fact_road_crashes"), read("fact_population_annual"),
+                                    read("dim_region"), grain="code")
+    assert sorted(map(tuple, by_code.select(*read("rpt_lga_crash_rates").columns).collect())) == \
+        sorted(map(tuple, read("rpt_lga_crash_rates").collect()))
 
     # SQL over the built layers
     views = W.register_views(spark, raw, paths)
