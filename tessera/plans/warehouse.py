@@ -295,21 +295,21 @@ def warehouse_checks(t: Mapping[str, DataFrame]) -> list:
     return [
         ("seed_abs_age_bands", t["seed_abs_age_bands"], [uq("age_band_code"), nn("age_band_code")]),
         ("seed_lga_name_overrides", t["seed_lga_name_overrides"], [uq("source_name"), nn("source_name"), nn("code")]),
-        ("stg_data_sa__crashes", t["stg_crashes"], [
+        ("stg_crashes", t["stg_crashes"], [
             uq("report_id"), nn("report_id"), nn("crash_date"), nn("severity_code"),
             Q.AcceptedValues("severity_code", [1, 2, 3, 4])]),
-        ("stg_data_sa__casualties", t["stg_casualties"], [
+        ("stg_casualties", t["stg_casualties"], [
             nn("report_id"), rel("report_id", "stg_crashes", "report_id"),
             Q.UniqueCombination(["report_id", "unit_number", "casualty_number"])]),
-        ("stg_data_sa__units", t["stg_units"], [
+        ("stg_units", t["stg_units"], [
             nn("report_id"), rel("report_id", "stg_crashes", "report_id"),
             Q.UniqueCombination(["report_id", "unit_number"])]),
-        ("stg_abs__erp_lga", t["stg_erp"], [
+        ("stg_erp", t["stg_erp"], [
             nn("population"), nn("sex"), Q.AcceptedValues("sex", ["Male", "Female", "Persons"]),
             Q.UniqueCombination(["lga_code", "year", "sex", "age_band_code"])]),
-        ("stg_abs__lga_codelist", t["stg_codelist"], [uq("lga_code"), nn("lga_code"), uq("lga_name"), nn("lga_name")]),
+        ("stg_codelist", t["stg_codelist"], [uq("lga_code"), nn("lga_code"), uq("lga_name"), nn("lga_name")]),
         # the conjunction-free match key must be unique too, or the bridge fans out
-        ("stg_abs__lga_codelist_match_key", t["codelist_match_keys"], [uq("match_key")]),
+        ("stg_codelist_match_key", t["codelist_match_keys"], [uq("match_key")]),
         ("int_lga_name_conformed", t["int_lga_name_conformed"], [
             uq("source_lga_name"), nn("source_lga_name"), nn("lga_code"),
             rel("lga_code", "stg_codelist", "lga_code"), nn("match_method"),
@@ -435,7 +435,7 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_t
         rpt_lga_crash_rates(tables["fact_road_crashes"], tables["fact_population_annual"], regions))
     checks = warehouse_checks(tables)
     if "stg_units" not in tables:
-        checks = [c for c in checks if c[0] != "stg_data_sa__units"]
+        checks = [c for c in checks if c[0] != "stg_units"]
     card = write("quality_scorecard", quality.scorecard(checks))
     if fail_on_violation:
         quality.assert_clean(card)

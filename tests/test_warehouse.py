@@ -77,7 +77,7 @@ def test_build(spark, tmp_path):
     score = {(r.table_name, r.check_name, r.column_name): r.violations for r in card}
     assert score[("fact_road_crashes", "not_null", "region_key")] == 0
     assert score[("fact_road_crashes", "row_count_between", "*")] == 1   # 7 rows, far below 40,000
-    assert score[("stg_data_sa__casualties", "relationships", "report_id")] == 0
+    assert score[("stg_casualties", "relationships", "report_id")] == 0
     assert score[("int_lga_name_conformed", "not_null", "lga_code")] == 1  # ATLANTIS: the designed alarm
     assert score[("fact_road_crashes", "reconcile_casualty_rows", "total_casualties")] == 1  # 2024-4: 1 stated, 2 rows
     assert score[("fact_road_crashes", "population_covers_crash_years", "year")] == 0
