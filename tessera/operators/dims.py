@@ -21,18 +21,25 @@ def _date(v) -> Column:
     return F.lit(v)
 
 
+def _spine(bounds: DataFrame, s: Column, e: Column, name: str) -> DataFrame:
+    days = F.sequence(s, F.date_sub(e, 1), F.expr("interval 1 day"))
+    return (bounds.select(F.when(s < e, days).otherwise(F.array().cast("array<date>")).alias("d"))
+            .select(F.explode("d").alias(name)))
+
+
 def date_spine(spark: SparkSession, start, end_exclusive, name: str = "date_day") -> DataFrame:
-    """One row per day in ``[start, end_exclusive)``.
+    """One row per day in ``[start, end_exclusive)`` (dates or ISO strings).
 
-    ``start``/``end_exclusive`` are dates, ISO strings or scalar Columns (e.g.
-    ``df.agg(F.min(c)).scalar()``). The calendar is bounded by its date range
-    (365 rows a year), not by data volume.
+    The calendar is bounded by its date range (365 rows a year), not by data
+    volume.
     """
-    s, e = _date(start), _date(end_exclusive)
-    days = F.sequence(s, F.date_sub(e, 1), F.expr("interval 1 day"))
-    return (spark.range(1)
-            .select(F.when(s < e, days).otherwise(F.array().cast("array<date>")).alias("d"))
-            .select(F.explode("d").alias(name)))
+    return _spine(spark.range(1), _date(start), _date(end_exclusive), name)
+
+
+def date_spine_from(bounds: DataFrame, start_col: str = "start", end_col: str = "end_exclusive",
+                    name: str = "date_day") -> DataFrame:
+    """Day rows for the range held by a one-row ``bounds`` frame (see ``covering_bounds``)."""
+    return _spine(bounds, F.col(start_col).cast("date"), F.col(end_col).cast("date"), name)
 
 
 def calendar_columns(d: Column | str = "date_day", fy_start_month: int = 7) -> list[Column]:
@@ -56,15 +63,24 @@ def date_dim(spark: SparkSession, start, end_exclusive, fy_start_month: int = 7)
     return date_spine(spark, start, end_exclusive).select(*calendar_columns("date_day", fy_start_month))
 
 
-def covering_bounds(*date_cols: tuple[DataFrame, str]) -> tuple[Column, Column]:
-    """Scalar bounds (1 January of the first year, 1 January after the last)
-    covering every given ``(frame, date column)``; computed by Spark as scalar
-    subqueries, never collected."""
-    lows = [df.agg(F.min(F.col(c).cast("date"))).scalar() for df, c in date_cols]
-    highs = [df.agg(F.max(F.col(c).cast("date"))).scalar() for df, c in date_cols]
-    lo = lows[0] if len(lows) == 1 else F.least(*lows)
-    hi = highs[0] if len(highs) == 1 else F.greatest(*highs)
-    return F.trunc(lo, "year"), F.add_months(F.trunc(hi, "year"), 12)
+def date_dim_from(bounds: DataFrame, fy_start_month: int = 7) -> DataFrame:
+    """The calendar for a one-row ``(start, end_exclusive)`` frame."""
+    return date_spine_from(bounds).select(*calendar_columns("date_day", fy_start_month))
+
+
+def covering_bounds(*date_cols: tuple[DataFrame, str]) -> DataFrame:
+    """One row ``(start, end_exclusive)``: 1 January of the first year and
+    1 January after the last year of every given ``(frame, date column)``.
+
+    The date columns are stacked and reduced by one aggregate (partial per
+    task, a handful of rows shuffled); nothing is collected.
+    """
+    parts = [df.select(F.col(c).cast("date").alias("d")) for df, c in date_cols]
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    return stacked.agg(F.trunc(F.min("d"), "year").cast("date").alias("start"),
+                       F.add_months(F.trunc(F.max("d"), "year"), 12).cast("date").alias("end_exclusive"))
 
 
 BAND_SCHEMA = T.StructType([

@@ -264,9 +264,9 @@ def q10_junk_dim(spark, sf_dir):
 @_query
 def q11_date_dim(spark, sf_dir):
     """Calendar covering every order and ship date, whole years."""
-    lo, hi = dims.covering_bounds((_t(spark, sf_dir, "orders"), "o_orderdate"),
+    bounds = dims.covering_bounds((_t(spark, sf_dir, "orders"), "o_orderdate"),
                                   (_t(spark, sf_dir, "lineitem"), "l_shipdate"))
-    return dims.date_dim(spark, lo, hi)
+    return dims.date_dim_from(bounds)
 
 
 def size_bands(spark) -> DataFrame:

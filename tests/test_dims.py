@@ -48,6 +48,8 @@ def test_junk_dim(spark):
 
 def test_covering_bounds(spark):
     a = spark.createDataFrame([(dt.date(1999, 3, 4),), (dt.date(2001, 2, 1),)], "d date")
-    lo, hi = dims.covering_bounds((a, "d"))
-    row = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
-    assert (row.lo, row.hi) == (dt.date(1999, 1, 1), dt.date(2002, 1, 1))
+    b = spark.createDataFrame([(dt.date(1998, 12, 31),)], "e date")
+    row = dims.covering_bounds((a, "d"), (b, "e")).first()
+    assert (row.start, row.end_exclusive) == (dt.date(1998, 1, 1), dt.date(2002, 1, 1))
+    cal = dims.date_dim_from(dims.covering_bounds((a, "d")))
+    assert cal.count() == 365 + 366 + 365          # 1999, 2000 (leap), 2001
