@@ -492,13 +492,22 @@ def q19_rate_by_band(spark, sf_dir):
 @_query
 def q20_reconcile(spark, sf_dir):
     """Orders whose stated total differs from the sum of their line charges;
-    orders without lines compare against 0 (J9, C11, D7)."""
+    orders without lines compare against 0 (J9, C11, D7).
+
+    A line's charge is computed in exact scaled integers (cents times
+    hundredths times hundredths, a long), so the per-line arithmetic and the
+    partial sums stay in long arithmetic; only the per-order total is turned
+    back into a 2-digit decimal (half up), which equals summing exact decimals.
+    """
     o = _t(spark, sf_dir, "orders").select(F.col("o_orderkey"), _money("o_totalprice").alias("stated_total"))
     li = _t(spark, sf_dir, "lineitem")
-    charge = _money("l_extendedprice") * (1 + F.col("l_tax").cast("decimal(4,2)")) \
-        * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    cents = (_money("l_extendedprice") * 100).cast("long")
+    tax = (F.col("l_tax").cast("decimal(4,2)") * 100).cast("long")
+    disc = (F.col("l_discount").cast("decimal(4,2)") * 100).cast("long")
+    micro = cents * (F.lit(100) + tax) * (F.lit(100) - disc)          # 10**-6 of a currency unit
+    total = F.round(F.sum(micro).cast("decimal(38,0)") / F.lit(1000000).cast("decimal(38,0)"), 2)
     v = quality.reconcile(o, li.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "stated_total",
-                          measure=F.round(F.sum(charge), 2))
+                          measure=total)
     return v.select(F.col("o_orderkey").alias("order_key"), F.col("stated_total").cast("double").alias("stated_total"),
                     F.col("observed").cast("double").alias("line_total"))
 
