@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tessera.functions.columns import surrogate_key
@@ -201,11 +202,12 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, fact_code: Column | str,
                       F.col("valid_to").alias("__vt"), *[F.col(c).alias(f"__d_{c}") for c in wanted])
     if broadcast_dim:
         dsel = F.broadcast(dsel)
-    if unknown is not None:
-        # a NULL code can only end at the unknown member; giving it that code
-        # keeps NULL keys from piling up in one shuffle partition
-        code = F.coalesce(code.cast("string"), F.lit(UNKNOWN_CODE))
     f = fact.withColumn("__code", code).withColumn("__date", d.cast("date"))
+    if unknown is not None and isinstance(f.schema["__code"].dataType, T.StringType):
+        # a NULL code can only end at the unknown member; giving it that code
+        # keeps NULL keys from piling up in one shuffle partition (numeric
+        # codes keep NULL, and AQE splits that partition if it is large)
+        f = f.withColumn("__code", F.coalesce(F.col("__code"), F.lit(UNKNOWN_CODE)))
     cond = ((F.col("__code") == F.col("__dim_code")) & (F.col("__date") >= F.col("__vf"))
             & (F.col("__date") < F.col("__vt")))
     if unknown is None:

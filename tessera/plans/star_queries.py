@@ -333,15 +333,19 @@ CUSTOMER_DIM_COLS = ["customer_key", "customer_code", "priority", "customer_name
                      "valid_from", "valid_to", "is_current"]
 
 
+@_memo
+def customer_versions(spark, sf_dir) -> DataFrame:
+    """Versions keyed by the numeric id (the partitioning key of the windows);
+    the hash key and the public code are its text form."""
+    return scd2.versioned_dim(customer_snapshot(spark, sf_dir), "customer_id",
+                              ["customer_code", "priority", "customer_name", "segment"], key_col="customer_key",
+                              derived={"is_priority": ~F.col("priority").isin(*NON_PRIORITY)},
+                              unknown=customer_unknown())
+
+
 @_memo
 def customer_dim(spark, sf_dir) -> DataFrame:
-    """Versions keyed by the numeric id (the partitioning key); the hash key
-    and the public code are its text form."""
-    d = scd2.versioned_dim(customer_snapshot(spark, sf_dir), "customer_id",
-                           ["customer_code", "priority", "customer_name", "segment"], key_col="customer_key",
-                           derived={"is_priority": ~F.col("priority").isin(*NON_PRIORITY)},
-                           unknown=customer_unknown())
-    return d.select(*CUSTOMER_DIM_COLS)
+    return customer_versions(spark, sf_dir).select(*CUSTOMER_DIM_COLS)
 
 
 @_query
@@ -355,13 +359,13 @@ def q14_versioned_dim(spark, sf_dir):
 @_memo
 def fact_orders(spark, sf_dir) -> DataFrame:
     o = order_conditions(_t(spark, sf_dir, "orders"))
-    f = o.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").cast("string").alias("customer_code"),
+    f = o.select(F.col("o_orderkey").alias("order_key"), F.col("o_custkey").alias("customer_id"),
                  F.col("o_orderdate").cast("date").alias("order_date"),
                  surrogate_key(CONDITION_COLS).alias("condition_key"),
                  F.col("o_orderstatus").alias("order_status"), F.col("o_totalprice").alias("total_price"))
-    dim = customer_dim(spark, sf_dir)
-    j = scd2.point_in_time_join(f, dim, "customer_code", "order_date", "customer_code", ["customer_key"],
-                                unknown=customer_unknown())
+    # numeric id on both sides: the versions are already partitioned by it
+    j = scd2.point_in_time_join(f, customer_versions(spark, sf_dir), "customer_id", "order_date", "customer_id",
+                                ["customer_key"], unknown=customer_unknown())
     return j.select("order_key", "customer_key", "order_date", "condition_key", "order_status", "total_price")
 
 
@@ -533,7 +537,7 @@ def star_checks(spark, sf_dir, materialize: bool = True):
         _provide(builder, sf_dir, stored)   # later builders read the stored table
         return stored
 
-    cust = keep(customer_dim, "customer_dim")
+    cust = keep(customer_versions, "customer_dim").select(*CUSTOMER_DIM_COLS)
     nat = keep(nation_dim, "nation_dim")
     fo = keep(fact_orders, "fact_orders")
     fl = fact_lines(spark, sf_dir, fo)
