@@ -68,7 +68,7 @@ def without_conjunction(c: Column, conjunction: str = " AND ") -> Column:
 
 def conform_names(source: DataFrame, name_col: str, codelist: DataFrame, code_col: str,
                   official_name_col: str, overrides: DataFrame | None = None,
-                  rules: NormaliseRules = COUNCIL_RULES) -> DataFrame:
+                  rules: NormaliseRules = COUNCIL_RULES, carry: Sequence[str] = ()) -> DataFrame:
     """Bridge ``(source_name, normalised_name, code, match_method)``.
 
     Precedence: an override for the raw source name (``seed_override``), then
@@ -77,10 +77,15 @@ def conform_names(source: DataFrame, name_col: str, codelist: DataFrame, code_co
     (``name_without_conjunction``); otherwise code and method are NULL. One row
     per distinct non-NULL source name (provided the official names are unique
     under each key, which ``quality.unique`` can assert).
+
+    ``carry`` names columns of a source that already holds one row per name
+    (e.g. names with their row counts); they are passed through to the
+    bridge instead of taking a distinct.
     """
-    names = (source.select(F.col(name_col).alias("source_name"))
-             .filter(F.col("source_name").isNotNull()).distinct())
-    normalised = names.select("source_name", normalise("source_name", rules).alias("normalised_name"))
+    names = source.select(F.col(name_col).alias("source_name"), *carry).filter(F.col("source_name").isNotNull())
+    if not carry:
+        names = names.distinct()
+    normalised = names.select("source_name", normalise("source_name", rules).alias("normalised_name"), *carry)
 
     official = codelist.select(F.col(code_col).cast("string").alias("code"),
                                F.upper(F.col(official_name_col)).alias("official"))
@@ -102,4 +107,4 @@ def conform_names(source: DataFrame, name_col: str, codelist: DataFrame, code_co
               .when(F.col("__nc_code").isNotNull(), F.lit("name_without_conjunction")))
     return j.select("source_name", "normalised_name",
                     F.coalesce("__ov_code", "__exact_code", "__nc_code").alias("code"),
-                    method.alias("match_method"))
+                    method.alias("match_method"), *carry)

@@ -233,16 +233,19 @@ def q08_conform_bridge(spark, sf_dir):
 
 @_query
 def q09_match_methods(spark, sf_dir):
-    """Bridge coverage: names and source rows per match method, unmatched included."""
-    bridge = q08_conform_bridge(spark, sf_dir)
+    """Bridge coverage: names and source rows per match method, unmatched included.
+
+    Source rows are counted per name first (one pass, combined map-side), and
+    the bridge is built from those few counted names, so the customer table
+    is read once.
+    """
     rows = customer_place_names(spark, sf_dir).groupBy("place_name").agg(F.count(F.lit(1)).alias("n"))
-    j = bridge.join(rows, bridge.source_name == rows.place_name, "left")
+    bridge = conform.conform_names(rows, "place_name", nation_codelist(spark, sf_dir), "code", "official_name",
+                                   overrides=nation_overrides(spark), carry=["n"])
     method = F.coalesce(F.col("match_method"), F.lit("unmatched"))
-    return j.groupBy(method.alias("match_method")).agg(
-        F.count(F.lit(1)).alias("names"), F.sum(F.coalesce(F.col("n"), F.lit(0))).cast("long").alias("source_rows"))
-
+    return bridge.groupBy(method.alias("match_method")).agg(
+        F.count(F.lit(1)).alias("names"), F.sum("n").cast("long").alias("source_rows"))
 
-# --------------------------------------------------------------------------- dimensions
 
 def order_conditions(o: DataFrame) -> DataFrame:
     label = F.trim(F.split_part(F.col("o_orderpriority"), F.lit("-"), F.lit(2)))
