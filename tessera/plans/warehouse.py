@@ -433,6 +433,8 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_t
     tables["rpt_lga_crash_rates"] = write(
         "rpt_lga_crash_rates",
         rpt_lga_crash_rates(tables["fact_road_crashes"], tables["fact_population_annual"], regions))
+    write("rpt_casualty_rates_by_age",
+          rpt_casualty_rates_by_age(tables["fact_crash_casualties"], tables["fact_population_annual"], regions))
     checks = warehouse_checks(tables)
     if "stg_units" not in tables:
         checks = [c for c in checks if c[0] != "stg_units"]

@@ -41,3 +41,9 @@ def test_snapshot_stream(spark, tmp_path):
     snap = landing.current_snapshot(spark, str(root))
     rows = sorted((r.lga_code, r.lga_name, r.valid_to_ts is None) for r in snap.collect())
     assert rows == [("40070", "Adelaide", False), ("40070", "City of Adelaide", True), ("44550", "Mount Barker", True)]
+    # nothing new arrived: a further run changes nothing
+    q = landing.snapshot_stream(spark, str(src), ["code", "name"], str(root), str(ck), "lga_code", ["lga_name"],
+                                prepare=prep)
+    q.awaitTermination(120)
+    again = landing.current_snapshot(spark, str(root))
+    assert sorted((r.lga_code, r.lga_name, r.valid_to_ts is None) for r in again.collect()) == rows

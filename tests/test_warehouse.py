@@ -72,6 +72,9 @@ def test_build(spark, tmp_path):
     assert a23.crashes_per_10k == 0.7 and a23.casualties_per_10k == 1.0
     assert all(k[0] != "UNK" for k in rpt)              # no population for the unknown member
 
+    by_age = {(r.lga_code, r.year, r.age_band_code): r for r in read("rpt_casualty_rates_by_age").collect()}
+    # the only population cells are band A20; casualties aged 20-24 exist nowhere in the fixture
+    assert by_age == {}
     card = read("quality_scorecard").collect()
     assert len(card) == 90       # 87 declared checks + 2 cross-table assertions + the T7 match-key check
     score = {(r.table_name, r.check_name, r.column_name): r.violations for r in card}
@@ -123,3 +126,16 @@ def test_population_parts_sum_to_published_totals(spark, tmp_path):
                                                           F.col("population").alias("total"))
     j = parts.join(totals, ["lga_code", "year", "age_band_code"], "full_outer")
     assert j.filter(~F.col("parts").eqNullSafe(F.col("total"))).count() == 0
+
+
+def test_casualty_rates_by_age(spark):
+    cas = spark.createDataFrame([("r1", dt.date(2024, 3, 1), "A40", 1), ("r1", dt.date(2024, 5, 1), "A40", 1),
+                                 ("r1", dt.date(2024, 5, 1), "A20", 1), ("r1", dt.date(2024, 6, 1), None, 1)],
+                                "region_key string, crash_date date, age_band_code string, casualty_count int")
+    pop = spark.createDataFrame([("r1", 2024, "Male", "A40", 3000), ("r1", 2024, "Female", "A40", 3001),
+                                 ("r1", 2024, "Male", "A20", 0)],
+                                "region_key string, year int, sex string, age_band_code string, population int")
+    regions = spark.createDataFrame([("r1", "40070", "Adelaide")], "region_key string, lga_code string, lga_name string")
+    got = [tuple(r) for r in W.rpt_casualty_rates_by_age(cas, pop, regions).collect()]
+    # 2 casualties / 6,001 residents -> 3.3 per 10k; A20 has no residents; masked ages are left out
+    assert got == [("Adelaide", "40070", 2024, "A40", 2, 6001, 3.3)]
