@@ -377,8 +377,6 @@ def register_views(spark: SparkSession, raw: Mapping[str, DataFrame] | None = No
                 fn(raw[source[view]]).createOrReplaceTempView(view)
                 names.append(view)
     for name, path in (paths or {}).items():
-        if "/" in name:          # versioned snapshot folders are not views
-            continue
         spark.read.parquet(path).createOrReplaceTempView(name)
         names.append(name)
     return names
@@ -392,28 +390,29 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_t
     Order: silver views -> region snapshot (written as a new version, then
     re-read: the snapshot is the only state carried between runs) -> bridge
     and dimensions -> facts (re-read after writing, which also cuts lineage)
-    -> report view -> checks. Returns the written paths.
+    -> reports -> checks. Layers are written to their own folders
+    (``snapshots/``, ``intermediate/``, ``marts/``). Returns model name -> path.
     """
     out = out_dir.rstrip("/")
     crashes, casualties = stg_crashes(raw["crashes"], trim_all=trim_all), stg_casualties(raw["casualties"])
     erp, codelist = stg_erp(raw["erp"]), stg_codelist(raw["codelist"])
     paths: dict[str, str] = {}
 
-    def write(name: str, df: DataFrame, partition_by=()) -> DataFrame:
-        path = f"{out}/{name}"
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+    def write(name: str, df: DataFrame, layer: str = "marts", folder: str | None = None) -> DataFrame:
+        """Each layer lives in its own folder: ``marts/``, ``intermediate/``, ``snapshots/``."""
+        path = f"{out}/{layer}/{folder or name}"
+        df.write.mode("overwrite").parquet(path)
         paths[name] = path
         return spark.read.parquet(path)
 
     snap_src = codelist.select("lga_code", "lga_name", "lga_name_abs")
     run_id = run_ts.strftime("%Y%m%dT%H%M%S")
-    snap = write(f"region_snapshot/run={run_id}",
-                 scd2.snapshot_merge(previous_snapshot, snap_src, "lga_code", ["lga_name"], run_ts))
+    # every run is a new snapshot version; the previous one is only read
+    snap = write("region_snapshot", scd2.snapshot_merge(previous_snapshot, snap_src, "lga_code", ["lga_name"], run_ts),
+                 layer="snapshots", folder=f"region_snapshot/run={run_id}")
     regions = write("dim_region", dim_region(snap))
-    bridge = write("int_lga_name_conformed", region_bridge(crashes, codelist, seeds.council_overrides(spark)))
+    bridge = write("int_lga_name_conformed", region_bridge(crashes, codelist, seeds.council_overrides(spark)),
+                   layer="intermediate")
     tables: dict[str, DataFrame] = {
         "dim_region": regions, "int_lga_name_conformed": bridge,
         "seed_abs_age_bands": seeds.age_bands(spark), "seed_lga_name_overrides": seeds.council_overrides(spark),

@@ -107,7 +107,9 @@ def test_build(spark, tmp_path):
     # second run with a renamed region: old version closed, new one opened
     codes2 = raw["codelist"].withColumn("name", F.when(F.col("code") == "40070", "City of Adelaide")
                                         .otherwise(F.col("name")))
-    snap1 = read(f"region_snapshot/run=20250101T000000")
+    assert paths["region_snapshot"].endswith("/snapshots/region_snapshot/run=20250101T000000")
+    assert paths["dim_region"].endswith("/marts/dim_region")
+    snap1 = read("region_snapshot")
     paths2 = W.build(spark, {**raw, "codelist": codes2}, str(tmp_path / "gold2"), dt.datetime(2025, 6, 1),
                      previous_snapshot=snap1)
     versions = spark.read.parquet(paths2["dim_region"]).filter(F.col("lga_code") == "40070").collect()
