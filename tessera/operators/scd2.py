@@ -176,7 +176,7 @@ def versioned_dim(snapshot: DataFrame, key: str, attrs: Sequence[str], key_col:
 
 def point_in_time_join(fact: DataFrame, dim: DataFrame, fact_code: Column | str, event_date: Column | str,
                        dim_code: str, dim_cols: Sequence[str], unknown: Mapping[str, Column] | None = None,
-                       broadcast_dim: bool = False) -> DataFrame:
+                       broadcast_dim: bool = False, salt_buckets: int = 0) -> DataFrame:
     """Attach the dimension version in force on the event date.
 
     Match = ``dim_code == fact_code`` and ``valid_from <= date < valid_to``.
@@ -194,6 +194,13 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, fact_code: Column | str,
     ``broadcast_dim`` asserts a fixed bound), else a sort-merge join on code,
     where AQE splits a hot code (e.g. ``UNK``) across tasks. The date range is a
     residual predicate on the matched pairs.
+
+    ``salt_buckets > 1`` spreads every code over that many join keys without
+    relying on AQE: each fact row gets a salt from a hash of its own columns
+    (deterministic, so a retried task sees the same salt) and each dimension
+    row is repeated once per salt. A hot code then lands in ``salt_buckets``
+    tasks; the dimension grows by that factor, which is cheap because it holds
+    a few versions per code. Results are identical.
     """
     code = F.col(fact_code) if isinstance(fact_code, str) else fact_code
     d = F.col(event_date) if isinstance(event_date, str) else event_date
@@ -210,6 +217,10 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, fact_code: Column | str,
         f = f.withColumn("__code", F.coalesce(F.col("__code"), F.lit(UNKNOWN_CODE)))
     cond = ((F.col("__code") == F.col("__dim_code")) & (F.col("__date") >= F.col("__vf"))
             & (F.col("__date") < F.col("__vt")))
+    if salt_buckets > 1:
+        f = f.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt_buckets)))
+        dsel = dsel.withColumn("__dsalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).cast("long"))
+        cond = cond & (F.col("__salt") == F.col("__dsalt"))
     if unknown is None:
         j = f.join(dsel, cond, "inner")
         picked = [F.col(f"__d_{c}").alias(c) for c in wanted]

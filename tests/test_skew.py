@@ -83,3 +83,22 @@ def test_hot_key_reconcile_and_duplicates(spark):
         counts[r.k] = counts.get(r.k, 0) + 1
     assert bad == {k: counts.get(k, 0) for k in range(50) if counts.get(k, 0) != 3}
     assert dups == sum(1 for v in counts.values() if v > 1)
+
+
+def test_salted_point_in_time_join_equals_plain(spark):
+    s1 = spark.createDataFrame([(f"C{i}", f"n{i}") for i in range(5)], "code string, name string")
+    s2 = spark.createDataFrame([("C0", "renamed")], "code string, name string")
+    snap = scd2.snapshot_merge(scd2.snapshot_merge(None, s1, "code", ["name"], dt.datetime(2020, 1, 1)),
+                               s2, "code", ["name"], dt.datetime(2021, 1, 1))
+    unk = scd2.unknown_member("code", ["name"], "key")
+    dim = scd2.versioned_dim(snap, "code", ["name"], key_col="key", unknown=unk)
+    facts = spark.range(5000).select(
+        "id", F.when(F.col("id") % 7 == 0, F.concat(F.lit("C"), (F.col("id") % 6).cast("string")))
+        .otherwise(F.lit("C0")).alias("code"),
+        F.date_add(F.lit(dt.date(2020, 6, 1)), (F.col("id") % 400).cast("int")).alias("d"))
+    plain = scd2.point_in_time_join(facts, dim, "code", "d", "code", ["key"], unknown=unk)
+    salted = scd2.point_in_time_join(facts, dim, "code", "d", "code", ["key"], unknown=unk, salt_buckets=8)
+    assert salted.columns == plain.columns
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+    inner = scd2.point_in_time_join(facts, dim, "code", "d", "code", ["key"], salt_buckets=8)
+    assert inner.count() == plain.filter(F.col("code").isin([f"C{i}" for i in range(5)])).count()
