@@ -219,7 +219,8 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, fact_code: Column | str,
             & (F.col("__date") < F.col("__vt")))
     if salt_buckets > 1:
         f = f.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt_buckets)))
-        dsel = dsel.withColumn("__dsalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).cast("long"))
+        dsel = dsel.withColumn("__dsalt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                               F.lit(salt_buckets - 1).cast("long"))))
         cond = cond & (F.col("__salt") == F.col("__dsalt"))
     if unknown is None:
         j = f.join(dsel, cond, "inner")
