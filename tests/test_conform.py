@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from tessera.operators import conform
 from tessera.sources import seeds

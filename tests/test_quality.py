@@ -1,6 +1,3 @@
-import datetime as dt
-
-from pyspark.sql import functions as F
 
 from tessera.operators import quality as Q
 

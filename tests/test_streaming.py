@@ -1,7 +1,4 @@
 import os
-import time
-
-from pyspark.sql import functions as F
 
 from tessera.plans import warehouse as W
 from tessera.streaming import landing
