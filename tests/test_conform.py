@@ -1,4 +1,3 @@
-
 from tessera.operators import conform
 from tessera.sources import seeds
 

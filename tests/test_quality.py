@@ -1,4 +1,3 @@
-
 from tessera.operators import quality as Q
 
 
