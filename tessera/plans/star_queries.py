@@ -83,9 +83,26 @@ def _query(fn):
     return wrapper
 
 
+def _modification_time(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(hpath).getModificationTime()
+
+
 @_memo
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table, as a catalog would serve it: the relation (file listing
+    and Parquet schema) is kept per session and reused while the path's
+    modification time is unchanged."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    relations = spark.__dict__.setdefault("_tessera_relations", {})
+    stamp = _modification_time(spark, path)
+    hit = relations.get(path)
+    if hit is None or hit[0] != stamp:
+        hit = (stamp, spark.read.parquet(path))
+        relations[path] = hit
+    return hit[1]
 
 
 def _money(c: Column | str) -> Column:
