@@ -32,6 +32,10 @@ PLANNING_CONF = {
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # Building a plan makes many Column calls; with DataFrame debugging on,
+    # each also records its Python call site in the JVM (extra round trips).
+    # Off, error messages lose that call-site context; results are unchanged.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
