@@ -89,12 +89,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+_CLEANUP_REGISTERED: set[str] = set()
+
+
+def _delete_tree(jvm, path: str) -> None:
+    """Best-effort recursive delete through Hadoop's FileSystem API."""
+    try:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        conf = jvm.org.apache.hadoop.conf.Configuration()
+        hpath.getFileSystem(conf).delete(hpath, True)
+    except Exception:  # noqa: BLE001 - the JVM may already be gone at exit
+        pass
+
+
 def materialize(df, name: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: the lineage is cut, the rows are stored columnar and compressed, and
-    a lost executor costs a re-read instead of a recomputation."""
+    a lost executor costs a re-read instead of a recomputation.
+
+    Tables live in a folder per application, removed when the driver process
+    exits (results returned lazily stay readable while the application runs).
+    """
+    import atexit
     import uuid
     spark = df.sparkSession
-    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    app = spark.sparkContext.applicationId
+    folder = scratch_path(spark, f"tables/{app}")
+    if folder not in _CLEANUP_REGISTERED:
+        _CLEANUP_REGISTERED.add(folder)
+        atexit.register(_delete_tree, spark.sparkContext._jvm, folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)   # schema known: no footer inference
