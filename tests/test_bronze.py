@@ -75,3 +75,15 @@ def test_land_text_and_refresh(spark, tmp_path):
     r3 = bronze.full_refresh(landed.withColumn("extra", F.lit("e")), path)
     assert r3["added"] == ["extra"] and not r3["same"]
     assert spark.read.parquet(path).columns[-1] == "extra"
+
+
+def test_latest_extract_tie_goes_to_first_listed(spark, tmp_path):
+    doc = {"result": {"resources": [
+        {"name": "Road Crash Data 2019-2024", "url": "http://h/first.zip"},
+        {"name": "Road Crash Data 2020-2024", "url": "http://h/second.zip"},
+        {"name": "Road Crash Data 2018-2023", "url": "http://h/older.ZIP"}]}}
+    p = tmp_path / "cat.json"
+    p.write_text(json.dumps(doc))
+    cat = spark.read.option("multiLine", True).json(str(p))
+    best = bronze.require_one(bronze.latest_extract(cat, r"Road Crash Data \d{4}-(\d{4})"), "extract")
+    assert best["url"] == "http://h/first.zip" and best["end_year"] == 2024
