@@ -98,7 +98,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     modification time is unchanged."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     relations = spark.__dict__.setdefault("_tessera_relations", {})
-    stamp = _modification_time(spark, path)
+    try:
+        stamp = _modification_time(spark, path)
+    except Exception:  # noqa: BLE001 - no JVM access (e.g. a remote session): plain read
+        return spark.read.parquet(path)
     hit = relations.get(path)
     if hit is None or hit[0] != stamp:
         hit = (stamp, spark.read.parquet(path))

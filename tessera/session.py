@@ -113,7 +113,10 @@ def materialize(df, name: str):
     import atexit
     import uuid
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (remote session): reliable checkpoint
+        return df.checkpoint(eager=True)
     folder = scratch_path(spark, f"tables/{app}")
     if folder not in _CLEANUP_REGISTERED:
         _CLEANUP_REGISTERED.add(folder)
