@@ -36,3 +36,28 @@ def test_rate_report_joins_and_filters(spark):
     r = rows[0]
     assert (r.name, r.crashes, r.casualties, r.population, r.crashes_per_10k, r.casualties_per_10k) == \
         ("One", 2, 4, 20000, 1.0, 2.0)
+
+
+def test_per_capita_matches_exact_decimal_rounding(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from hypothesis import given, settings, strategies as st
+
+    cases = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.integers(min_value=-10**12, max_value=10**12), st.integers(min_value=1, max_value=10**8),
+           st.sampled_from([0, 2]))
+    def collect(n, d, scale):
+        cases.append((n, d, scale))
+
+    collect()
+    df = spark.createDataFrame(cases, "n long, d long, scale int")
+    got = {}
+    for scale in (0, 2):
+        part = df.filter(F.col("scale") == scale).select(
+            "n", "d", report.per_capita(F.col("n"), F.col("d"), numerator_scale=scale).alias("r")).collect()
+        got.update({(r.n, r.d, scale): r.r for r in part})
+    for n, d, scale in cases:
+        exact = (Decimal(n) / Decimal(10 ** scale) * 10000 / Decimal(d)).quantize(Decimal("0.1"), ROUND_HALF_UP)
+        assert got[(n, d, scale)] == float(exact), (n, d, scale)

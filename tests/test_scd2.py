@@ -130,3 +130,29 @@ def test_pit_join_keeps_every_fact_row(spark):
     out = scd2.point_in_time_join(facts, dim, "code", "d", "code", ["key"], unknown=unk)
     ids = [r.id for r in out.collect()]
     assert sorted(ids) == list(range(len(cases)))
+
+
+def test_merge_idempotent_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    releases = []
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(st.tuples(st.sampled_from(["A", "B", "C", "D"]), st.sampled_from(["x", "y", None])),
+                    min_size=0, max_size=4, unique_by=lambda t: t[0]),
+           st.lists(st.tuples(st.sampled_from(["A", "B", "C", "D"]), st.sampled_from(["x", "y", None])),
+                    min_size=0, max_size=4, unique_by=lambda t: t[0]))
+    def collect(r1, r2):
+        releases.append((r1, r2))
+
+    collect()
+    for r1, r2 in releases:
+        s1 = spark.createDataFrame([(k, v, "p") for k, v in r1], SRC)
+        s2 = spark.createDataFrame([(k, v, "p") for k, v in r2], SRC)
+        snap = scd2.snapshot_merge(scd2.snapshot_merge(None, s1, "code", ["name"], T1), s2, "code", ["name"], T2)
+        snap = spark.createDataFrame(snap.collect(), snap.schema)
+        again = scd2.snapshot_merge(snap, s2, "code", ["name"], T3)
+        assert snap_rows(again) == snap_rows(snap)
+        # exactly one open version per key ever seen
+        opened = [r for r in snap.collect() if r.valid_to_ts is None]
+        assert sorted(r.code for r in opened) == sorted({k for k, _ in r1} | {k for k, _ in r2})
