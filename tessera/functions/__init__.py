@@ -1,0 +1 @@
+"""Column-level helpers built from Spark expressions."""

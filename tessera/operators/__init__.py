@@ -1,0 +1 @@
+"""Reusable operators: conform, scd2, dims, report, quality."""

@@ -1,0 +1 @@
+"""Plans built from the operators: the warehouse build and the driver queries."""

@@ -1,0 +1 @@
+"""Structured Streaming: incremental landing and per-release snapshot merge."""
