@@ -135,22 +135,43 @@ def stored_columns(spark: SparkSession, path: str) -> list[str] | None:
         return None
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
+
+
 def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> dict:
     """Replace the table at ``path``; warn when its column set changed.
 
-    Both the same-schema reload and the rebuilt-on-drift cases are one
-    ``overwrite``. Returns the drift report and the written row count, taken
-    with ``observe`` during the write (no second pass).
+    Both the same-schema reload and the rebuilt-on-drift cases are one write.
+    The new rows are written to a staging folder next to the table and swapped
+    in only after the write job succeeded, so a failed job (lost executors
+    beyond the retry limit, bad input) leaves the previous table readable.
+    Returns the drift report and the written row count, taken with
+    ``observe`` during the write (no second pass).
     """
+    import uuid
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
     drift = schema_drift(df.columns, stored_columns(spark, path))
     if drift["exists"] and not drift["same"]:
         log.warning("schema drift at %s: added %s, removed %s", path, drift["added"], drift["removed"])
-    from pyspark.sql import Observation
+    staging = f"{path.rstrip('/')}.__staging_{uuid.uuid4().hex}"
     obs = Observation("rows")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    fs, target, jvm = _hadoop_fs(spark, path)
+    try:
+        writer.parquet(staging)
+    except Exception:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)   # drop the partial staging folder
+        raise
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
+        raise OSError(f"could not move {staging} to {path}")
     drift["rows"] = obs.get.get("rows", 0)
     return drift

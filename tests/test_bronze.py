@@ -87,3 +87,14 @@ def test_latest_extract_tie_goes_to_first_listed(spark, tmp_path):
     cat = spark.read.option("multiLine", True).json(str(p))
     best = bronze.require_one(bronze.latest_extract(cat, r"Road Crash Data \d{4}-(\d{4})"), "extract")
     assert best["url"] == "http://h/first.zip" and best["end_year"] == 2024
+
+
+def test_full_refresh_keeps_old_table_when_write_fails(spark, tmp_path):
+    import os
+    path = str(tmp_path / "t")
+    bronze.full_refresh(spark.createDataFrame([("1",)], "k string"), path)
+    bad = spark.createDataFrame([("x",)], "k string").select(F.col("k").cast("int").alias("k"))  # ANSI: fails
+    with pytest.raises(Exception):
+        bronze.full_refresh(bad, path)
+    assert [r.k for r in spark.read.parquet(path).collect()] == ["1"]
+    assert not any(n.startswith("t.__staging") for n in os.listdir(tmp_path))
