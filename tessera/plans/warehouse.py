@@ -409,7 +409,7 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_t
         path = f"{out}/{layer}/{folder or name}"
         if cluster_by:
             df = df.sortWithinPartitions(cluster_by)
-        df.write.mode("overwrite").parquet(path)
+        bronze.full_refresh(df, path)      # staged write, swapped in after success
         paths[name] = path
         return spark.read.parquet(path)
 
