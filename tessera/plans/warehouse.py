@@ -384,7 +384,7 @@ def register_views(spark: SparkSession, raw: Mapping[str, DataFrame] | None = No
 
 def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_ts: _dt.datetime,
           previous_snapshot: DataFrame | None = None, fail_on_violation: bool = False,
-          trim_all: bool = False) -> dict[str, str]:
+          trim_all: bool = False, report_grain: str = "version") -> dict[str, str]:
     """Build and write the gold layer from bronze frames.
 
     Order: silver views -> region snapshot (written as a new version, then
@@ -441,7 +441,8 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], out_dir: str, run_t
     tables["fact_population_annual"] = write("fact_population_annual", fact_population_annual(erp, regions))
     tables["rpt_lga_crash_rates"] = write(
         "rpt_lga_crash_rates",
-        rpt_lga_crash_rates(tables["fact_road_crashes"], tables["fact_population_annual"], regions))
+        rpt_lga_crash_rates(tables["fact_road_crashes"], tables["fact_population_annual"], regions,
+                            grain=report_grain))
     write("rpt_casualty_rates_by_age",
           rpt_casualty_rates_by_age(tables["fact_crash_casualties"], tables["fact_population_annual"], regions))
     checks = warehouse_checks(tables)
