@@ -87,10 +87,14 @@ def pg_initcap(c: ColumnOrName) -> Column:
     follows the convention of capitalising after apostrophes, hyphens and
     dots as well (``O'Halloran``). A space is put after every non-alphanumeric
     character, ``initcap`` is applied, and exactly those spaces are removed
-    again: built-in expressions only, so it stays in generated code.
+    again: built-in expressions only, so it stays in generated code. Text
+    made of letters, digits and spaces only (the common case) needs just
+    ``initcap``; one regex test routes the rest through the full form.
     """
-    spaced = F.regexp_replace(F.lower(_col(c)), r"([^\p{L}\p{N}])", "$1 ")
-    return F.regexp_replace(F.initcap(spaced), r"([^\p{L}\p{N}]) ", "$1")
+    c = _col(c)
+    spaced = F.regexp_replace(F.lower(c), r"([^\p{L}\p{N}])", "$1 ")
+    full = F.regexp_replace(F.initcap(spaced), r"([^\p{L}\p{N}]) ", "$1")
+    return F.when(c.rlike(r"[^\p{L}\p{N} ]"), full).otherwise(F.initcap(c))
 
 
 def decode(c: ColumnOrName, mapping: Sequence[tuple[object, object]], default: object = None) -> Column:
