@@ -203,7 +203,10 @@ def reconcile(parent: DataFrame, child: DataFrame, key: str, stated: str, measur
 
 
 def coverage_gaps(required: DataFrame, available: DataFrame, column: str) -> DataFrame:
-    """Distinct values of ``required`` missing from ``available`` (anti join)."""
+    """Distinct values of ``required`` missing from ``available`` (anti join).
+
+    A NULL required value never matches, so it is reported as a gap, as a
+    left join filtered on the missing side would report it."""
     need = required.select(column).distinct()
     have = available.select(column).distinct()
     return need.join(have, column, "left_anti")

@@ -37,3 +37,9 @@ def test_coverage_gaps(spark):
     a = spark.createDataFrame([(2020,), (2021,), (2021,), (2024,)], "year int")
     b = spark.createDataFrame([(2020,), (2021,)], "year int")
     assert [r.year for r in Q.coverage_gaps(a, b, "year").collect()] == [2024]
+
+
+def test_coverage_gap_reports_null(spark):
+    a = spark.createDataFrame([(2020,), (None,)], "year int")
+    b = spark.createDataFrame([(2020,), (None,)], "year int")
+    assert [r.year for r in Q.coverage_gaps(a, b, "year").collect()] == [None]
