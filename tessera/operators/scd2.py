@@ -58,18 +58,32 @@ def snapshot_merge(current: DataFrame | None, source: DataFrame, key: str,
     Returns a new snapshot; the caller writes it to a *new* location (Spark
     cannot overwrite a table it is reading).
     """
-    cols = list(source.columns)
-    if key not in cols:
-        raise ValueError(f"key {key!r} not in source columns {cols}")
+    if key not in source.columns:
+        raise ValueError(f"key {key!r} not in source columns {source.columns}")
     run = _ts(run_ts)
     if current is None:
-        return source.select(*cols, run.alias(VALID_FROM_TS), F.lit(None).cast("timestamp").alias(VALID_TO_TS))
+        return source.select(*source.columns, run.alias(VALID_FROM_TS),
+                             F.lit(None).cast("timestamp").alias(VALID_TO_TS))
 
-    history = current.filter(F.col(VALID_TO_TS).isNotNull()).select(*cols, VALID_FROM_TS, VALID_TO_TS)
-    open_rows = current.filter(F.col(VALID_TO_TS).isNull()).select(*cols, VALID_FROM_TS)
+    # Column drift between runs: the snapshot keeps the union of columns; a
+    # new source column is NULL on older versions, a dropped one is NULL on
+    # versions opened from now on.
+    kept = [c for c in current.columns if c not in (VALID_FROM_TS, VALID_TO_TS)]
+    cols = list(source.columns) + [c for c in kept if c not in source.columns]
+
+    def from_current(c):
+        return F.col(c) if c in current.columns else F.lit(None).cast(source.schema[c].dataType)
+
+    def from_source(c):
+        return F.col(c) if c in source.columns else F.lit(None).cast(current.schema[c].dataType)
+
+    history = current.filter(F.col(VALID_TO_TS).isNotNull()).select(
+        *[from_current(c).alias(c) for c in cols], VALID_FROM_TS, VALID_TO_TS)
+    open_rows = current.filter(F.col(VALID_TO_TS).isNull()).select(
+        *[from_current(c).alias(c) for c in cols], VALID_FROM_TS)
 
     o = open_rows.select(*[F.col(c).alias(f"o__{c}") for c in open_rows.columns])
-    s = source.select(*[F.col(c).alias(f"s__{c}") for c in cols])
+    s = source.select(*[from_source(c).alias(f"s__{c}") for c in cols])
     j = o.join(s, F.col(f"o__{key}") == F.col(f"s__{key}"), "full_outer")
 
     in_old = F.col(f"o__{key}").isNotNull()

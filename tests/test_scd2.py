@@ -156,3 +156,13 @@ def test_merge_idempotent_property(spark):
         # exactly one open version per key ever seen
         opened = [r for r in snap.collect() if r.valid_to_ts is None]
         assert sorted(r.code for r in opened) == sorted({k for k, _ in r1} | {k for k, _ in r2})
+
+
+def test_merge_with_column_drift(spark):
+    s1 = spark.createDataFrame([("A", "Alpha", "gone")], "code string, name string, old_col string")
+    s2 = spark.createDataFrame([("A", "Alpha2", "new"), ("B", "Beta", "new")], "code string, name string, new_col string")
+    snap = scd2.snapshot_merge(scd2.snapshot_merge(None, s1, "code", ["name"], T1), s2, "code", ["name"], T2)
+    assert set(snap.columns) == {"code", "name", "old_col", "new_col", scd2.VALID_FROM_TS, scd2.VALID_TO_TS}
+    rows = sorted((r.code, r.name, r.old_col, r.new_col, r.valid_to_ts is None) for r in snap.collect())
+    assert rows == [("A", "Alpha", "gone", None, False), ("A", "Alpha2", None, "new", True),
+                    ("B", "Beta", None, "new", True)]
