@@ -108,49 +108,32 @@ def make_bands(spark: SparkSession, start: int, width: int, count: int, open_max
 
 def band_join(df: DataFrame, value: Column | str, bands: DataFrame, code_col: str = "band_code",
               lo: str = "min_value", hi: str = "max_value", out_col: str | None = None,
-              how: str = "left", max_members: int = 100_000, max_bands: int = 10_000) -> DataFrame:
+              how: str = "left", width: int = 64) -> DataFrame:
     """Attach the band whose closed interval ``[lo, hi]`` holds the value.
 
-    Bands are a seed-sized table (a bounded, version-controlled list), so they
-    are broadcast. With integer bounds the bands are exploded to one row per
-    member integer and joined by equality on the value (integral values) or
-    on ``floor(value)`` plus the closed-interval check (fractional values):
-    a hash lookup instead of testing every band. Otherwise the interval
-    predicate is evaluated against the broadcast bands. A NULL value finds no
-    band. All forms give the same rows.
+    One form for any number of bands and any width: each band is cut into
+    buckets of ``width`` units and repeated once per bucket it touches, rows
+    are joined by equality on the bucket of their value, and the interval is
+    checked on the pairs that meet. Choose ``width`` near the usual width of a
+    band: wider bands give more rows (``(hi - lo) / width`` each), narrower
+    ones more pairs per value. AQE decides whether the bands are broadcast.
+    Values and bounds are numbers or dates (a date counts in days). A NULL
+    value finds no band; a band with a NULL bound holds nothing.
     """
     v = F.col(value) if isinstance(value, str) else value
     out_col = out_col or code_col
     f = df.withColumn("__band_value", v)
-    vtype = f.schema["__band_value"].dataType
-    int_types = (T.IntegerType, T.LongType, T.ShortType, T.ByteType)
-    integral_value = isinstance(vtype, int_types)
-    numeric_value = integral_value or isinstance(vtype, (T.FloatType, T.DoubleType, T.DecimalType))
-    integral_bounds = (isinstance(bands.schema[lo].dataType, int_types)
-                       and isinstance(bands.schema[hi].dataType, int_types))
-    # Bands are broadcast, so their size is checked first: at most
-    # ``max_bands`` rows (a bounded read; for bands built in memory the rows
-    # are already on the driver and no job runs).
-    spans = bands.select((F.col(hi).cast("long") - F.col(lo).cast("long") + 1).alias("n")) \
-        .limit(max_bands + 1).collect()
-    if len(spans) > max_bands:
-        raise ValueError(f"band table exceeds {max_bands} rows; it is not a seed-sized table")
-    exploded_ok = (numeric_value and integral_bounds
-                   and sum(max(r.n or 0, 0) for r in spans) <= max_members)
-    if exploded_ok:
-        exploded = (bands.select(F.explode(F.sequence(F.col(lo).cast("long"), F.col(hi).cast("long"))).alias("__bv"),
-                                 F.col(lo).alias("__lo"), F.col(hi).alias("__hi"), F.col(code_col).alias(out_col)))
-        if integral_value:
-            cond = F.col("__band_value").cast("long") == F.col("__bv")
-        else:
-            cond = ((F.floor(F.col("__band_value")).cast("long") == F.col("__bv"))
-                    & (F.col("__band_value") >= F.col("__lo")) & (F.col("__band_value") <= F.col("__hi")))
-        j = f.join(F.broadcast(exploded), cond, how)
-        return j.drop("__bv", "__lo", "__hi", "__band_value")
-    b = bands.select(F.col(lo).alias("__lo"), F.col(hi).alias("__hi"), F.col(code_col).alias(out_col))
-    cond = (F.col("__band_value") >= F.col("__lo")) & (F.col("__band_value") <= F.col("__hi"))
-    j = f.join(F.broadcast(b), cond, how)
-    return j.drop("__lo", "__hi", "__band_value")
+
+    def bucket(c: Column, kind: T.DataType) -> Column:
+        c = F.unix_date(c) if isinstance(kind, T.DateType) else c
+        return F.floor(c / F.lit(width)).cast("long")
+    f = f.withColumn("__bucket", bucket(F.col("__band_value"), f.schema["__band_value"].dataType))
+    b = bands.filter(F.col(lo) <= F.col(hi)).select(
+        F.explode(F.sequence(bucket(F.col(lo), bands.schema[lo].dataType), bucket(F.col(hi), bands.schema[hi].dataType)))
+        .alias("__band_bucket"), F.col(lo).alias("__lo"), F.col(hi).alias("__hi"), F.col(code_col).alias(out_col))
+    inside = (F.col("__band_value") >= F.col("__lo")) & (F.col("__band_value") <= F.col("__hi"))
+    j = f.join(b, (F.col("__bucket") == F.col("__band_bucket")) & inside, how)
+    return j.drop("__bucket", "__band_bucket", "__lo", "__hi", "__band_value")
 
 
 def junk_dim(df: DataFrame, cols: Sequence[str], key_col: str = "condition_key") -> DataFrame:

@@ -137,9 +137,13 @@ def duplicate_keys(df: DataFrame, cols: Sequence[str], skip_nulls: bool) -> Data
 
 
 def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-NULL key is absent from the parent."""
-    keys = parent.select(F.col(parent_column).alias("__pk")).distinct()
-    child = df.select(column).filter(F.col(column).isNotNull())
+    """Non-NULL child keys that the parent lacks, with the number of child rows (``n``).
+
+    Child rows are counted per key first (combined before the shuffle), so a
+    hot key reaches the join as one row per task.
+    """
+    child = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    keys = parent.select(F.col(parent_column).alias("__pk"))
     return child.join(keys, F.col(column) == F.col("__pk"), "left_anti")
 
 
@@ -167,7 +171,8 @@ def scorecard(tables: Sequence[tuple[str, DataFrame, Sequence]]) -> DataFrame:
                 parts.append(n.select(F.lit(table).alias("table_name"), F.lit(ch.name).alias("check_name"),
                                       F.lit(ch.column).alias("column_name"), "violations"))
             elif isinstance(ch, Relationship):
-                n = orphans(df, ch.column, ch.parent, ch.parent_column).agg(F.count(F.lit(1)).alias("violations"))
+                n = orphans(df, ch.column, ch.parent, ch.parent_column).agg(
+                    F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
                 parts.append(n.select(F.lit(table).alias("table_name"), F.lit("relationships").alias("check_name"),
                                       F.lit(ch.column).alias("column_name"), "violations"))
     if not parts:

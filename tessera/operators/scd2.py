@@ -39,6 +39,22 @@ def _ts(value) -> Column:
     return F.lit(value).cast("timestamp")
 
 
+def repeated_keys(source: DataFrame, key: str) -> DataFrame:
+    """Keys (NULL included) that more than one row of an extract has, with the number of rows."""
+    return source.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def _one_per_key(source: DataFrame, key: str) -> DataFrame:
+    """``source``, failing at run time on a repeated key (combined before the
+    shuffle; the merge's join reuses the partitioning)."""
+    grouped = source.groupBy(F.col(key).alias("__key")).agg(
+        F.first(F.struct(*source.columns)).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    repeated = F.concat(F.lit(f"source holds key {key} = "), F.coalesce(F.col("__key").cast("string"), F.lit("NULL")),
+                        F.lit(" more than once"))
+    checked = F.when(F.col("__n") > 1, F.raise_error(repeated).cast(source.schema.simpleString())).otherwise(F.col("__row"))
+    return grouped.select(checked.alias("__row")).select("__row.*")
+
+
 def snapshot_merge(current: DataFrame | None, source: DataFrame, key: str,
                    check_cols: Sequence[str], run_ts, invalidate_deleted: bool = False) -> DataFrame:
     """One run of a check-strategy type-2 snapshot.
@@ -51,6 +67,11 @@ def snapshot_merge(current: DataFrame | None, source: DataFrame, key: str,
     * key only in the snapshot (deleted at source): kept open, or closed at
       ``run_ts`` when ``invalidate_deleted``.
 
+    A NULL key is a key like any other (keys meet NULL-safe), so its row is
+    stored once and kept. A key that the source holds more than once has no
+    defined version: the merge fails with its value when it is run
+    (``repeated_keys`` lists such keys beforehand).
+
     Closed history never takes part in the join; only open versions meet the
     source, in one full outer join on ``key`` (both sides hold one row per key,
     so no key can be skewed). Each joined row emits one or two versions through
@@ -61,6 +82,7 @@ def snapshot_merge(current: DataFrame | None, source: DataFrame, key: str,
     if key not in source.columns:
         raise ValueError(f"key {key!r} not in source columns {source.columns}")
     run = _ts(run_ts)
+    source = _one_per_key(source, key)
     if current is None:
         return source.select(*source.columns, run.alias(VALID_FROM_TS),
                              F.lit(None).cast("timestamp").alias(VALID_TO_TS))
@@ -82,12 +104,12 @@ def snapshot_merge(current: DataFrame | None, source: DataFrame, key: str,
     open_rows = current.filter(F.col(VALID_TO_TS).isNull()).select(
         *[from_current(c).alias(c) for c in cols], VALID_FROM_TS)
 
-    o = open_rows.select(*[F.col(c).alias(f"o__{c}") for c in open_rows.columns])
-    s = source.select(*[from_source(c).alias(f"s__{c}") for c in cols])
-    j = o.join(s, F.col(f"o__{key}") == F.col(f"s__{key}"), "full_outer")
+    o = open_rows.select(*[F.col(c).alias(f"o__{c}") for c in open_rows.columns], F.lit(True).alias("o__present"))
+    s = source.select(*[from_source(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s__present"))
+    j = o.join(s, F.col(f"o__{key}").eqNullSafe(F.col(f"s__{key}")), "full_outer")
 
-    in_old = F.col(f"o__{key}").isNotNull()
-    in_new = F.col(f"s__{key}").isNotNull()
+    in_old = F.col("o__present").isNotNull()
+    in_new = F.col("s__present").isNotNull()
     same = F.lit(True)
     for c in check_cols:
         same = same & F.col(f"o__{c}").eqNullSafe(F.col(f"s__{c}"))
@@ -190,7 +212,7 @@ def versioned_dim(snapshot: DataFrame, key: str, attrs: Sequence[str], key_col:
 
 def point_in_time_join(fact: DataFrame, dim: DataFrame, fact_code: Column | str, event_date: Column | str,
                        dim_code: str, dim_cols: Sequence[str], unknown: Mapping[str, Column] | None = None,
-                       broadcast_dim: bool = False, salt_buckets: int = 0) -> DataFrame:
+                       salt_buckets: int = 0) -> DataFrame:
     """Attach the dimension version in force on the event date.
 
     Match = ``dim_code == fact_code`` and ``valid_from <= date < valid_to``.
@@ -201,13 +223,17 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, fact_code: Column | str,
       unknown member's values. For a dimension built by ``versioned_dim`` the
       versions of a code tile 1900-01-01..9999-12-31, so "no version" means
       "code unknown to the dimension", which is exactly the rows the inner
-      form would route to ``UNK`` beforehand, with one join instead of two.
+      form would route to ``UNK`` beforehand, with one join instead of two. The
+      forms differ for a row whose event date is NULL: the inner form drops it,
+      the left form sends it to the unknown member.
 
     The equi part (code) drives the plan: a broadcast hash join when the
-    dimension is small (AQE decides from the measured size unless
-    ``broadcast_dim`` asserts a fixed bound), else a sort-merge join on code,
-    where AQE splits a hot code (e.g. ``UNK``) across tasks. The date range is a
-    residual predicate on the matched pairs.
+    dimension is small (AQE decides from the measured size), else a sort-merge
+    join on code, where AQE splits a hot code (e.g. ``UNK``) across tasks. It
+    can do so only if both sides are shuffled for the join; a dimension that is
+    already partitioned by its code (straight from a window) has no exchange,
+    so pass ``salt_buckets`` of 2 or more for it. The date range is a residual
+    predicate on the matched pairs.
 
     ``salt_buckets > 1`` spreads every code over that many join keys without
     relying on AQE: each fact row gets a salt from a hash of its own columns
@@ -221,8 +247,6 @@ def point_in_time_join(fact: DataFrame, dim: DataFrame, fact_code: Column | str,
     wanted = list(dict.fromkeys([*dim_cols]))
     dsel = dim.select(F.col(dim_code).alias("__dim_code"), F.col("valid_from").alias("__vf"),
                       F.col("valid_to").alias("__vt"), *[F.col(c).alias(f"__d_{c}") for c in wanted])
-    if broadcast_dim:
-        dsel = F.broadcast(dsel)
     f = fact.withColumn("__code", code).withColumn("__date", d.cast("date"))
     if unknown is not None and isinstance(f.schema["__code"].dataType, T.StringType):
         # a NULL code can only end at the unknown member; giving it that code

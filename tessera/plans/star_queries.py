@@ -12,18 +12,19 @@ from __future__ import annotations
 import contextvars
 import datetime as _dt
 import functools
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import (digits_only_int, flag, pg_initcap, sentinel_to_null, surrogate_key)
-from tessera import session
+from tessera.functions.columns import (digits_only_int, flag, parse_day_first_timestamp, pg_initcap, sentinel_to_null,
+                                       strip_extract_suffix, surrogate_key)
 from tessera.operators import conform, dims, quality, report, scd2
+from tessera.session import checkpointed
 from tessera.sources import bronze, seeds
 
 # Fixed values of the test scenario (parameters, not data subsets).
 NATION_RUN_TS = _dt.datetime(1995, 1, 1)           # single snapshot run of the nation code list
+RELEASE_YEARS = (1996, 1997)                        # the two releases of the merge query
 PRIORITY_SENTINEL = "NOT SPECIFIED"                 # priority text meaning "no value"
 LARGE_ORDER = 300000                                # total price above which an order is "large"
 NON_PRIORITY = ("4-NOT SPECIFIED", "5-LOW")          # tracked values that are not priority customers
@@ -64,13 +65,6 @@ def _memo(fn):
     return wrapper
 
 
-def _provide(builder, sf_dir: str, df: DataFrame) -> None:
-    """Within the current query build, let ``builder(spark, sf_dir)`` return ``df``."""
-    cache = _SCOPE.get()
-    if cache is not None:
-        cache[(builder.__name__, (sf_dir,))] = df
-
-
 def _query(fn):
     @functools.wraps(fn)
     def wrapper(spark, sf_dir):
@@ -84,29 +78,10 @@ def _query(fn):
     return wrapper
 
 
-def _modification_time(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getFileStatus(hpath).getModificationTime()
-
-
 @_memo
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, as a catalog would serve it: the relation (file listing
-    and Parquet schema) is kept per session and reused while the path's
-    modification time is unchanged."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    relations = spark.__dict__.setdefault("_tessera_relations", {})
-    try:
-        stamp = _modification_time(spark, path)
-    except Exception:  # noqa: BLE001 - no JVM access (e.g. a remote session): plain read
-        return spark.read.parquet(path)
-    hit = relations.get(path)
-    if hit is None or hit[0] != stamp:
-        hit = (stamp, spark.read.parquet(path))
-        relations[path] = hit
-    return hit[1]
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _money(c: Column | str) -> Column:
@@ -149,18 +124,16 @@ def q03_json_flatten(spark, sf_dir):
 
 @_query
 def q04_union_parts(spark, sf_dir):
-    """One part per event type, each with its own column order, concatenated
-    by name and counted per type (A4, A8, G2)."""
-    e = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    types = ["click", "view", "purchase", "signup", "error"]
-    orders = [["event_id", "user_id", "event_type", "value"], ["value", "event_type", "event_id", "user_id"],
-              ["event_type", "value", "user_id", "event_id"], ["user_id", "event_id", "value", "event_type"],
-              ["event_type", "event_id", "user_id", "value"]]
-    parts = [e.filter(F.col("event_type") == t).select(*cols) for t, cols in zip(types, orders)]
-    rest = e.filter(~F.col("event_type").isin(*types))
-    u = bronze.union_parts([*parts, rest])
-    return u.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"),
-                                       F.sum(_money("value")).cast("double").alias("total_value"))
+    """Three tables with their own column orders, concatenated by name and
+    counted per kind and year (A4, A8, G2)."""
+    o, li = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
+    e = _t(spark, sf_dir, "events")
+    orders = o.select(F.lit("order").alias("kind"), F.year("o_orderdate").alias("year"), _money("o_totalprice").alias("value"))
+    lines = li.select(_money("l_extendedprice").alias("value"), F.lit("line").alias("kind"), F.year("l_shipdate").alias("year"))
+    events = e.select(_money("value").alias("value"), F.coalesce("event_type", F.lit("unknown")).alias("kind"))
+    u = bronze.union_parts([orders, lines, events])
+    return u.groupBy("kind", "year").agg(F.count(F.lit(1)).alias("rows"), F.count("value").alias("valued"),
+                                         F.sum("value").cast("double").alias("total_value"))
 
 
 # --------------------------------------------------------------------------- silver
@@ -348,6 +321,50 @@ def q13_scd2_merge(spark, sf_dir):
                     F.to_date(scd2.VALID_TO_TS).alias("valid_to_date"))
 
 
+def _release(spark, sf_dir, year: int) -> DataFrame:
+    """The customers with orders in a year, as a full extract."""
+    e = yearly_customer_extracts(spark, sf_dir)
+    return e.filter(F.year("run_ts") == year + 1).select("customer_code", "priority", "customer_name", "segment")
+
+
+@_query
+def q23_snapshot_merge(spark, sf_dir):
+    """Two snapshot runs on two releases: new, changed, unchanged and missing keys."""
+    first, second = RELEASE_YEARS
+    one = scd2.snapshot_merge(None, _release(spark, sf_dir, first), "customer_code", ["priority"], _dt.datetime(first + 1, 1, 1))
+    two = scd2.snapshot_merge(one, _release(spark, sf_dir, second), "customer_code", ["priority"], _dt.datetime(second + 1, 1, 1))
+    return two.select("customer_code", "priority", "customer_name", "segment",
+                      F.to_date(scd2.VALID_FROM_TS).alias("valid_from_date"), F.to_date(scd2.VALID_TO_TS).alias("valid_to_date"))
+
+
+@_query
+def q24_text_columns(spark, sf_dir):
+    """Id suffix, day-first timestamps and a prefix filter on text made of the
+    customers' orders, with counts of non-null values (H1, H12, B7, D3)."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    day = F.date_format("o_orderdate", "d/M/yyyy")
+    t = o.select(F.concat(F.col("o_orderkey").cast("string"), F.lit("-"), day).alias("id"),
+                 F.when(F.col("o_orderkey") % 7 != 0, F.concat(day, F.lit(" 9:05:00"))).alias("at"),
+                 F.col("o_orderkey").cast("string").alias("code"), "o_orderpriority")
+    t = t.filter(F.col("code").startswith("1")).select(strip_extract_suffix("id").alias("order_id"),
+                                                       parse_day_first_timestamp("at").alias("at"), "o_orderpriority")
+    return t.groupBy(F.col("o_orderpriority").alias("priority")).agg(
+        F.count(F.lit(1)).alias("orders"), F.count("at").alias("dated"), F.max("order_id").alias("last_id"),
+        F.to_date(F.max("at")).alias("last_day"))
+
+
+@_query
+def q25_bridge_fact(spark, sf_dir):
+    """Suppliers to regions over a bridge of nations, then to the version in force."""
+    s = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    bridge = _t(spark, sf_dir, "nation").select(F.col("n_nationkey"), F.col("n_nationkey").cast("string").alias("nation_code"))
+    j = s.join(bridge, s.s_nationkey == bridge.n_nationkey, "left")
+    j = j.withColumn("day", F.lit(_dt.date(1998, 1, 1)))
+    f = scd2.point_in_time_join(j, nation_dim(spark, sf_dir), F.coalesce("nation_code", F.lit(scd2.UNKNOWN_CODE)), "day",
+                                "nation_code", ["region_name"])
+    return f.groupBy("region_name").agg(F.count(F.lit(1)).alias("suppliers"), F.sum(_money("s_acctbal")).cast("double").alias("balance"))
+
+
 def customer_unknown() -> dict:
     return scd2.unknown_member("customer_code", ["priority", "customer_name", "segment"], "customer_key",
                                extra={"is_priority": False, "customer_id": None})
@@ -387,9 +404,10 @@ def fact_orders(spark, sf_dir) -> DataFrame:
                  F.col("o_orderdate").cast("date").alias("order_date"),
                  surrogate_key(CONDITION_COLS).alias("condition_key"),
                  F.col("o_orderstatus").alias("order_status"), F.col("o_totalprice").alias("total_price"))
-    # numeric id on both sides: the versions are already partitioned by it
+    # salted: the versions come partitioned by the id, and without an exchange of
+    # their own a hot customer's orders could not be split
     j = scd2.point_in_time_join(f, customer_versions(spark, sf_dir), "customer_id", "order_date", "customer_id",
-                                ["customer_key"], unknown=customer_unknown())
+                                ["customer_key"], unknown=customer_unknown(), salt_buckets=2)
     return j.select("order_key", "customer_key", "order_date", "condition_key", "order_status", "total_price")
 
 
@@ -441,10 +459,11 @@ def population_observations(spark, sf_dir) -> DataFrame:
     """
     o = _t(spark, sf_dir, "orders")
     c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    first = o.groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("first_year"))
+    first = o.groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("first_year"),
+                                       F.max(F.year("o_orderdate")).alias("last_year"))
     new = (first.join(c, first.o_custkey == c.c_custkey)
            .groupBy("c_nationkey", "c_mktsegment", "first_year").agg(F.count(F.lit(1)).alias("new_customers")))
-    last_year = o.agg(F.max(F.year("o_orderdate"))).scalar()
+    last_year = first.agg(F.max("last_year")).scalar()
     spread = new.select("c_nationkey", "c_mktsegment", "new_customers",
                         F.explode(F.sequence(F.col("first_year"), last_year)).alias("year"))
     cells = spread.groupBy("c_nationkey", "c_mktsegment", "year").agg(
@@ -502,7 +521,7 @@ def q19_rate_by_band(spark, sf_dir):
     (the population fact's cell), aggregated per order before any join (I16)."""
     li = _t(spark, sf_dir, "lineitem")
     per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"),
-                                            F.sum("l_quantity").cast("decimal(18,2)").alias("quantity"))
+                                            F.sum(_money("l_quantity")).alias("quantity"))
     o = orders_by_nation(spark, sf_dir)
     j = per_order.join(o, per_order.l_orderkey == o.o_orderkey).select(
         "region_key", F.year("order_date").cast("int").alias("year"), F.col("c_mktsegment").alias("segment"),
@@ -548,32 +567,15 @@ def q21_coverage(spark, sf_dir):
     return quality.coverage_gaps(o, s, "day")
 
 
-def star_checks(spark, sf_dir, materialize: bool = True):
-    """The star tables and their checks. With ``materialize`` each large table
-    is built once and written under the shared checkpoint folder (as the gold
-    layer would be stored), so the checks scan stored rows instead of
-    rebuilding a table per check."""
-    def keep(builder, name):
-        df = builder(spark, sf_dir)
-        if not materialize:
-            return df
-        stored = session.materialize(df, name)
-        _provide(builder, sf_dir, stored)   # later builders read the stored table
-        return stored
-
-    # Every table whose build reads a big table is stored once (the population
-    # fact is small but is derived from all orders); the nation dimension is
-    # built from two tiny tables and is simply recomputed.
-    # The population fact does not depend on the customer -> order -> line chain,
-    # so it is written from a second driver thread while the chain runs.
-    with ThreadPoolExecutor(max_workers=1) as pool:
-        population = pool.submit(contextvars.copy_context().run, keep, fact_population, "fact_population")
-        cust = keep(customer_versions, "customer_dim").select(*CUSTOMER_DIM_COLS)
-        fo = keep(fact_orders, "fact_orders")
-        fl = fact_lines(spark, sf_dir, fo)
-        fl = session.materialize(fl, "fact_lines") if materialize else fl
-        fp = population.result()
-    nat = nation_dim(spark, sf_dir)
+def star_checks(spark, sf_dir):
+    """The star tables and their checks. Every table that is derived from a
+    large one is checkpointed, so that the checks read it and do not build it
+    once each; so is the small nation dimension."""
+    cust = checkpointed(customer_dim(spark, sf_dir))
+    fo = checkpointed(fact_orders(spark, sf_dir))
+    fl = checkpointed(fact_lines(spark, sf_dir, fo))
+    fp = checkpointed(fact_population(spark, sf_dir))
+    nat = checkpointed(nation_dim(spark, sf_dir))
     Q = quality
     return [
         ("customer_dim", cust, [Q.NotNull("customer_key"), Q.Unique("customer_key"), Q.NotNull("customer_code"),
@@ -625,4 +627,7 @@ QUERIES = {
     "q20_reconcile": q20_reconcile,
     "q21_coverage": q21_coverage,
     "q22_scorecard": q22_scorecard,
+    "q23_snapshot_merge": q23_snapshot_merge,
+    "q24_text_columns": q24_text_columns,
+    "q25_bridge_fact": q25_bridge_fact,
 }

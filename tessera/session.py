@@ -9,6 +9,7 @@ size are re-planned from measured shuffle sizes instead of guessed ones.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,7 +58,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_semantics(spark)
-    ensure_checkpoint_dir(spark)
+    if master and master.startswith("local"):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -70,57 +72,22 @@ def apply_semantics(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system folder and is left as
-    it is. Only when it is unset (local runs, tests) a private scratch folder
-    is created and registered.
+    On a cluster this setting must name a folder that the driver and all
+    executors share. Only a local master may leave it unset; it gets a
+    private scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not re.match(r"local($|\[)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A folder for intermediate tables, under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
-
-
-_CLEANUP_REGISTERED: set[str] = set()
-
-
-def _delete_tree(jvm, path: str) -> None:
-    """Best-effort recursive delete through Hadoop's FileSystem API."""
-    try:
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        conf = jvm.org.apache.hadoop.conf.Configuration()
-        hpath.getFileSystem(conf).delete(hpath, True)
-    except Exception:  # noqa: BLE001 - the JVM may already be gone at exit
-        pass
-
-
-def materialize(df, name: str):
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it
-    back: the lineage is cut, the rows are stored columnar and compressed, and
-    a lost executor costs a re-read instead of a recomputation.
-
-    Tables live in a folder per application, removed when the driver process
-    exits (results returned lazily stay readable while the application runs).
-    """
-    import atexit
-    import uuid
-    spark = df.sparkSession
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - no SparkContext (remote session): reliable checkpoint
-        return df.checkpoint(eager=True)
-    folder = scratch_path(spark, f"tables/{app}")
-    if folder not in _CLEANUP_REGISTERED:
-        _CLEANUP_REGISTERED.add(folder)
-        atexit.register(_delete_tree, spark.sparkContext._jvm, folder)
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)   # schema known: no footer inference
+def checkpointed(df):
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

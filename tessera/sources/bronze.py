@@ -19,6 +19,7 @@ log = logging.getLogger(__name__)
 
 SOURCE_RESOURCE = "_source_resource"
 INGESTED_AT = "_ingested_at"
+FILE_NAME = "_file_name"
 
 
 class MissingEntityError(RuntimeError):
@@ -40,18 +41,40 @@ def land_text(df: DataFrame, source_resource: str | Column, with_timestamp: bool
     return df.select(*cols)
 
 
-def read_text_csv(spark: SparkSession, paths: str | Sequence[str], blank_as_null: bool = True) -> DataFrame:
+def read_text_csv(spark: SparkSession, paths: str | Sequence[str], blank_as_null: bool = True,
+                  file_name: bool = False) -> DataFrame:
     """Header CSV, every column a string, no type inference.
 
-    UTF-8 BOM is dropped from the header, short rows are NULL-padded and extra
-    fields dropped by Spark's reader. With ``blank_as_null`` a quoted ``""`` is
-    also turned into NULL (Spark already reads unquoted empties as NULL).
+    Quotes inside quoted fields are doubled, and quoted fields may hold line
+    breaks; such a file cannot be split, so one file is read by one task and
+    extracts should come as files of bounded size. Files with different headers
+    (or column orders) are read each with its own and aligned by name; a column
+    that a file lacks is NULL. A UTF-8 BOM is dropped, short rows are
+    NULL-padded, extra fields dropped. Empty fields are NULL, or ``''`` with
+    ``blank_as_null=False`` (a short row's missing fields too).
+    ``file_name`` adds the name of each row's file as ``_file_name``.
     """
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("encoding", "UTF-8").option("mode", "PERMISSIVE").csv(paths))
-    if blank_as_null:
-        df = df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
-    return df
+    wanted = [paths] if isinstance(paths, str) else list(paths)
+    files = [r[0] for r in spark.read.format("binaryFile").load(wanted).select("path").collect()]   # names only
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in sorted(files):
+        by_header.setdefault(tuple(_csv(spark, path).columns), []).append(path)
+    if not by_header:
+        raise FileNotFoundError(f"no CSV file at {wanted}")
+    parts = []
+    for group in by_header.values():
+        df = _csv(spark, group)
+        empty = (lambda c: F.nullif(c, F.lit(""))) if blank_as_null else (lambda c: F.coalesce(c, F.lit("")))
+        columns = [empty(F.col(f"`{c}`")).alias(c) for c in df.columns]
+        parts.append(df.select(*columns, F.col("_metadata.file_name").alias(FILE_NAME)) if file_name else df.select(*columns))
+    out = union_parts(parts)
+    return out if blank_as_null else out.fillna("")
+
+
+def _csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return (spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8")
+            .option("quote", '"').option("escape", '"').option("multiLine", True)
+            .option("mode", "PERMISSIVE").csv(paths))
 
 
 def read_extract(spark: SparkSession, folder: str, suffix_by_entity: Mapping[str, str],
@@ -66,9 +89,13 @@ def read_extract(spark: SparkSession, folder: str, suffix_by_entity: Mapping[str
     missing: list[str] = []
     for entity, suffix in suffix_by_entity.items():
         try:
-            df = read_text_csv(spark, f"{folder.rstrip('/')}/*{suffix}", blank_as_null)
-            frames[entity] = df.withColumn(SOURCE_RESOURCE, F.col("_metadata.file_name"))
-        except AnalysisException:
+            df = read_text_csv(spark, f"{folder.rstrip('/')}/*{suffix}", blank_as_null, file_name=True)
+            frames[entity] = df.withColumnRenamed(FILE_NAME, SOURCE_RESOURCE)
+        except FileNotFoundError:
+            missing.append(entity)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             missing.append(entity)
     if missing:
         raise MissingEntityError(f"extract {folder} lacks entities: {sorted(missing)}")
@@ -95,10 +122,12 @@ def latest_extract(catalogue: DataFrame, name_pattern: str, url_suffix: str = ".
 
 
 def require_one(df: DataFrame, what: str) -> dict:
-    """Fetch the single metadata row of ``df`` (bounded: at most one row)."""
-    rows = df.limit(1).collect()
+    """Fetch the single metadata row of ``df``; none, or more than one, is an error."""
+    rows = df.take(2)
     if not rows:
         raise NoExtractError(f"no {what} found")
+    if len(rows) > 1:
+        raise NoExtractError(f"more than one {what} found")
     return rows[0].asDict()
 
 
@@ -109,14 +138,11 @@ def flatten_codes(doc: DataFrame, path: str = "data.codelists", code_field: str
             .select(F.col("c")[code_field].alias("code"), F.col("c")[name_field].alias("name")))
 
 
-def union_parts(parts: Sequence[DataFrame], limit_each: int | None = None) -> DataFrame:
+def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
     """Concatenate parts aligned by column *name* (order-insensitive); columns
-    missing from a part are NULL. ``limit_each`` caps every part on its own
-    before the union (a development option, off by default)."""
+    missing from a part are NULL."""
     if not parts:
         raise ValueError("no parts")
-    if limit_each is not None:
-        parts = [p.limit(limit_each) for p in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -141,13 +167,32 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
 
 
+def _swap(fs, staged, target, old) -> None:
+    """Put ``staged`` in the place of ``target``; the old table is set aside,
+    put back if the new one cannot be moved in, and deleted only then."""
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"could not set {target} aside")
+    try:
+        if not fs.rename(staged, target):
+            raise OSError(f"could not move {staged} to {target}")
+    except Exception:
+        if had and not fs.exists(target):
+            fs.rename(old, target)
+        raise
+    if had:
+        fs.delete(old, True)
+
+
 def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> dict:
     """Replace the table at ``path``; warn when its column set changed.
 
     Both the same-schema reload and the rebuilt-on-drift cases are one write.
     The new rows are written to a staging folder next to the table and swapped
     in only after the write job succeeded, so a failed job (lost executors
-    beyond the retry limit, bad input) leaves the previous table readable.
+    beyond the retry limit, bad input) leaves the previous table readable. The
+    swap is two renames, with the old table put back if the second fails; on an
+    object store a rename copies, so prefer a catalog table there.
     Returns the drift report and the written row count, taken with
     ``observe`` during the write (no second pass).
     """
@@ -164,14 +209,12 @@ def full_refresh(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     fs, target, jvm = _hadoop_fs(spark, path)
+    staged, old = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(f"{staging}_old")
     try:
         writer.parquet(staging)
     except Exception:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)   # drop the partial staging folder
+        fs.delete(staged, True)   # drop the partial staging folder
         raise
-    if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
-        raise OSError(f"could not move {staging} to {path}")
+    _swap(fs, staged, target, old)
     drift["rows"] = obs.get.get("rows", 0)
     return drift

@@ -7,7 +7,7 @@ from tessera.sources import bronze
 
 
 def test_csv_bom_short_long_quoted_empty(spark, tmp_path):
-    p = tmp_path / "x_crash.csv"
+    p = tmp_path / "x_Crash.csv"
     p.write_bytes("﻿A,B,C\n1,2,3\n4,5\n6,7,8,9\n\"\",x,\n".encode("utf-8"))
     df = bronze.read_text_csv(spark, str(p))
     assert df.columns == ["A", "B", "C"]
@@ -16,17 +16,17 @@ def test_csv_bom_short_long_quoted_empty(spark, tmp_path):
 
 
 def test_read_extract_routes_and_reports_missing(spark, tmp_path):
-    (tmp_path / "2024_crash.csv").write_text("REPORT_ID,x\n1,a\n")
-    (tmp_path / "2024_units.csv").write_text("REPORT_ID,y\n1,b\n")
+    (tmp_path / "2024_Crash.csv").write_text("REPORT_ID,x\n1,a\n")
+    (tmp_path / "2024_Units.csv").write_text("REPORT_ID,y\n1,b\n")
     (tmp_path / "readme.txt").write_text("ignored")
     with pytest.raises(bronze.MissingEntityError, match="casualties"):
-        bronze.read_extract(spark, str(tmp_path), {"crashes": "_crash.csv", "casualties": "_casualty.csv",
-                                                  "units": "_units.csv"})
-    (tmp_path / "2024_casualty.csv").write_text("REPORT_ID,z\n1,c\n")
-    frames = bronze.read_extract(spark, str(tmp_path), {"crashes": "_crash.csv", "casualties": "_casualty.csv",
-                                                       "units": "_units.csv"})
+        bronze.read_extract(spark, str(tmp_path), {"crashes": "_Crash.csv", "casualties": "_Casualty.csv",
+                                                  "units": "_Units.csv"})
+    (tmp_path / "2024_Casualty.csv").write_text("REPORT_ID,z\n1,c\n")
+    frames = bronze.read_extract(spark, str(tmp_path), {"crashes": "_Crash.csv", "casualties": "_Casualty.csv",
+                                                       "units": "_Units.csv"})
     row = frames["crashes"].first()
-    assert row.x == "a" and row[bronze.SOURCE_RESOURCE] == "2024_crash.csv"
+    assert row.x == "a" and row[bronze.SOURCE_RESOURCE] == "2024_Crash.csv"
 
 
 def test_latest_extract(spark, tmp_path):
@@ -53,13 +53,12 @@ def test_flatten_codes(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [("40070", "Adelaide"), ("4", "SA")]
 
 
-def test_union_by_name_and_limit(spark):
+def test_union_by_name(spark):
     a = spark.createDataFrame([("1", "x")], "a string, b string")
     b = spark.createDataFrame([("y", "2"), ("z", "3")], "b string, a string")
     c = spark.createDataFrame([("4",)], "a string")
     u = bronze.union_parts([a, b, c])
     assert sorted(map(tuple, u.collect()), key=str) == sorted([("1", "x"), ("2", "y"), ("3", "z"), ("4", None)], key=str)
-    assert bronze.union_parts([a, b, c], limit_each=1).count() == 3
 
 
 def test_land_text_and_refresh(spark, tmp_path):
@@ -98,3 +97,31 @@ def test_full_refresh_keeps_old_table_when_write_fails(spark, tmp_path):
         bronze.full_refresh(bad, path)
     assert [r.k for r in spark.read.parquet(path).collect()] == ["1"]
     assert not any(n.startswith("t.__staging") for n in os.listdir(tmp_path))
+
+
+def test_csv_quotes_newlines_and_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,v\n1,"say ""hi"", now"\n2,"two\nlines"\n3,\n')
+    (tmp_path / "b.csv").write_text("v,k\nx,4\n")
+    got = {r.k: r.v for r in bronze.read_text_csv(spark, f"{tmp_path}/*.csv").collect()}
+    assert got == {"1": 'say "hi", now', "2": "two\nlines", "3": None, "4": "x"}
+    kept = {r.k: r.v for r in bronze.read_text_csv(spark, f"{tmp_path}/*.csv", blank_as_null=False).collect()}
+    assert kept["3"] == ""
+
+
+def test_failed_swap_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    import pytest
+    path = str(tmp_path / "t")
+    bronze.full_refresh(spark.range(3), path)
+
+    def broken(fs, staged, target, old):
+        raise OSError("store is gone")
+    monkeypatch.setattr(bronze, "_swap", broken)
+    with pytest.raises(OSError):
+        bronze.full_refresh(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_require_one_rejects_two(spark):
+    import pytest
+    with pytest.raises(bronze.NoExtractError):
+        bronze.require_one(spark.range(2), "row")

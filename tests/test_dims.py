@@ -35,9 +35,22 @@ def test_fractional_band_join(spark):
 def test_exploded_equals_range_join(spark, values):
     bands = seeds.age_bands(spark)
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, age int")
-    fast = dims.band_join(df, "age", bands, code_col="age_band_code", lo="min_age", hi="max_age")
-    slow = dims.band_join(df, "age", bands, code_col="age_band_code", lo="min_age", hi="max_age", max_members=0)
-    assert sorted(map(tuple, fast.collect()), key=str) == sorted(map(tuple, slow.collect()), key=str)
+    got = dims.band_join(df, "age", bands, code_col="age_band_code", lo="min_age", hi="max_age").collect()
+    rows = bands.collect()
+    want = [(i, v, next((b.age_band_code for b in rows if v is not None and b.min_age <= v <= b.max_age), None))
+            for i, v in enumerate(values)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_many_and_wide_bands(spark):
+    many = spark.range(10_001).selectExpr("concat('b', id) band_code", "cast(id * 3 as int) min_value", "cast(id * 3 + 2 as int) max_value")
+    df = spark.createDataFrame([(0,), (30_002,), (30_003,), (7,)], "v int")
+    got = {r.v: r.band_code for r in dims.band_join(df, "v", many).collect()}
+    assert got == {0: "b0", 30_002: "b10000", 30_003: None, 7: "b2"}
+    wide = spark.createDataFrame([("w", 0, 200_000)], "band_code string, min_value int, max_value int")
+    joined = dims.band_join(df, "v", wide)
+    assert {r.band_code for r in joined.collect()} == {"w"}
+    assert "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
 def test_junk_dim(spark):

@@ -166,3 +166,17 @@ def test_merge_with_column_drift(spark):
     rows = sorted((r.code, r.name, r.old_col, r.new_col, r.valid_to_ts is None) for r in snap.collect())
     assert rows == [("A", "Alpha", "gone", None, False), ("A", "Alpha2", None, "new", True),
                     ("B", "Beta", None, "new", True)]
+
+
+def test_merge_keeps_null_keys_and_rejects_repeated_ones(spark):
+    import datetime as dt
+
+    import pytest
+    src = spark.createDataFrame([(None, "a"), ("x", "b")], "code string, name string")
+    one = scd2.snapshot_merge(None, src, "code", ["name"], dt.datetime(2020, 1, 1))
+    two = scd2.snapshot_merge(one, src, "code", ["name"], dt.datetime(2021, 1, 1))
+    assert sorted((r.code or "", r.name, r.valid_to_ts) for r in two.collect()) == [("", "a", None), ("x", "b", None)]
+    twice = src.union(src)
+    assert {(r.code, r.n) for r in scd2.repeated_keys(twice, "code").collect()} == {(None, 2), ("x", 2)}
+    with pytest.raises(Exception, match="more than once"):
+        scd2.snapshot_merge(one, twice, "code", ["name"], dt.datetime(2022, 1, 1)).collect()

@@ -102,3 +102,31 @@ def test_salted_point_in_time_join_equals_plain(spark):
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
     inner = scd2.point_in_time_join(facts, dim, "code", "d", "code", ["key"], salt_buckets=8)
     assert inner.count() == plain.filter(F.col("code").isin([f"C{i}" for i in range(5)])).count()
+
+
+def test_hot_customer_of_the_order_fact_is_split(spark, tmp_path):
+    """q15 itself: most orders on one customer, broadcasts off."""
+    from tessera.plans import star_queries as sq
+    sf = "/root/testdata/sf0.001"
+    for name in ("customer", "nation", "region", "lineitem"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    one = o.agg(F.min("o_custkey")).first()[0]
+    big = o.crossJoin(spark.range(20)).withColumn("o_orderkey", F.col("o_orderkey") * 100 + F.col("id")).drop("id")
+    big.withColumn("o_custkey", F.when(F.col("o_orderkey") % 10 < 9, F.lit(one)).otherwise(F.col("o_custkey"))) \
+        .repartition(8).write.parquet(f"{tmp_path}/orders.parquet")
+    old = _with_conf(spark, SKEW_CONF)
+    try:
+        out = sq.q15_fact_orders(spark, str(tmp_path))
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        _restore(spark, old)
+    assert "skew=true" in plan
+
+
+def test_orphans_meet_the_parent_as_one_row_per_key(spark):
+    child = spark.range(1000).selectExpr("if(id % 10 < 9, 1L, id) k")
+    parent = spark.range(5).withColumnRenamed("id", "p")
+    got = {r.k: r.n for r in quality.orphans(child, "k", parent, "p").collect()}
+    assert len(got) == 100 and all(k % 10 == 9 and n == 1 for k, n in got.items())

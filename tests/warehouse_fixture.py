@@ -72,8 +72,8 @@ def write_csv(path, header, rows):
 
 
 def write_all(folder):
-    write_csv(f"{folder}/2025_crash.csv", CRASH_HEADER, CRASHES)
-    write_csv(f"{folder}/2025_casualty.csv", CAS_HEADER, CASUALTIES)
-    write_csv(f"{folder}/2025_units.csv", UNIT_HEADER, UNITS)
+    write_csv(f"{folder}/2020-2024_DATA_SA_Crash.csv", CRASH_HEADER, CRASHES)
+    write_csv(f"{folder}/2020-2024_DATA_SA_Casualty.csv", CAS_HEADER, CASUALTIES)
+    write_csv(f"{folder}/2020-2024_DATA_SA_Units.csv", UNIT_HEADER, UNITS)
     write_csv(f"{folder}/erp.csv", ERP_HEADER, erp_rows())
     write_csv(f"{folder}/codes.csv", CODE_HEADER, CODES)
