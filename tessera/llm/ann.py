@@ -235,12 +235,12 @@ def search(vectors: DataFrame, k: int = NEIGHBOURS, every: int = EVERY, id_col:
         return spark.createDataFrame([], schema)
     dim = dims[0]["d"]
     same = Window.partitionBy("v").orderBy("vec_id")
+    queries = rows.where((F.size("v") == dim) & (F.col("vec_id") % every == 0))
     rows = (rows.where(F.size("v") == dim).withColumn("_n", F.dense_rank().over(same)).where(F.col("_n") <= k + 1).drop("_n"))
     rows = checkpointed(rows)
     squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     n, norm = rows.agg(F.count("*"), F.sqrt(F.max(squares))).first()
     width = _width(rows, n, norm, k)
-    queries = rows.where(F.col("vec_id") % every == 0)
     index = _packed(rows, norm, width, dim, False, kind)
     probes = _packed(queries, norm, width, dim, True, kind)
     met = index.join(probes.select("bucket", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors")), "bucket").select(
