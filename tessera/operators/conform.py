@@ -96,7 +96,7 @@ def conform_names(source: DataFrame, name_col: str, codelist: DataFrame, code_co
     j = normalised.withColumn("__nc_probe", without_conjunction(F.col("normalised_name"), rules.conjunction))
     if overrides is not None:
         ov = overrides.select(F.col("source_name").alias("__ov_name"), F.col("code").cast("string").alias("__ov_code"))
-        j = j.join(F.broadcast(ov), F.col("source_name") == F.col("__ov_name"), "left")
+        j = j.join(ov, F.col("source_name") == F.col("__ov_name"), "left")
     else:
         j = j.withColumn("__ov_code", F.lit(None).cast("string"))
     j = j.join(by_name, F.col("normalised_name") == F.col("__exact_key"), "left")
