@@ -14,7 +14,6 @@ features by length alone.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from itertools import chain as _chain
 from types import SimpleNamespace
 
@@ -25,9 +24,9 @@ from pyspark.sql import functions as F
 
 # The chain: category -> SQL condition on the labels.
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"), ("toxic_low_quality", "toxic = 1 and quality = 0"))
-POSITIVE, NEGATIVE = 2000, 4000     # learning sample: toxic and other labelled rows
+POSITIVE, NEGATIVE = 1200, 2400     # learning sample: toxic and other labelled rows
 LONGEST = 50_000                    # characters of a text of the sample
-FEATURES = 700                      # n-grams chosen for each category
+FEATURES = 400                      # n-grams chosen for each category
 SPANS = (3, 4, 5, 6)                # characters of an n-gram
 GAIN = 50.0
 FOLDS = 5
@@ -66,17 +65,27 @@ class WordFeatures(dict):
 
 def choose(texts: list[str], targets: np.ndarray, n: int = FEATURES) -> list[str]:
     """For each category the n-grams whose presence has the largest chi-square with it (ties: in order of the n-gram)."""
-    sets = [set().union(*map(word_grams, set(_WORD.findall(t.lower())))) if t else set() for t in texts]
-    total = Counter(_chain.from_iterable(sets))
-    names = sorted(g for g, c in total.items() if c >= 3)
-    have = np.array([total[g] for g in names], dtype=float)
+    number: dict[str, int] = {}
+    of_word: dict[str, np.ndarray] = {}
+
+    def grams(word: str) -> np.ndarray:
+        if word not in of_word:
+            of_word[word] = np.array([number.setdefault(g, len(number)) for g in word_grams(word)], np.int32)
+        return of_word[word]
+    none = np.zeros(0, np.int32)
+    sets = [np.unique(np.concatenate([none, *map(grams, set(_WORD.findall(t.lower())))])) if t else none for t in texts]
+    of_word.clear()
+
+    def rows_with(picked) -> np.ndarray:
+        return np.bincount(np.concatenate([none, *picked]), minlength=len(number)).astype(float)
+    names, have, rows = list(number), rows_with(sets), len(texts)
+    frequent = np.flatnonzero(have >= 3)
     chosen: set[str] = set()
     for y in targets.T:
-        inside = Counter(_chain.from_iterable(s for s, t in zip(sets, y) if t))
-        both, pos, rows = np.array([inside[g] for g in names], dtype=float), y.sum(), len(y)
+        both, pos = rows_with([s for s, t in zip(sets, y) if t]), y.sum()
         spread = have * (rows - have) * pos * (rows - pos)
         chi = np.divide((both * rows - have * pos) ** 2 * rows, spread, out=np.zeros_like(both), where=spread > 0)
-        chosen.update(names[i] for i in np.argsort(-chi, kind="stable")[:n])
+        chosen.update(names[i] for i in sorted(frequent.tolist(), key=lambda i: (-chi[i], names[i]))[:n])
     return sorted(chosen)
 
 
@@ -86,9 +95,13 @@ def _logit(x: np.ndarray) -> np.ndarray:
 
 def fit_linear(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Ridge logistic regression by accelerated gradient steps; the last weight is the bias."""
-    x = np.column_stack([x, np.ones(len(x))])
-    step = 4.0 / (np.linalg.norm(x, ord=2) ** 2 / len(x) + 4 * RIDGE) if len(x) else 1.0
-    w, ahead = np.zeros(x.shape[1]), np.zeros(x.shape[1])
+    x = np.column_stack([x, np.ones(len(x), x.dtype)])
+    v = np.ones(x.shape[1], x.dtype)
+    for _ in range(30):                                     # power iteration: the largest curvature bounds the step
+        v = x.T @ (x @ v)
+        v /= max(float(np.linalg.norm(v)), 1e-12)
+    step = 4.0 / (1.1 * float(np.linalg.norm(x @ v)) ** 2 / max(1, len(x)) + 4 * RIDGE)
+    y, w, ahead = y.astype(x.dtype), np.zeros(x.shape[1], x.dtype), np.zeros(x.shape[1], x.dtype)
     for k in range(ROUNDS):
         new = ahead - step * (x.T @ (_logit(x @ ahead) - y) / len(x) + RIDGE * ahead)
         ahead, w = new + k / (k + 3) * (new - w), new
@@ -105,7 +118,7 @@ def fit_chain(x: np.ndarray, targets: np.ndarray, folds: np.ndarray) -> list[np.
             w = fit_linear(so_far[away], y[away]) if away.any() else np.zeros(so_far.shape[1] + 1)
             out[~away] = _logit(so_far[~away] @ w[:-1] + w[-1])
         models.append(fit_linear(so_far, y))
-        so_far = np.column_stack([so_far, out])
+        so_far = np.column_stack([so_far, out.astype(so_far.dtype)])
     return models
 
 
@@ -138,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     targets = np.array([[r[n] for n, _ in CATEGORIES] for r in rows], dtype=float)
     chosen = choose(texts, targets)
     features = WordFeatures(chosen)
-    x = np.array([features.of(t) for t in texts]).reshape(len(texts), len(chosen))
+    x = np.array([features.of(t).astype(np.float32) for t in texts]).reshape(len(texts), len(chosen))
     return {"chosen": chosen, "models": fit_chain(x, targets, np.array([r["fold"] for r in rows]))}
 
 
