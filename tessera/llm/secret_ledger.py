@@ -12,7 +12,7 @@ them, summed up, are the offsets (in code points).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -54,11 +54,14 @@ def content(text: Column) -> Column:
     return F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _spans(text: Column, rule: Rule) -> Column:
     """``array<struct<start,end>>`` of a rule's matches in ``text``, leftmost and non-overlapping."""
     pattern = f"({rule.prefix})({_SHORTCUT.get((rule.kind, rule.version), rule.value)})"
-    marked = F.regexp_replace(text, pattern, f"{_OPEN}$1{_MID}$2{_CLOSE}")
-    parts = F.split(marked, _OPEN)
     none = F.array().cast("array<struct<start:int,end:int>>")
 
     def step(done: Column, part: Column) -> Column:
@@ -68,9 +71,14 @@ def _spans(text: Column, rule: Rule) -> Column:
         found = F.array(F.struct(begin.alias("start"), end.alias("end")))
         return F.struct((end + F.length(part) - close).alias("at"),
                         F.when(close - mid - 1 >= rule.least, F.concat(done["out"], found)).otherwise(done["out"]).alias("out"))
-    spans = F.aggregate(F.slice(parts, 2, F.size(parts)), F.struct(F.length(parts[0]).alias("at"), none.alias("out")),
-                        step, lambda done: done["out"])
-    return F.when(F.instr(marked, _OPEN) > 0, spans).otherwise(none)
+
+    def offsets(parts: Column) -> Column:
+        return F.aggregate(F.slice(parts, 2, F.size(parts)), F.struct(F.length(parts[0]).alias("at"), none.alias("out")),
+                           step, lambda done: done["out"])
+
+    def found_in(marked: Column) -> Column:
+        return F.when(F.instr(marked, _OPEN) > 0, _bound(F.split(marked, _OPEN), offsets)).otherwise(none)
+    return _bound(F.regexp_replace(text, pattern, f"{_OPEN}$1{_MID}$2{_CLOSE}"), found_in)
 
 
 def scan(blobs: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -84,10 +92,12 @@ def scan(blobs: DataFrame, ledger: DataFrame | None = None, rules: Sequence[Rule
         pending = blobs.join(seen, F.col("blob") == F.col("_seen"), "left")
         done = F.coalesce(F.col("_done"), done)
     clean = F.translate("text", _OPEN + _MID + _CLOSE, _OTHER * 3)      # keeps every offset
-    pairs = [F.when(~F.array_contains(done, f"{r.kind}:{r.version}"),
-                    F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), _spans(F.col("clean"), r).alias("spans")))
-             for r in rules]
-    rows = pending.withColumn("clean", clean).select("blob", F.explode(F.filter(F.array(*pairs), lambda p: p.isNotNull())).alias("p"))
+
+    def pairs(text: Column) -> Column:
+        return F.array(*[F.when(~F.array_contains(done, f"{r.kind}:{r.version}"),
+                                F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), _spans(text, r).alias("spans")))
+                         for r in rules])
+    rows = pending.select("blob", F.explode(F.filter(_bound(clean, pairs), lambda p: p.isNotNull())).alias("p"))
     return rows.select("blob", "p.kind", "p.version", "p.spans")
 
 
