@@ -19,9 +19,11 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import checkpointed
+
 # The chain: category -> SQL condition on the labels.
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"), ("toxic_low_quality", "toxic = 1 and quality = 0"))
 POSITIVE, NEGATIVE = 1200, 2400     # learning sample: toxic and other labelled rows
@@ -130,15 +132,21 @@ def run_chain(x: np.ndarray, models: list[np.ndarray]) -> np.ndarray:
 
 
 def learning_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """At most ``POSITIVE`` toxic and ``NEGATIVE`` other labelled documents, by a hash of the id: text, targets, fold."""
+    """At most ``POSITIVE`` toxic and ``NEGATIVE`` other labelled documents, by a hash of the id: text, targets, fold.
+
+    Of rows that repeat a doc_id one text (the first in order) is learned from.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("id"), *(F.expr(c).alias(n) for n, c in CATEGORIES))
     known = known.where(" and ".join(["id is not null", *(f"{n} is not null" for n, _ in CATEGORIES)])).dropDuplicates(["id"])
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id")
-    bound = F.when(F.col("toxic"), POSITIVE).otherwise(NEGATIVE)
-    known = known.withColumn("n", F.row_number().over(order)).where(F.col("n") <= max(POSITIVE, NEGATIVE)).where(F.col("n") <= bound)
+    known = checkpointed(known)
+
+    def first(rows: DataFrame, n: int) -> DataFrame:        # every task hands on at most n rows
+        return rows.orderBy(F.xxhash64("id"), "id").limit(n)
+    known = first(known.where("toxic"), POSITIVE).unionByName(first(known.where("not toxic"), NEGATIVE))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     texts = texts.where(F.length("text") <= LONGEST)
-    return texts.join(F.broadcast(known), "id").withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)))
+    one = texts.join(F.broadcast(known), "id").groupBy("id", *(n for n, _ in CATEGORIES)).agg(F.min("text").alias("text"))
+    return one.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
@@ -146,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     rows = learning_sample(docs, labels).select("id", "text", "fold", *(n for n, _ in CATEGORIES)).collect()
     if not rows:
         return None
-    rows = sorted({r["id"]: r for r in rows}.values(), key=lambda r: r["id"])
+    rows = sorted(rows, key=lambda r: r["id"])
     texts = [r["text"] for r in rows]
     targets = np.array([[r[n] for n, _ in CATEGORIES] for r in rows], dtype=float)
     chosen = choose(texts, targets)
