@@ -6,6 +6,10 @@ Nystroem landmarks turn the kernel into a few hundred features, one-versus-rest
 ridge regression on them gives a score per language, and texts are scored in
 batches by two matrix products: presence against landmarks, then weights.
 
+The regression values of the languages add up to 1, so the winner's is never
+low: whether a text is in a learned language at all is judged by the share of
+its n-grams that the winning language's landmarks have.
+
 n-grams are taken of lower-case letters; every run of other characters is one
 gap.  Letters beyond the ``LETTERS`` most frequent ones of the learning sample
 share one code.
@@ -29,7 +33,8 @@ PER_LANGUAGE = 160          # learning sample: documents of each language
 LANDMARKS = 32              # of these, landmarks of each language
 LONG_TEXT = 20_000          # characters; longer texts are learned from only if a language has too few others
 RIDGE = 1e-3
-MIN_SCORE = 0.05            # below: none of the learned languages
+MIN_SHARE = 0.45            # share of a text's 3-grams that its language has; below: none of the learned languages
+SLACK = 0.9                 # with few landmarks: of the share that 95% of the sample's texts reach without themselves
 BATCH = 256                 # texts of one matrix product
 PIECE = 1 << 20             # characters of a text that are looked at a time
 
@@ -51,21 +56,24 @@ class Grams:
         self.offsets = _offsets()
         self.seen = np.full(self.offsets[-1], -1, dtype=np.int64)
         self.clock = 0
+        self.counts = np.zeros(SPECTRUM)
 
     def of(self, text: str) -> tuple[int, bool]:
-        """Number of distinct n-grams, and whether there is a letter; marks them as seen since ``self.begun``."""
-        self.begun, count, any_letter, tail = self.clock, 0, False, np.zeros(1, np.int32)
+        """Number of distinct n-grams (``self.counts``: of each length), and whether there is a letter; marks them as seen
+        since ``self.begun``."""
+        self.begun, any_letter, tail = self.clock, False, np.zeros(1, np.int32)
+        self.counts = np.zeros(SPECTRUM)
         for at in range(0, len(text), PIECE):
             codes = self.code[np.frombuffer(text[at:at + PIECE].lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
             any_letter = any_letter or bool(codes.any())
             codes = np.concatenate([tail, codes])
             codes = codes[np.concatenate([[True], (codes[1:] != 0) | (codes[:-1] != 0)])]
-            count += self._mark(codes)
+            self._mark(codes)
             tail = codes[-(SPECTRUM - 1):]
-        return count, any_letter
+        return int(self.counts.sum()), any_letter
 
-    def _mark(self, codes: np.ndarray) -> int:
-        count, gram = 0, codes.astype(np.int64)
+    def _mark(self, codes: np.ndarray) -> None:
+        gram = codes.astype(np.int64)
         for n in range(SPECTRUM):
             if n:
                 gram = (gram[:-1] << BITS) | codes[n:]
@@ -73,9 +81,8 @@ class Grams:
             places = places[self.seen[places] < self.begun]
             stamps = np.arange(self.clock, self.clock + len(places))
             self.seen[places] = stamps
-            count += int((self.seen[places] == stamps).sum())
+            self.counts[n] += (self.seen[places] == stamps).sum()
             self.clock += len(places)
-        return count
 
     def have(self, vocabulary: np.ndarray) -> np.ndarray:
         """Which n-grams of ``vocabulary`` the last text has."""
@@ -94,6 +101,9 @@ class Model:
     sizes: np.ndarray           # distinct n-grams of each landmark
     weights: np.ndarray         # kernel values -> score per language
     bias: np.ndarray
+    owned: np.ndarray           # which n-grams the landmarks of each language have (languages x vocabulary)
+    lengths: np.ndarray         # n of each n-gram of the vocabulary
+    least: float                # share of its n-grams that a text in a learned language has at least
 
 
 def kernel(presence: np.ndarray, counts: np.ndarray, landmarks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -125,7 +135,7 @@ def fit(texts: list[str], labels: list[str], per_language: int = LANDMARKS) -> M
     for k, s in enumerate(sets):
         landmarks[np.searchsorted(vocabulary, s), k] = 1
     sizes = landmarks.sum(axis=0).astype(np.float64)
-    rows, counts = _presence(grams, texts, vocabulary)
+    rows, counts, of_length = _presence(grams, texts, vocabulary)
     k_nm = kernel(rows, counts, landmarks, sizes)
     k_mm = k_nm[chosen]
     values, vectors = np.linalg.eigh((k_mm + k_mm.T) / 2)
@@ -136,15 +146,28 @@ def fit(texts: list[str], labels: list[str], per_language: int = LANDMARKS) -> M
     mean_x, bias = features.mean(axis=0), target.mean(axis=0)
     centred = features - mean_x
     inner = np.linalg.solve(centred.T @ centred + RIDGE * len(texts) * np.eye(centred.shape[1]), centred.T @ (target - bias))
-    return Model(languages, letters, vocabulary, landmarks, sizes, root @ inner, bias - mean_x @ inner)
+    lengths = np.searchsorted(grams.offsets, vocabulary, side="right")
+    number = np.stack([landmarks[:, [labels[i] == lang for i in chosen]].sum(axis=1) for lang in languages])
+    own = dict(zip(chosen, landmarks.T))
+    others = [number[languages.index(lab)] - own.get(i, 0) > 0 for i, lab in enumerate(labels)]    # a text does not vouch for itself
+    shares = [_share(row, other, n, lengths) for row, other, n in zip(rows, others, of_length)]
+    least = min(MIN_SHARE, SLACK * float(np.quantile(shares, 0.05)))
+    return Model(languages, letters, vocabulary, landmarks, sizes, root @ inner, bias - mean_x @ inner, number > 0, lengths, least)
 
 
-def _presence(grams: Grams, texts: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _presence(grams: Grams, texts: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows, counts = np.zeros((len(texts), len(vocabulary)), np.float32), np.zeros(len(texts))
+    of_length = np.zeros((len(texts), SPECTRUM))
     for i, t in enumerate(texts):
         counts[i], _ = grams.of(t)
-        rows[i] = grams.have(vocabulary)
-    return rows, counts
+        rows[i], of_length[i] = grams.have(vocabulary), grams.counts
+    return rows, counts, of_length
+
+
+def _share(row: np.ndarray, owned: np.ndarray, of_length: np.ndarray, lengths: np.ndarray) -> float:
+    """Share of a text's longest n-grams (3-grams unless it is too short) that a language has."""
+    n = int(np.flatnonzero(of_length)[-1]) + 1 if of_length.any() else 1
+    return float(((row > 0) & owned & (lengths == n)).sum() / max(1, of_length[n - 1]))
 
 
 def learning_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -160,13 +183,31 @@ def learning_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return [(r["t"], r["l"]) for r in sorted(rows, key=lambda r: (r["_n"], r["l"]))]
 
 
+def _judge(m, grams: Grams | None, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(language, score, share of its n-grams that the language has)`` of each text, in one matrix product."""
+    langs, scores, shares = np.array([UNKNOWN] * len(texts), dtype=object), np.zeros(len(texts)), np.zeros(len(texts))
+    if m is None or not len(texts):
+        return langs, scores, shares
+    rows, counts, of_length = _presence(grams, [t or "" for t in texts], m.vocabulary)
+    letters = np.array([any(map(str.isalpha, t or "")) for t in texts])
+    values = kernel(rows, counts, m.landmarks, m.sizes) @ m.weights + m.bias
+    best = np.round(values, 9).argmax(axis=1)
+    langs[letters] = np.array(m.languages, dtype=object)[best[letters]]
+    top = np.clip(values[np.arange(len(texts)), best], 0, 1)
+    shared = (rows[:, m.vocabulary != 0]).any(axis=1)                    # the gap alone says nothing
+    scores = np.where(letters & shared, np.round(top, 6), 0.0)
+    for i in np.flatnonzero(letters):
+        shares[i] = _share(rows[i], m.owned[best[i]], of_length[i], m.lengths)
+    return langs, scores, shares
+
+
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score`` for every row.
 
     Text that is null or has no letter: ``und`` with score 0.  Without a
     learned language (nothing to learn from) every row is ``und``.  The score
-    is the winning language's regression value, cut to 0..1; ties go to the
-    language that sorts first.
+    is the winning language's regression value, cut to 0..1 (0 for a text that
+    shares no n-gram with a landmark); ties go to the language that sorts first.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model) if model else None)   # plain arrays
 
@@ -176,21 +217,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
         for batch in batches:
             texts = batch.column(1)
             for at in range(0, len(texts), BATCH):
-                part = texts.slice(at, BATCH).to_pylist()
-                langs, scores = np.array([UNKNOWN] * len(part), dtype=object), np.zeros(len(part))
-                if m:
-                    rows, counts = np.zeros((len(part), len(m.vocabulary)), np.float32), np.zeros(len(part))
-                    letters = np.zeros(len(part), bool)
-                    for i, t in enumerate(part):
-                        if t:
-                            counts[i], letters[i] = grams.of(t)
-                            rows[i] = grams.have(m.vocabulary)
-                    values = kernel(rows, counts, m.landmarks, m.sizes) @ m.weights + m.bias
-                    best = np.round(values, 9).argmax(axis=1)
-                    langs[letters] = np.array(m.languages, dtype=object)[best[letters]]
-                    known = counts > 0
-                    top = np.clip(values[np.arange(len(part)), best], 0, 1)
-                    scores = np.where(letters & known & (rows.any(axis=1)), np.round(top, 6), 0.0)
+                langs, scores, _ = _judge(m, grams, texts.slice(at, BATCH).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, BATCH), pa.array(langs.tolist(), pa.string()), pa.array(scores)],
                     names=["doc_id", "lang_pred", "score"])
@@ -216,17 +243,27 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return predict(narrow, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learned language: not ``und`` and scored ``min_score`` or more.
+def keep_known(docs: DataFrame, min_share: float | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language: the language found has ``min_share`` of its n-grams.
 
-    Nothing is dropped where nothing could be learned (no labelled row) except
-    texts without a letter.  Rows with a null doc_id are judged like any other.
+    ``min_share`` is ``MIN_SHARE``, or less where the learning sample is too
+    small to know most n-grams of its own texts.  Nothing is dropped where
+    nothing could be learned (no labelled row) except texts without a letter.
+    A row is judged by its text alone, whatever its doc_id.
     """
     sample = learning_sample(docs.where(~held_out()))
     model = fit([t for t, _ in sample], [lab for _, lab in sample]) if sample else None
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    bad = predict(docs, model).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < min_score))
-    bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
-    kept = docs.join(bad, docs["doc_id"] == F.col("_bad"), "left_anti")
-    return kept.where(F.col("doc_id").isNotNull() | F.col("text").rlike(r"\p{L}"))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    place, least = docs.columns.index("text"), model.least if min_share is None else min_share
+
+    def run(batches):
+        m = SimpleNamespace(**shared.value)
+        grams = Grams(m.letters)
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                langs, _, shares = _judge(m, grams, part.column(place).to_pylist())
+                yield part.filter(pa.array((langs != UNKNOWN) & (shares >= least), pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
