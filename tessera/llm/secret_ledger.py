@@ -36,9 +36,16 @@ BASE = (
     Rule("access", 1, "", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", 1, "", r"[0-9a-f]+", 24),
 )
+# A private key: from its BEGIN line through its END line; without an END line the header, the key's own fields and the
+# base64 lines that follow, the last of which may be short.  Line breaks may be written out (\n) or lost.
+_PEM_GAP = r"(?:\s|\\[nr]|>)*+"
+_PEM = (r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+        r"(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+        rf"|(?:{_PEM_GAP}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:(?:{_PEM_GAP}[A-Za-z0-9+/]{{16,}}+={{0,2}})++"
+        r"(?:(?:[\r\n]|\\[nr])(?:\s|>)*+[A-Za-z0-9+/]++={0,2}(?=[\t\x20]*+(?:[\r\n\\\"']|\z)))?+)?+)")
 # Kinds added to the base.
 ADDED = (
-    Rule("pem", 1, "", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 1),
+    Rule("pem", 2, "", _PEM, 1),
     Rule("forge", 1, "", r"gh[pousr]_[A-Za-z0-9]{36,}", 1),
 )
 RULES = BASE + ADDED

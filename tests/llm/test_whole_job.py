@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tessera.llm import langid
+from tessera.llm import langid, secret_ledger
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,3 +38,24 @@ def test_unlearned_languages_go_and_all_others_stay(spark):
 def test_a_small_learning_sample_lowers_the_share(spark):
     few = spark.read.parquet(f"{SF}/documents.parquet").where(F.col("lang") == "en").orderBy("doc_id").limit(6)
     assert langid.keep_known(few).count() == 6
+
+
+def _pem(kind, lines, end=True, gap="\n", fields=""):
+    rnd = random.Random(lines)
+    body = base64.b64encode(rnd.randbytes(48 * lines + 20)).decode()
+    parts = [f"-----BEGIN {kind}PRIVATE KEY-----", *fields.splitlines(), *(body[at:at + 64] for at in range(0, len(body), 64))]
+    return gap.join(parts + [f"-----END {kind}PRIVATE KEY-----"] * end)
+
+
+def test_no_line_of_a_private_key_stays(spark):
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n"
+    keys = [_pem("RSA ", 25), _pem("", 3, gap="\\n"), _pem("OPENSSH ", 6, gap="\r\n"), _pem("EC ", 2, gap=" "), _pem("RSA ", 12, fields=fields),
+            _pem("RSA ", 25, end=False), _pem("", 4, end=False, gap="\\n"), _pem("RSA ", 5, end=False, fields=fields),
+            _pem("EC ", 2, end=False, gap="\n  > "), _pem("RSA ", 4000)]
+    texts = [f"Keep this - it is text.\n{k}\nAnd this; - - - too." for k in keys]
+    texts += [keys[0] + "\nbetween\n" + keys[5] + "\n\n" + keys[2], "starts with -----BEGIN PRIVATE KEY-----\nHello you", keys[5]]
+    got = {r["doc_id"]: r["text"] for r in secret_ledger.redact(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i in range(len(keys)):
+        assert got[i] == "Keep this - it is text.\n[SECRET]\nAnd this; - - - too.", keys[i][:80]
+    assert [got[len(keys) + i] for i in range(3)] == ["[SECRET]\nbetween\n[SECRET]\n\n[SECRET]", "starts with [SECRET]\nHello you", "[SECRET]"]
+    assert {(r.kind, r.version) for r in secret_ledger.RULES if r.kind == "pem"} == {("pem", 2)}       # ledgers of version 1 are scanned again
