@@ -45,8 +45,8 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff bigram score of every document, by the counts of all documents."""
-    return ngram_lm.score(table(spark, sf_dir, "documents"))
+    """Stupid-backoff trigram score of every document, by all counts of all documents."""
+    return ngram_lm.score(table(spark, sf_dir, "documents"), order=3, least=1)
 
 
 def op5_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

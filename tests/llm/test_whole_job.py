@@ -1,11 +1,14 @@
 """The corpus operators do the whole job: cases that a part of it would let through."""
 
 import base64
+import math
 import random
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, secret_ledger
+from tessera.llm import langid, ngram_lm, queries, secret_ledger
 
 SF = "/root/testdata/sf0.001"
 
@@ -59,3 +62,38 @@ def test_no_line_of_a_private_key_stays(spark):
         assert got[i] == "Keep this - it is text.\n[SECRET]\nAnd this; - - - too.", keys[i][:80]
     assert [got[len(keys) + i] for i in range(3)] == ["[SECRET]\nbetween\n[SECRET]\n\n[SECRET]", "starts with [SECRET]\nHello you", "[SECRET]"]
     assert {(r.kind, r.version) for r in secret_ledger.RULES if r.kind == "pem"} == {("pem", 2)}       # ledgers of version 1 are scanned again
+
+
+def _backoff(texts, order):
+    """Sum of the logarithms of S, by its definition with all counts."""
+    words = [(t or "").encode().lower().split() for t in texts]
+    c = Counter(tuple(x[i:i + n]) for x in words for n in range(1, order + 1) for i in range(len(x) - n + 1))
+    total = sum(map(len, words))
+
+    def s(gram):
+        if len(gram) == 1:
+            return c[gram] / total
+        return c[gram] / c[gram[:-1]] if c[gram] else 0.4 * s(gram[1:])
+    return [sum(math.log(s(tuple(x[max(0, i - order + 1):i + 1]))) for i in range(len(x))) for x in words]
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_no_count_is_left_out(spark, monkeypatch, order):
+    monkeypatch.setattr(ngram_lm, "BLOCK_WORDS", 500)
+    monkeypatch.setattr(ngram_lm, "HELD_BYTES", 1000)
+    monkeypatch.setattr(ngram_lm, "HOT", 30)
+    rnd = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rnd.choices(vocabulary, range(1, 41), k=rnd.randint(1, 50))) for _ in range(80)] + ["of the " * 300] * 2
+    texts += [None, "", " ", "w1", "once", "two words", "W1 w2", "only here three", "of the", "of", "the of the end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in ngram_lm.score(df, order=order, least=1).collect()}
+    for i, want in enumerate(_backoff(texts, order)):
+        assert abs(got[i]["log_score"] - want) < 1e-5 and got[i]["n_words"] == len((texts[i] or "").split()), texts[i]
+    assert ngram_lm.score(df.limit(0), order=order, least=1).count() == 0
+
+
+def test_registered_scores_are_of_trigrams_with_all_counts(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r["log_score"] for r in queries.op4_backoff_lm(spark, SF).collect()}
+    assert all(abs(got[r["doc_id"]] - s) < 1e-4 for r, s in zip(rows, _backoff([r["text"] for r in rows], 3), strict=True))
