@@ -98,21 +98,31 @@ class _Pieces(dict):
         return found
 
 
-def _tokenizer(path: str) -> Tokenizer:
+def _tokenizer(path: str, special_tokens: bool) -> Tokenizer:
+    """``special_tokens``: strings of special tokens in a text become their ids, as by the library's own call; else ordinary text."""
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True     # strings of special tokens in a text are ordinary text
+    tokenizer.encode_special_tokens = not special_tokens
     return tokenizer
 
 
-def byte_level_encoder(path: str) -> Callable[[str | None], bytes]:
+def _special(tokenizer: Tokenizer) -> Callable[[str], bool]:
+    """Whether a text holds an added token, which the library cuts out before all else: such a text is not cut here."""
+    added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values() if t.content]
+    found = re.compile("|".join(added)).search if added else None
+    return lambda text: found is not None and found(text) is not None
+
+
+def byte_level_encoder(path: str, special_tokens: bool = False) -> Callable[[str | None], bytes]:
     """Text (null: empty) -> bytes of its ids, for a byte-level vocabulary whose words begin with their blank."""
-    tokenizer = _tokenizer(path)
-    words = _Words(tokenizer)
+    tokenizer = _tokenizer(path, special_tokens)
+    words, special = _Words(tokenizer), _special(tokenizer)
     first, later = _Pieces(tokenizer, words, "", False), _Pieces(tokenizer, words, " ", False)
 
     def encode(text: str | None) -> bytes:
         if not text:
             return b""
+        if special(text):
+            return first.whole(text)
         try:
             head, *rest = text.split(" ")
             return b"".join([first[head], *map(later.__getitem__, rest)])
@@ -121,8 +131,15 @@ def byte_level_encoder(path: str) -> Callable[[str | None], bytes]:
     return encode
 
 
-def lower_word_encoder(path: str) -> Callable[[str | None], bytes]:
+def lower_word_encoder(path: str, special_tokens: bool = False) -> Callable[[str | None], bytes]:
     """Text (null: empty) -> bytes of its ids, for a lower-case vocabulary that drops white space."""
-    tokenizer = _tokenizer(path)
-    pieces = _Pieces(tokenizer, _Words(tokenizer), "", True)
-    return lambda text: b"".join(map(pieces.__getitem__, text.replace("\n", " ").split(" "))) if text else b""
+    tokenizer = _tokenizer(path, special_tokens)
+    pieces, special = _Pieces(tokenizer, _Words(tokenizer), "", True), _special(tokenizer)
+
+    def encode(text: str | None) -> bytes:
+        if not text:
+            return b""
+        if special(text):
+            return pieces.whole(text)
+        return b"".join(map(pieces.__getitem__, text.replace("\n", " ").split(" ")))
+    return encode
