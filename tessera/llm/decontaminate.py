@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ERROR_RATE = 0.06           # edits per character of an item
@@ -145,9 +145,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     The items go to the tasks in blocks of bounded size, one pass over the
     documents for each block.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    kind = "doc_id long, item_id long, start int, end int, distance int"
+    return _matches(rows, pa.int64(), benchmark, item_col, item_text_col, rate, pieces)
+
+
+def _matches(rows: DataFrame, id_kind: pa.DataType, benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text",
+             rate: float = ERROR_RATE, pieces: int = PIECES_AT_ONCE) -> DataFrame:
+    """``matches`` of rows ``(doc_id, text)`` whose doc_id is of any kind."""
+    spark = rows.sparkSession
+    kind = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, item_id long, start int, end int, distance int"
     found = spark.createDataFrame([], kind)
     for block in _passes(benchmark, item_col, item_text_col, rate, pieces):
         shared = spark.sparkContext.broadcast(block)
@@ -160,25 +166,39 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
                     if text:
                         out += [(doc_id, matcher.items[i][0], a, b, d) for i, a, b, d in matcher.search(normalise(text))]
                 columns = list(zip(*out)) or [[]] * 5
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+                kinds = (id_kind, pa.int64(), pa.int32(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                                  names=["doc_id", "item_id", "start", "end", "distance"])
         found = found.unionByName(rows.mapInArrow(run, kind))
     return found
 
 
+def _of_texts(docs: DataFrame, benchmark: DataFrame, text_col: str, **options) -> DataFrame:
+    """``matches`` with the SHA-256 of the text in place of the id: equal texts have equal matches, whatever their ids."""
+    text = F.col(text_col).cast("string")
+    return _matches(docs.select(_address(text).alias("doc_id"), text.alias("text")), pa.binary(), benchmark, **options)
+
+
+def _address(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``doc_id, contaminated, item_ids, n_items, least_distance`` for every row of ``docs`` (null doc_id: never matched)."""
-    hits = matches(docs, benchmark, id_col, text_col, **options).groupBy("doc_id").agg(
+    """``doc_id, contaminated, item_ids, n_items, least_distance`` for every row of ``docs``.
+
+    A row is judged by its own text: null and repeated ids do not matter.
+    """
+    hits = _of_texts(docs, benchmark, text_col, **options).groupBy(F.col("doc_id").alias("_text")).agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.min("distance").alias("least_distance"))
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), _address(F.col(text_col).cast("string")).alias("_text"))
     none = F.array().cast("array<bigint>")
-    return ids.join(hits, "doc_id", "left").select(
+    return ids.join(hits, "_text", "left").select(
         "doc_id", F.col("item_ids").isNotNull().alias("contaminated"), F.coalesce("item_ids", none).alias("item_ids"),
         F.coalesce(F.size("item_ids"), F.lit(0)).alias("n_items"), "least_distance")
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item; all columns stay."""
-    hits = matches(docs, benchmark, id_col, text_col, **options).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hits, docs[id_col] == F.col("_hit"), "left_anti")
+    """The rows of ``docs`` whose text holds no benchmark item; all columns stay.  ``id_col`` is not looked at."""
+    hits = _of_texts(docs, benchmark, text_col, **options).select(F.col("doc_id").alias("_hit")).distinct()
+    kept = docs.withColumn("_text", _address(F.col(text_col).cast("string"))).join(hits, F.col("_text") == F.col("_hit"), "left_anti")
+    return kept.select(*docs.columns)

@@ -14,12 +14,12 @@ most n - 1 rows per tile pair instead of n * n.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import checkpointed
@@ -72,15 +72,17 @@ def fingerprint(data: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                 more: Sequence[Column] = ()) -> DataFrame:
+    """``(doc_id, fp)`` and the string columns ``more`` for every row; ``fp`` is the fingerprint as a signed long."""
     def run(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], names=names)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
+    names = ["doc_id", "fp", *rows.columns[2:]]
+    return rows.mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} string" for c in names[2:])]))
 
 
 def _find(parent: list[int], x: int) -> int:
@@ -169,6 +171,13 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _grouped(prints: DataFrame, radius: int, tile: int) -> DataFrame:
+    """``(fp, rep, root)``: the smallest doc_id and the group of every distinct fingerprint."""
+    distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+    roots = components(links(distinct, radius, tile), "a", "b")
+    return distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs``.
@@ -180,10 +189,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives no rows.  Other columns of ``docs`` are not looked at.
     """
     prints = checkpointed(fingerprints(docs, id_col, text_col, shingle))
-    distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    roots = components(links(distinct, radius, tile), "a", "b")
-    grouped = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "rep", F.coalesce("root", "fp").alias("root"))
+    grouped = _grouped(prints, radius, tile)
     ids = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_fp = grouped.join(ids, "root").select("fp", "component_id")
     return prints.join(of_fp, "fp").select(
@@ -192,12 +198,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
              radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that stay when each group keeps its smallest doc_id.
+    """One row of ``docs`` of each group, all columns: the one with the smallest doc_id, then the smallest hash of its text.
 
-    All columns stay; of rows that repeat a doc_id one stays; rows with a null
-    doc_id cannot be told apart by id and stay.
+    Rows with a null doc_id come last, so one stays only in a group that has
+    no other; of rows that repeat both doc_id and text one stays.
     """
-    groups = near_duplicates(docs, id_col, text_col, shingle, radius)
-    gone = (groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
-    kept = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(kept.where(F.col(id_col).isNull()))
+    text, doc_id = F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.col(id_col).cast("long")
+    row = F.concat_ws(":", doc_id.cast("string"), F.sha2(text.cast("binary"), 256)).alias("_row")
+    prints = checkpointed(fingerprints(docs, id_col, text_col, shingle, [row]))
+    first = F.min_by("_row", F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row")))
+    stay = prints.join(_grouped(prints, radius, TILE).select("fp", "root"), "fp").groupBy("root").agg(first.alias("_stay"))
+    kept = docs.withColumn("_row", row).join(stay.select("_stay"), F.col("_row") == F.col("_stay"), "left_semi")
+    return kept.dropDuplicates(["_row"]).select(*docs.columns)

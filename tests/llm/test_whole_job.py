@@ -5,10 +5,11 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, ngram_lm, queries, secret_ledger
+from tessera.llm import decontaminate, langid, ngram_lm, queries, secret_ledger, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,3 +98,35 @@ def test_registered_scores_are_of_trigrams_with_all_counts(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r["doc_id"]: r["log_score"] for r in queries.op4_backoff_lm(spark, SF).collect()}
     assert all(abs(got[r["doc_id"]] - s) < 1e-4 for r, s in zip(rows, _backoff([r["text"] for r in rows], 3), strict=True))
+
+
+SPECIAL = ["hi <|endoftext|> there", "<|endoftext|>", "a<|endoftext|>b", "x  <|endoftext|>\n\n y", "<|endoftext|><|startoftext|> One, two. ",
+           " <|endoftext|> ", "<|ENDOFTEXT|> no", "<|endof text|> no", "word " * 300 + "<|endoftext|>" + " word" * 300, "plain words, no token"]
+
+
+@pytest.mark.parametrize("name,make", [("byte_bpe_50k.json", queries.byte_encoder), ("word_bpe_49k.json", queries.word_encoder)])
+def test_registered_encoders_equal_the_unmodified_library(name, make):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    library, mine, rnd = Tokenizer.from_file(public_tokenizers.path(name)), make()(), random.Random(6)
+    odd = ["".join(rnd.choice([" ", "\n", "a", "B", "é", ".", "\t", "<|endoftext|>", "<|startoftext|>", "<|"]) for _ in range(15)) for _ in range(2000)]
+    for t in SPECIAL + odd:
+        assert np.frombuffer(mine(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
+
+
+def test_decisions_go_with_the_row_and_not_with_its_id(spark):
+    rnd = random.Random(8)
+    alone = [" ".join(f"{rnd.choice('abcdefgh')}{rnd.randint(0, 999)}" for _ in range(40)) for _ in range(6)]
+    item = alone[5]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"x {item} y"), (None, alone[0]), (7, f"x {item} y"), (7, alone[1]), (7, None), (8, item)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in decontaminate.remove(df, bench).collect()]
+    assert sorted(kept, key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+    got = sorted((str(r["doc_id"]), r["contaminated"], r["item_ids"]) for r in decontaminate.report(df, bench).collect())
+    assert got == sorted((str(i), item in (t or ""), [1] * (item in (t or ""))) for i, t in rows)
+
+    rows = [(3, alone[0]), (5, alone[1]), (5, alone[0]), (None, alone[0]), (None, alone[2]), (None, alone[2]), (9, alone[3]), (9, alone[4]), (9, alone[4])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, simhash.keep_one(df).collect()), key=str) == sorted(
+        [rows[0], rows[1], rows[4], rows[6], rows[7]], key=str)
