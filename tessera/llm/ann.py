@@ -10,7 +10,8 @@ per table.  All candidates of all tables are reranked by the exact inner
 product.
 
 Only the bucket width is fitted, on a bounded sample: it is ``WIDTH`` times the
-typical distance of the k-th neighbour.  Every row is indexed.
+typical distance of the k-th neighbour, near copies left out.  Every row is
+indexed.  Queries that found too few are compared with all rows.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SEED = 17
 BLOCK = 1024                # rows of a packed block
 STEP = 1 << 22              # products of one numpy step
 BLOCKS = "bucket long, ids binary, vectors binary"
+NEAR = 1e-3                 # of the norm: rows closer than this are near copies
+SCAN = 256                  # queries of a block that is compared with all rows
 MARGIN = 1e-9               # of the norms' product: more than a matrix product can be off
 PENDING = 1 << 20           # candidates that a task holds before it keeps the best only
 
@@ -203,16 +206,19 @@ class Best:
 
 
 def _width(rows: DataFrame, n: int, norm: float, k: int) -> float:
-    """``WIDTH`` times the median distance of the k-th neighbour, estimated on the sample."""
+    """``WIDTH`` times the median distance of the k-th neighbour that is no near copy, estimated on the sample."""
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     x = np.array([r["v"] for r in picked], dtype=np.float64)
     rank = min(len(x) - 2, max(1, round(k * len(x) / n)))
     if rank < 1:
         return norm * WIDTH
     queries = x[:SAMPLE_QUERIES]
-    products = np.sort(queries @ x.T, axis=1)[:, ::-1]
-    squared = norm ** 2 + (queries ** 2).sum(axis=1) - 2 * products[:, min(rank, products.shape[1] - 1)]
-    return float(WIDTH * max(np.sqrt(max(np.median(squared), 0.0)), 1e-3 * norm))
+    squared = norm ** 2 + (queries ** 2).sum(axis=1)[:, None] - 2 * queries @ x.T      # to the lifted rows
+    apart = (queries ** 2).sum(axis=1)[:, None] + (x ** 2).sum(axis=1)[None, :] - 2 * queries @ x.T
+    squared[apart < (NEAR * norm) ** 2] = np.inf                                      # itself and near copies
+    kth = np.sort(squared, axis=1)[:, rank - 1]
+    kth = kth[np.isfinite(kth)]
+    return float(WIDTH * max(np.sqrt(max(np.median(kth), 0.0)) if len(kth) else norm, NEAR * norm))
 
 
 def search(vectors: DataFrame, k: int = NEIGHBOURS, every: int = EVERY, id_col: str = "vec_id",
@@ -224,7 +230,10 @@ def search(vectors: DataFrame, k: int = NEIGHBOURS, every: int = EVERY, id_col:
     that are not ``usable`` take no part, nor do vectors that have not the most
     frequent number of components (ties: the larger).  Of equal vectors only
     the ``k + 1`` smallest ids can be among the nearest, so only those are
-    indexed.  Repeated rows count once; an empty table gives no rows.
+    indexed.  A query for which the buckets hold fewer than ``k`` others (or
+    none at all) is compared with all rows, in blocks, so a list is short only
+    where there are no more rows.  Repeated rows count once; an empty table
+    gives no rows.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
@@ -258,8 +267,30 @@ def search(vectors: DataFrame, k: int = NEIGHBOURS, every: int = EVERY, id_col:
         for at in range(0, len(q), 10_000):
             part = slice(at, at + 10_000)
             yield pa.RecordBatch.from_arrays([pa.array(q[part]), pa.array(v[part]), pa.array(s[part])], names=["query_id", "vec_id", "score"])
-    found = met.mapInArrow(rerank, "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    scores = "query_id long, vec_id long, score double"
+    found = checkpointed(met.mapInArrow(rerank, scores).groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
+
+    enough = found.groupBy("query_id").count().where(F.col("count") >= k).select("query_id")
+    short = queries.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti").select(
+        F.col("vec_id").alias("q_id"), F.col("v").cast("array<double>").alias("q"))
+    short = checkpointed(short.dropDuplicates(["q_id", "q"]))
+    if not short.isEmpty():
+        part = (F.pmod(F.xxhash64("q_id", "q"), F.lit(max(1, -(-short.count() // SCAN))))).alias("part")
+        blocks = short.groupBy(part).agg(F.collect_list(F.struct("q_id", "q")).alias("qs")).select("qs")
+        packs = rows.select("vec_id", F.col("v").cast("array<double>").alias("v")).groupBy(
+            F.pmod(F.xxhash64("vec_id"), F.lit(-(-n // BLOCK))).alias("part")).agg(F.collect_list(F.struct("vec_id", "v")).alias("xs"))
+
+        def scan(batches):
+            best = Best(k)
+            for batch in batches:
+                for qs, xs in zip(batch.column(0), batch.column(1)):
+                    (q_ids, q), (ids, x) = ((p.values.field(0).to_numpy(), p.values.field(1).flatten().to_numpy().reshape(-1, dim))
+                                            for p in (qs, xs))
+                    best.add(q_ids, q, ids, x)
+            q, v, s = best.shrink()
+            yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(s)], names=["query_id", "vec_id", "score"])
+        scanned = blocks.crossJoin(packs.select("xs")).mapInArrow(scan, scores)
+        found = found.unionByName(scanned).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, langid, ngram_lm, queries, secret_ledger, simhash
+from tessera.llm import ann, decontaminate, langid, ngram_lm, queries, secret_ledger, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -130,3 +130,17 @@ def test_decisions_go_with_the_row_and_not_with_its_id(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert sorted(map(tuple, simhash.keep_one(df).collect()), key=str) == sorted(
         [rows[0], rows[1], rows[4], rows[6], rows[7]], key=str)
+
+
+def test_isolated_vectors_beside_tight_clusters_find_their_neighbours(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 24))
+    x = np.concatenate([c + 1e-5 * rng.normal(size=(40, 24)) for c in centres] + [rng.normal(size=(60, 24))])
+    x = (x / np.linalg.norm(x, axis=1)[:, None])[rng.permutation(len(x))]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in ann.search(df, every=5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert sorted(got) == list(range(0, len(x), 5)) and all(sorted(n for n, _ in g) == list(range(1, 21)) for g in got.values())
+    few = ann.search(df.where("vec_id < 8"), every=1).collect()
+    assert len(few) == 8 * 7 and all(abs(r["score"] - float(x[r["query_id"]] @ x[r["vec_id"]])) < 1e-12 for r in few)
