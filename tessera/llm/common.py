@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,6 +22,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, what: str = "table") -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder; its readers read only the columns they use."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def join_small(large: DataFrame, small: DataFrame, on: Sequence[str], how: str, rows: int = 500_000) -> DataFrame:
+    """Join with a stored table of narrow rows: broadcast if it has at most ``rows`` of them, else both sides shuffle."""
+    return large.join(F.broadcast(small) if small.count() <= rows else small, list(on), how)
+
+
 def running_total(df: DataFrame, order: Sequence[str], value: Column, out: str,
                   by: Sequence[str] = ()) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all earlier rows in ``order`` (within ``by``).

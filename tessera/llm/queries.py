@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import (ann, decontaminate, encode, langid, ngram_lm, packing, secret_ledger, shards, simhash, token_files,
-                         toxicity)
+from tessera.llm import (ann, decontaminate, encode, langid, merkle, ngram_lm, packing, repeats, secret_ledger, shards, simhash,
+                         token_files, toxicity)
 from tessera.llm.common import table
 
 BYTE_VOCABULARY, BYTE_END = "byte_bpe_50k.json", 2
@@ -79,6 +79,17 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), word_encoder(), WORD_END)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents; every row folded up from its leaf, one in five after tampering."""
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))
+
+
+def op12_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 13 words and more that a document with a smaller doc_id has."""
+    return repeats.drop_copied(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_langid, op3_sharding, op4_backoff_lm, op5_multiprobe_ann, op6_toxicity_chain,
-                                   op7_secret_ledger, op8_pigeonhole, op9_token_files, op10_best_fit)}
+                                   op7_secret_ledger, op8_pigeonhole, op9_token_files, op10_best_fit, op11_merkle_manifest,
+                                   op12_repeated_spans)}
 ORACLES: dict[str, str] = {}
