@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import (ann, decontaminate, encode, langid, merkle, ngram_lm, packing, repeats, secret_ledger, shards, simhash,
-                         token_files, toxicity)
+from tessera.llm import (ann, decontaminate, encode, langid, merkle, ngram_lm, packing, repair, repeats, secret_ledger, shards,
+                         simhash, token_files, toxicity)
 from tessera.llm.common import table
 
 BYTE_VOCABULARY, BYTE_END = "byte_bpe_50k.json", 2
@@ -89,7 +89,12 @@ def op12_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.drop_copied(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    return repair.damaged_audit(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_langid, op3_sharding, op4_backoff_lm, op5_multiprobe_ann, op6_toxicity_chain,
                                    op7_secret_ledger, op8_pigeonhole, op9_token_files, op10_best_fit, op11_merkle_manifest,
-                                   op12_repeated_spans)}
+                                   op12_repeated_spans, op13_conversation_repair)}
 ORACLES: dict[str, str] = {}
