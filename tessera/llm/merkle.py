@@ -188,7 +188,8 @@ def manifest(rows: DataFrame, siblings: bool = False) -> DataFrame:
 
     # The tree of the sources' roots: its members carry the key of their source.
     placed = running_total(roots, _TREE, F.lit(1), "place")
-    forest = _stack(placed.select(F.lit(True).alias("known"), F.lit("").alias("name"), "place", "digest",
+    one_tree = [(F.col("place") >= 0).alias("known"), F.substring("name", 1, 0).alias("name")]    # one key, for a join by it
+    forest = _stack(placed.select(*one_tree, "place", "digest",
                                   F.col("known").alias("of_known"), F.col("name").alias("of_name")))
     root = forest[-1].where(F.col("n") <= GROUP).select(*_TREE, F.array().cast(_LEVELS).alias("above"), F.col("top").alias("root"))
 
