@@ -3,8 +3,8 @@
 Both tokenizers cut a text into words before they merge pieces, so the ids of
 a text are the ids of its chunks, one after the other, wherever a chunk border
 is certain to be a border of words too.  Texts are cut at blanks; the
-tokenizers library encodes each distinct chunk once per task and its ids are
-kept as bytes.  Chunks of plain letters and common marks skip the library's
+tokenizers library encodes each distinct chunk once and its ids are kept as
+bytes, as long as the Python worker lives.  Chunks of plain letters and common marks skip the library's
 normalising and pre-tokenising steps and go to its model word by word; all
 others go through the whole tokenizer.
 """
@@ -12,11 +12,14 @@ others go through the whole tokenizer.
 from __future__ import annotations
 
 import re
+import struct
+import sys
+import types
 from collections.abc import Callable
 
 from tokenizers import Tokenizer
 
-KEPT = 1 << 20              # chunks, and words, whose ids are kept in a task (about 200 MB each when full)
+KEPT = 1 << 19              # chunks, and words, whose ids are kept in a worker (about 100 MB each when full)
 LONGEST = 48                # characters of a chunk that is worth keeping
 
 _BLANK = re.compile(r"(?<=\S)(?= \S)")     # a single blank between two characters that are no white space
@@ -37,16 +40,25 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in own} | {b: 256 + i for i, b in enumerate(rest)}
 
 
+def _ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Words(dict):
     """Word of the tokenizer's own cutting -> its ids as bytes, by the tokenizer's model."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.model, self.letters = tokenizer.model, _byte_letters()
+        self.blank = chr(self.letters[32])
 
     def __missing__(self, word: str) -> bytes:
-        written = word.encode().decode("latin-1").translate(self.letters)
-        found = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(written)])
+        body = word[1:] if word[0] == " " else word
+        if body.isascii() and body.isalpha():           # letters stand for themselves
+            written = word if body is word else self.blank + body
+        else:
+            written = word.encode().decode("latin-1").translate(self.letters)
+        found = _ids([t.id for t in self.model.tokenize(written)])
         if len(self) >= KEPT:
             self.clear()
         self[word] = found
@@ -65,8 +77,7 @@ class _Pieces(dict):
         self.tokenizer, self.words, self.lead, self.drops_space = tokenizer, words, lead, drops_space
 
     def whole(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+        return _ids(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def cut(self, chunk: str) -> list[str] | None:
         """The words of a plain chunk; None if the whole tokenizer has to see it."""
@@ -84,20 +95,48 @@ class _Pieces(dict):
                 return None
         return parts
 
+    def simple(self, piece: str) -> bytes | None:
+        """The ids of a piece of letters, or of letters and one mark; None if it is anything else."""
+        body = piece if piece.isalpha() else piece[:-1]
+        if not body.isalpha() or (body is not piece and piece[-1] not in ".,;:!?()|"):
+            return None
+        if self.drops_space:
+            if max(body) >= _LATIN_END:
+                return None
+            ids = self.words[body.lower()]
+        else:
+            ids = self.words[self.lead + body]
+        return ids if body is piece else ids + self.words[piece[-1]]
+
     def __missing__(self, piece: str) -> bytes:
         if not self.drops_space and (not piece or piece[0].isspace() or piece[-1].isspace()):
             raise _Odd
         chunk = self.lead + piece
         if len(chunk) > LONGEST:
             return self.whole(chunk)
-        parts = self.cut(chunk)
-        found = self.whole(chunk) if parts is None else b"".join(map(self.words.__getitem__, parts))
+        found = self.simple(piece)
+        if found is None:
+            parts = self.cut(chunk)
+            found = self.whole(chunk) if parts is None else b"".join(map(self.words.__getitem__, parts))
         if len(self) >= KEPT:
             self.clear()
         self[piece] = found
         return found
 
 
+def of_worker(key: tuple, make: Callable[[], Callable[[str | None], bytes]]) -> Callable[[str | None], bytes]:
+    """The worker's encoder of this key, made by its first task.
+
+    Code of this package reaches a task by value, with module variables of its
+    own; what is to outlive the task has to hang on a module of the process.
+    """
+    name = "tessera_worker_encoders"
+    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def _tokenizer(path: str, special_tokens: bool) -> Tokenizer:
     """``special_tokens``: strings of special tokens in a text become their ids, as by the library's own call; else ordinary text."""
     tokenizer = Tokenizer.from_file(path)

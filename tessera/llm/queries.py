@@ -18,15 +18,15 @@ def _path(name: str) -> str:
 
 
 def byte_encoder(path: str | None = None):
-    """A maker of encoders (one per task) for the byte-level vocabulary."""
+    """A maker of encoders (one per worker) for the byte-level vocabulary."""
     path = path or _path(BYTE_VOCABULARY)
-    return lambda: encode.byte_level_encoder(path, special_tokens=True)
+    return lambda: encode.of_worker(("byte", path), lambda: encode.byte_level_encoder(path, special_tokens=True))
 
 
 def word_encoder(path: str | None = None):
-    """A maker of encoders (one per task) for the lower-case word vocabulary."""
+    """A maker of encoders (one per worker) for the lower-case word vocabulary."""
     path = path or _path(WORD_VOCABULARY)
-    return lambda: encode.lower_word_encoder(path, special_tokens=True)
+    return lambda: encode.of_worker(("word", path), lambda: encode.lower_word_encoder(path, special_tokens=True))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
