@@ -159,6 +159,101 @@ def snapshot_history(extracts: DataFrame, key: str, check_cols: Sequence[str], r
                          F.lead(F.col(run_col)).over(w).cast("timestamp").alias(VALID_TO_TS))
 
 
+SEEN = "seen"
+
+
+def release_merge(state: DataFrame | None, source: DataFrame, key: str, check_cols: Sequence[str], run_ts) -> DataFrame:
+    """One release into a snapshot, whatever its run time is against those that came before.
+
+    ``state`` is a snapshot with one more column, ``seen``: for each version
+    the runs that showed it, with the passive columns they had. With it a late
+    release finds its place: the stored interval that holds ``run_ts`` is kept
+    (same tracked values), ends there, or is split in two around the late
+    version, the second part starting at the first later run that showed the
+    old values again; a late version that equals the next one is put together
+    with it. Releases in any order so give the table of ``snapshot_history``
+    over all of them, passive columns included (keys missing from a release
+    stay as they are). ``snapshot_of`` drops ``seen``.
+
+    A key that the release holds more than once fails the merge; a NULL key is
+    a key. A key that has already been shown at ``run_ts`` keeps its first
+    row, so a release that is delivered twice changes nothing. Columns may be
+    added or dropped between releases (NULL where a row has no value).
+
+    One full outer join on the key. A version only looks at its neighbours in
+    its key (at most one version per release), so the touched versions are
+    rewritten in place and no other state is needed.
+    """
+    if key not in source.columns:
+        raise ValueError(f"key {key!r} not in source columns {source.columns}")
+    run = _ts(run_ts)
+    source = _one_per_key(source, key)
+    stored = [] if state is None else [c for c in state.columns if c not in (VALID_FROM_TS, VALID_TO_TS, SEEN)]
+    cols = list(source.columns) + [c for c in stored if c not in source.columns]
+    kinds = {c: (source if c in source.columns else state).schema[c].dataType for c in cols}
+    passive = [c for c in cols if c != key and c not in check_cols]
+
+    def row(of, at, **other):
+        """The value columns of a version, from ``of``, and its passive columns, from ``at``."""
+        return [(at(c) if c in passive else of(c)).cast(kinds[c]).alias(c) for c in cols]
+
+    late = lambda c: F.col(f"l__{c}") if c in source.columns else F.lit(None)
+    new = source.select(*[F.col(f"`{c}`").alias(f"l__{c}") for c in source.columns], F.lit(True).alias("l__here"))
+    extra = F.struct(*[late(c).cast(kinds[c]).alias(c) for c in passive], F.lit(True).alias("_"))
+    sight = F.struct(run.alias("run_ts"), extra.alias("passive"))
+    if state is None:
+        return new.select(*row(late, late), run.alias(VALID_FROM_TS), F.lit(None).cast("timestamp").alias(VALID_TO_TS),
+                          F.array(sight).alias(SEEN))
+
+    have = lambda c: F.col(f"v__{c}") if c in stored else F.lit(None)
+    tracked = lambda get: F.struct(*[get(c).cast(kinds[c]).alias(c) for c in check_cols])
+    shown = F.transform(F.col(SEEN), lambda x: F.struct(
+        x["run_ts"].alias("run_ts"), F.struct(*[(x["passive"][c] if c in stored else F.lit(None)).cast(kinds[c]).alias(c)
+                                                for c in passive], F.lit(True).alias("_")).alias("passive")))
+    versions = state.select(*[F.col(f"`{c}`").alias(f"v__{c}") for c in stored], F.col(VALID_FROM_TS).alias("f"),
+                            F.col(VALID_TO_TS).alias("t"), shown.alias("shown"))
+    along = Window.partitionBy(f"v__{key}").orderBy("f")
+    versions = (versions.withColumn("value", tracked(have))
+                .withColumn("before", F.lag(F.struct("value", "f", F.element_at("shown", -1)["run_ts"].alias("last"))).over(along))
+                .withColumn("after", F.lead("value").over(along)).withColumn("v__here", F.lit(True)))
+    j = versions.join(new.withColumn("late", tracked(late)), F.col(f"v__{key}").eqNullSafe(F.col(f"l__{key}")), "full_outer")
+
+    touched = F.col("v__here").isNotNull() & F.col("l__here").isNotNull()
+    again = F.exists("shown", lambda x: x["run_ts"] == run)
+    holds = touched & ~again & (F.col("f") <= run) & (F.col("t").isNull() | (run < F.col("t")))
+    same = F.col("value").eqNullSafe(F.col("late"))
+    earlier = F.filter("shown", lambda x: x["run_ts"] < run)
+    later = F.filter("shown", lambda x: x["run_ts"] > run)
+    # the version begins where the late row does: it has the same values, and nothing stands between them
+    begins = touched & same & (run < F.col("f")) & (F.col("before").isNull() | (
+        (F.col("before.f") <= run) & (F.col("before.last") < run) & ~F.col("before.value").eqNullSafe(F.col("late"))))
+    first = touched & ~same & F.col("before").isNull() & (run < F.col("f"))
+
+    def version(of, at, start, end, seen):
+        return F.struct(*row(of, at), start.cast("timestamp").alias(VALID_FROM_TS), end.cast("timestamp").alias(VALID_TO_TS), seen.alias(SEEN))
+    passive_of = lambda seen: lambda c: seen[0]["passive"][c]
+    sights = F.array(sight)
+    old, keep_end = (lambda s, e, seen: version(have, passive_of(seen), s, e, seen)), F.col("t")
+    none = F.lit(None).cast("timestamp")
+    shown_now = F.col("shown")
+    late_until = lambda end: version(late, late, run, end, sights)
+    out = F.when(F.col("v__here").isNull(), F.array(late_until(none)))
+    out = out.when(holds & same, F.array(old(F.col("f"), keep_end, F.concat(earlier, sights, later))))
+    out = out.when(holds & (F.size(later) > 0), F.array(
+        old(F.col("f"), run, earlier), late_until(later[0]["run_ts"]), old(later[0]["run_ts"], keep_end, later)))
+    out = out.when(holds & F.col("after").eqNullSafe(F.col("late")) & F.col("t").isNotNull(), F.array(old(F.col("f"), run, shown_now)))
+    out = out.when(holds, F.array(old(F.col("f"), run, shown_now), late_until(keep_end)))
+    out = out.when(begins, F.array(old(run, keep_end, F.concat(sights, shown_now))))
+    out = out.when(first, F.array(late_until(F.col("f")), old(F.col("f"), keep_end, shown_now)))
+    out = out.otherwise(F.array(old(F.col("f"), keep_end, shown_now)))
+    return j.select(F.explode(out).alias("v")).select("v.*")
+
+
+def snapshot_of(state: DataFrame) -> DataFrame:
+    """The snapshot table of a ``release_merge`` state."""
+    return state.drop(SEEN)
+
+
 def unknown_member(code_col: str, name_cols: Sequence[str], key_col: str,
                    extra: Mapping[str, object] | None = None) -> dict[str, Column]:
     """Literal columns of the explicit unknown member of a versioned dimension."""
