@@ -345,22 +345,11 @@ cnt AS (SELECT b.band_code, count(*) AS parts FROM part p
         JOIN bands b ON p.p_size BETWEEN b.min_value AND b.max_value GROUP BY 1)
 SELECT b.band_code, b.band, b.min_value, b.max_value, b.sort_order, CAST(coalesce(c.parts, 0) AS BIGINT) AS parts
 FROM bands b LEFT JOIN cnt c ON c.band_code = b.band_code"""
-    ql["q23_snapshot_merge"] = _with(CUSTOMER_DIM.split("cust_flag AS")[0].rstrip().rstrip(",")) + f"""
-, r1 AS (SELECT * FROM cust_ext WHERE year(run_ts) = {sq.RELEASE_YEARS[0] + 1}),
-r2 AS (SELECT * FROM cust_ext WHERE year(run_ts) = {sq.RELEASE_YEARS[1] + 1})
-SELECT r1.customer_code, r1.priority, r1.customer_name, r1.segment, DATE '{sq.RELEASE_YEARS[0] + 1}-01-01' AS valid_from_date,
-       CASE WHEN r2.customer_code IS NOT NULL AND r2.priority IS DISTINCT FROM r1.priority
-            THEN DATE '{sq.RELEASE_YEARS[1] + 1}-01-01' END AS valid_to_date
-FROM r1 LEFT JOIN r2 ON r2.customer_code = r1.customer_code
-UNION ALL
-SELECT r2.customer_code, r2.priority, r2.customer_name, r2.segment, DATE '{sq.RELEASE_YEARS[1] + 1}-01-01', CAST(NULL AS DATE)
-FROM r2 WHERE NOT EXISTS (SELECT 1 FROM r1 WHERE r1.customer_code = r2.customer_code
-                          AND r1.priority IS NOT DISTINCT FROM r2.priority)"""
     ql["q24_text_columns"] = """
-SELECT o_orderpriority AS priority, count(*) AS orders, count(*) FILTER (WHERE o_orderkey % 7 <> 0) AS dated,
-       max(CAST(o_orderkey AS VARCHAR)) AS last_id,
-       CAST(max(o_orderdate) FILTER (WHERE o_orderkey % 7 <> 0) AS DATE) AS last_day
-FROM orders WHERE CAST(o_orderkey AS VARCHAR) LIKE '1%' GROUP BY 1"""
+SELECT o_orderpriority AS priority, count(*) AS orders, count(*) FILTER (WHERE o_orderstatus <> 'P') AS dated,
+       count(*) FILTER (WHERE o_orderpriority LIKE '1-%') AS urgent, max(CAST(o_orderkey AS VARCHAR)) AS last_id,
+       CAST(max(o_orderdate) FILTER (WHERE o_orderstatus <> 'P') AS DATE) AS last_day
+FROM orders GROUP BY 1"""
     ql["q25_bridge_fact"] = """
 SELECT r_name AS region_name, count(*) AS suppliers, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
 FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey GROUP BY 1"""
@@ -368,6 +357,7 @@ FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionke
 SELECT customer_code, priority, customer_name, segment, CAST(valid_from_ts AS DATE) AS valid_from_date,
        CAST(valid_to_ts AS DATE) AS valid_to_date
 FROM cust_snap"""
+    ql["q23_snapshot_merge"] = ql["q13_scd2_merge"]
     ql["q14_versioned_dim"] = _with(CUSTOMER_DIM) + "SELECT * FROM customer_dim"
     ql["q15_fact_orders"] = _with(CUSTOMER_DIM, FACT_ORDERS) + "SELECT * FROM fact_orders"
     ql["q16_fact_lines"] = _with(CUSTOMER_DIM, FACT_ORDERS, FACT_LINES) + "SELECT * FROM fact_lines"

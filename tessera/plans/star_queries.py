@@ -19,12 +19,11 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import (digits_only_int, flag, parse_day_first_timestamp, pg_initcap, sentinel_to_null,
                                        strip_extract_suffix, surrogate_key)
 from tessera.operators import conform, dims, quality, report, scd2
-from tessera.session import checkpointed
+from tessera.session import checkpointed, stored
 from tessera.sources import bronze, seeds
 
 # Fixed values of the test scenario (parameters, not data subsets).
 NATION_RUN_TS = _dt.datetime(1995, 1, 1)           # single snapshot run of the nation code list
-RELEASE_YEARS = (1996, 1997)                        # the two releases of the merge query
 PRIORITY_SENTINEL = "NOT SPECIFIED"                 # priority text meaning "no value"
 LARGE_ORDER = 300000                                # total price above which an order is "large"
 NON_PRIORITY = ("4-NOT SPECIFIED", "5-LOW")          # tracked values that are not priority customers
@@ -105,13 +104,10 @@ def q02_latest_extract(spark, sf_dir):
     """Per language, the page with the highest number in its URL; ties go to the
     first listed (lowest id) (A3, D10, F1)."""
     pattern = r"^https?://[^/]+/([a-z]{2})/(\d+)"
-    p = (_t(spark, sf_dir, "pages").select("page_id", "url")
-         .filter(F.col("url").rlike(pattern))
-         .select("page_id", "url", F.regexp_extract("url", pattern, 1).alias("lang"),
-                 F.regexp_extract("url", pattern, 2).cast("int").alias("number")))
-    best = p.groupBy("lang").agg(F.max_by(F.struct("page_id", "url", "number"),
-                                          F.struct(F.col("number"), -F.col("page_id"))).alias("b"))
-    return best.select("lang", "b.page_id", "b.url", "b.number")
+    p = _t(spark, sf_dir, "pages").select(F.col("page_id").alias("pos"), F.col("url").alias("name"), "url",
+                                          F.regexp_extract("url", pattern, 1).alias("lang"))
+    best = bronze.latest_entry(p, pattern, number_group=2, by=["lang"])
+    return best.select("lang", F.col("pos").alias("page_id"), "url", F.col("end_year").alias("number"))
 
 
 @_query
@@ -321,36 +317,44 @@ def q13_scd2_merge(spark, sf_dir):
                     F.to_date(scd2.VALID_TO_TS).alias("valid_to_date"))
 
 
-def _release(spark, sf_dir, year: int) -> DataFrame:
-    """The customers with orders in a year, as a full extract."""
-    e = yearly_customer_extracts(spark, sf_dir)
-    return e.filter(F.year("run_ts") == year + 1).select("customer_code", "priority", "customer_name", "segment")
+SNAPSHOT_COLS = ["customer_id", "customer_code", "priority", "customer_name", "segment"]
+
+
+def releases(spark, sf_dir) -> list[tuple[_dt.datetime, DataFrame]]:
+    """Every yearly extract with its run time, in run order (as many as there are years of orders); stored once."""
+    e = stored(yearly_customer_extracts(spark, sf_dir), "extracts")
+    runs = [r["run_ts"] for r in e.select("run_ts").distinct().orderBy("run_ts").collect()]
+    return [(run, e.filter(F.col("run_ts") == F.lit(run)).select(*SNAPSHOT_COLS)) for run in runs]
+
+
+def snapshot_rows(snapshot: DataFrame) -> DataFrame:
+    return snapshot.select("customer_code", "priority", "customer_name", "segment",
+                           F.to_date(scd2.VALID_FROM_TS).alias("valid_from_date"), F.to_date(scd2.VALID_TO_TS).alias("valid_to_date"))
 
 
 @_query
 def q23_snapshot_merge(spark, sf_dir):
-    """Two snapshot runs on two releases: new, changed, unchanged and missing keys."""
-    first, second = RELEASE_YEARS
-    one = scd2.snapshot_merge(None, _release(spark, sf_dir, first), "customer_code", ["priority"], _dt.datetime(first + 1, 1, 1))
-    two = scd2.snapshot_merge(one, _release(spark, sf_dir, second), "customer_code", ["priority"], _dt.datetime(second + 1, 1, 1))
-    return two.select("customer_code", "priority", "customer_name", "segment",
-                      F.to_date(scd2.VALID_FROM_TS).alias("valid_from_date"), F.to_date(scd2.VALID_TO_TS).alias("valid_to_date"))
+    """One snapshot run after the other over all yearly releases: new, changed, unchanged and missing keys."""
+    snapshot = None
+    for run, release in releases(spark, sf_dir):
+        snapshot = stored(scd2.snapshot_merge(snapshot, release, "customer_id", ["priority"], run), "snapshot")
+    return snapshot_rows(snapshot)
 
 
 @_query
 def q24_text_columns(spark, sf_dir):
-    """Id suffix, day-first timestamps and a prefix filter on text made of the
-    customers' orders, with counts of non-null values (H1, H12, B7, D3)."""
-    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    """Id suffix and day-first timestamps on text made of all orders (a pending
+    order has no time), with counts by priority of all, of dated, and of those
+    whose text begins with the urgent code (H1, H12, B7, D3)."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
     day = F.date_format("o_orderdate", "d/M/yyyy")
     t = o.select(F.concat(F.col("o_orderkey").cast("string"), F.lit("-"), day).alias("id"),
-                 F.when(F.col("o_orderkey") % 7 != 0, F.concat(day, F.lit(" 9:05:00"))).alias("at"),
-                 F.col("o_orderkey").cast("string").alias("code"), "o_orderpriority")
-    t = t.filter(F.col("code").startswith("1")).select(strip_extract_suffix("id").alias("order_id"),
-                                                       parse_day_first_timestamp("at").alias("at"), "o_orderpriority")
+                 F.when(F.col("o_orderstatus") != "P", F.concat(day, F.lit(" 9:05:00"))).alias("at"), "o_orderpriority")
+    t = t.select(strip_extract_suffix("id").alias("order_id"), parse_day_first_timestamp("at").alias("at"),
+                 F.col("o_orderpriority").startswith("1-").alias("urgent"), "o_orderpriority")
     return t.groupBy(F.col("o_orderpriority").alias("priority")).agg(
-        F.count(F.lit(1)).alias("orders"), F.count("at").alias("dated"), F.max("order_id").alias("last_id"),
-        F.to_date(F.max("at")).alias("last_day"))
+        F.count(F.lit(1)).alias("orders"), F.count("at").alias("dated"), F.count_if("urgent").alias("urgent"),
+        F.max("order_id").alias("last_id"), F.to_date(F.max("at")).alias("last_day"))
 
 
 @_query

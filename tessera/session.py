@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -91,3 +92,10 @@ def checkpointed(df):
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df, what: str = "table"):
+    """Cut the lineage with a Parquet table in the shared folder; readers scan only the columns they use."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

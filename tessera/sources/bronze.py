@@ -102,6 +102,25 @@ def read_extract(spark: SparkSession, folder: str, suffix_by_entity: Mapping[str
     return frames
 
 
+def latest_entry(entries: DataFrame, pattern: str, number_group: int = 1, url_suffix: str = "",
+                 by: Sequence[str] = ()) -> DataFrame:
+    """The newest entry of a list of ``pos, name, url`` (and the ``by`` columns), one per ``by``.
+
+    An entry qualifies when ``pattern`` matches its name at the start and its
+    URL ends with ``url_suffix`` (any case); the greatest number in
+    ``number_group`` wins, then the smallest ``pos``. Returns ``by, pos, name,
+    url, end_year``; no row where none qualifies. The pick is a maximum, which
+    is combined before the shuffle.
+    """
+    pattern = pattern if pattern.startswith("^") else "^" + pattern
+    found = (entries.select(*by, "pos", "name", "url")
+             .filter(F.col("name").rlike(pattern) & F.lower(F.col("url")).endswith(url_suffix))
+             .withColumn("end_year", F.regexp_extract("name", pattern, number_group).cast("int")))
+    best = found.groupBy(*by).agg(F.max_by(F.struct("pos", "name", "url", "end_year"),
+                                           F.struct(F.col("end_year"), -F.col("pos"))).alias("b"))
+    return best.filter(F.col("b").isNotNull()).select(*by, "b.*")
+
+
 def latest_extract(catalogue: DataFrame, name_pattern: str, url_suffix: str = ".zip") -> DataFrame:
     """Pick the newest extract listed in a catalogue document.
 
@@ -111,14 +130,9 @@ def latest_extract(catalogue: DataFrame, name_pattern: str, url_suffix: str = ".
     greatest end year wins (ties: first listed). Returns one row
     ``(name, url, end_year)``; ``require_one`` raises when there is none.
     """
-    pattern = name_pattern if name_pattern.startswith("^") else "^" + name_pattern
     res = (catalogue.select(F.posexplode("result.resources").alias("pos", "r"))
-           .select("pos", F.col("r.name").alias("name"), F.col("r.url").alias("url"))
-           .filter(F.col("name").rlike(pattern) & F.lower(F.col("url")).endswith(url_suffix))
-           .withColumn("end_year", F.regexp_extract("name", pattern, 1).cast("int")))
-    best = res.agg(F.max_by(F.struct("name", "url", "end_year"),
-                            F.struct(F.col("end_year"), -F.col("pos"))).alias("b"))
-    return best.filter(F.col("b").isNotNull()).select("b.*")
+           .select("pos", F.col("r.name").alias("name"), F.col("r.url").alias("url")))
+    return latest_entry(res, name_pattern, url_suffix=url_suffix).select("name", "url", "end_year")
 
 
 def require_one(df: DataFrame, what: str) -> dict:
@@ -138,6 +152,28 @@ def flatten_codes(doc: DataFrame, path: str = "data.codelists", code_field: str
             .select(F.col("c")[code_field].alias("code"), F.col("c")[name_field].alias("name")))
 
 
+def flatten_code_text(docs: DataFrame, text: str, path: str = "$.data.codelists[0].codes", code_field: str = "id",
+                      name_field: str = "name", keep: Sequence[str] = ()) -> DataFrame:
+    """Code lists in JSON text -> rows ``keep, position, code, name, fault``, whatever else the documents hold.
+
+    The text is parsed to a VARIANT, so a moved, added or retyped field
+    elsewhere does not break the scan, and no schema is fixed beforehand.
+    ``fault`` says what a document or an entry lacks: ``not json``, ``no list``
+    (the path is missing, or not an array), ``no code`` (an entry that is no
+    object, or without the code), else NULL; faulty documents give one row with
+    NULL position. Numbers and booleans become text; an empty list gives no row.
+    """
+    parsed = F.try_parse_json(F.col(text))
+    codes = F.try_variant_get(parsed, path, "array<variant>")
+    fault = F.when(parsed.isNull(), F.lit("not json")).when(codes.isNull(), F.lit("no list"))
+    entries = F.when(fault.isNotNull(), F.array(F.lit(None).cast("variant"))).otherwise(codes)
+    rows = docs.select(*keep, fault.alias("__fault"), F.posexplode(entries).alias("__at", "__e"))
+    code = F.try_variant_get(F.col("__e"), f"$.{code_field}", "string")
+    return rows.select(*keep, F.when(F.col("__fault").isNull(), F.col("__at")).alias("position"), code.alias("code"),
+                       F.try_variant_get(F.col("__e"), f"$.{name_field}", "string").alias("name"),
+                       F.coalesce(F.col("__fault"), F.when(code.isNull(), F.lit("no code"))).alias("fault"))
+
+
 def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
     """Concatenate parts aligned by column *name* (order-insensitive); columns
     missing from a part are NULL."""

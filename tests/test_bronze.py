@@ -125,3 +125,25 @@ def test_require_one_rejects_two(spark):
     import pytest
     with pytest.raises(bronze.NoExtractError):
         bronze.require_one(spark.range(2), "row")
+
+
+def test_latest_entry_by_group(spark):
+    rows = [(1, "en/3 a", "u1.zip", "en"), (2, "en/7 b", "u2.ZIP", "en"), (0, "en/7 c", "u3.zip", "en"), (5, "en/9 d", "u4.txt", "en"),
+            (6, "de/1 e", "u5.zip", "de"), (7, None, "u6.zip", "fr"), (8, "x de/9", "u7.zip", "de")]
+    entries = spark.createDataFrame(rows, "pos int, name string, url string, lang string")
+    best = bronze.latest_entry(entries, r"([a-z]{2})/(\d+)", 2, ".zip", by=["lang"])
+    assert {(r.lang, r.pos, r.end_year) for r in best.collect()} == {("en", 0, 7), ("de", 6, 1)}
+    assert bronze.latest_entry(entries.limit(0), r"(\d+)").count() == 0
+
+
+def test_code_lists_in_text_whatever_the_documents_hold(spark):
+    lists = '{"data": {"codelists": [{"codes": %s}]}, "more": {"deep": [1, 2]}}'
+    docs = [(1, lists % '[{"id": "A", "name": "Alpha"}, {"name": "Beta", "id": 7, "x": {}}, {"id": true}]'), (2, lists % "[]"),
+            (3, lists % '{"id": "A"}'), (4, '{"data": {}}'), (5, "{broken"), (6, None), (7, lists % '[{"name": "none"}, 3, null, {"id": null}]'),
+            (8, "[]"), (9, "")]
+    got = bronze.flatten_code_text(spark.createDataFrame(docs, "k int, doc string"), "doc", keep=["k"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        (1, 0, "A", "Alpha", None), (1, 1, "7", "Beta", None), (1, 2, "true", None, None), (3, None, None, None, "no list"),
+        (4, None, None, None, "no list"), (5, None, None, None, "not json"), (6, None, None, None, "not json"),
+        (7, 0, None, "none", "no code"), (7, 1, None, None, "no code"), (7, 2, None, None, "no code"), (7, 3, None, None, "no code"),
+        (8, None, None, None, "no list"), (9, None, None, None, "not json")], key=str)

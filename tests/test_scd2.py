@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import scd2
@@ -180,3 +181,53 @@ def test_merge_keeps_null_keys_and_rejects_repeated_ones(spark):
     assert {(r.code, r.n) for r in scd2.repeated_keys(twice, "code").collect()} == {(None, 2), ("x", 2)}
     with pytest.raises(Exception, match="more than once"):
         scd2.snapshot_merge(one, twice, "code", ["name"], dt.datetime(2022, 1, 1)).collect()
+
+
+def _apply(spark, state, extracts, run, **kw):
+    release = extracts.filter(F.col("run_ts") == F.lit(run)).drop("run_ts")
+    state = scd2.release_merge(state, release, "code", ["name"], run, **kw)
+    return spark.createDataFrame(state.collect(), state.schema)     # cut the plan between runs
+
+
+def test_releases_in_any_order_give_the_history(spark):
+    for seed in range(3):
+        rng = random.Random(seed)
+        runs = [dt.datetime(2020 + i, 1, 1) for i in range(6)]
+        rows = [(f"K{k}" if k else None, rng.choice(["a", "b", None]), f"p{r.year}" if rng.random() < 0.8 else None, r)
+                for r in runs for k in range(25) if rng.random() < 0.7]
+        extracts = spark.createDataFrame(rows, "code string, name string, passive string, run_ts timestamp")
+        order = runs[:]
+        rng.shuffle(order)
+        state = None
+        for run in [*order, order[1]]:                              # the last one is delivered twice
+            state = _apply(spark, state, extracts, run)
+        history = scd2.snapshot_history(extracts, "code", ["name"], "run_ts")
+        assert snap_rows(scd2.snapshot_of(state)) == snap_rows(history)
+        sights = {(r.code, x.run_ts, x.passive.passive) for r in state.collect() for x in r.seen}
+        assert sights == {(c, r, p) for c, _, p, r in rows}
+
+
+def test_a_late_release_splits_joins_and_extends(spark):
+    def state_of(*releases):
+        state = None
+        for run, name in releases:
+            release = spark.createDataFrame([("A", name, f"p{run.year}")], SRC)
+            state = scd2.release_merge(state, release, "code", ["name"], run)
+        return snap_rows(scd2.snapshot_of(state))
+    assert state_of((T1, "x"), (T3, "x"), (T2, "y")) == [
+        ("A", "x", "p2021", T1, T2), ("A", "x", "p2023", T3, None), ("A", "y", "p2022", T2, T3)]
+    assert state_of((T1, "x"), (T3, "y"), (T2, "y")) == [("A", "x", "p2021", T1, T2), ("A", "y", "p2022", T2, None)]
+    assert state_of((T2, "x"), (T1, "x")) == [("A", "x", "p2021", T1, None)]
+    assert state_of((T2, "x"), (T1, "y")) == [("A", "x", "p2022", T2, None), ("A", "y", "p2021", T1, T2)]
+
+
+def test_late_release_with_repeated_keys_new_columns_and_no_rows(spark):
+    one = scd2.release_merge(None, spark.createDataFrame([("A", "x", "p")], SRC), "code", ["name"], T2)
+    wider = spark.createDataFrame([("A", "x", 5), ("B", "z", None)], "code string, name string, extra int")
+    two = scd2.release_merge(one, wider, "code", ["name"], T1)
+    assert sorted((r.code, r.passive, r.extra, r.valid_from_ts) for r in two.collect()) == [("A", None, 5, T1), ("B", None, None, T1)]
+    three = scd2.release_merge(two, wider.limit(0), "code", ["name"], T3)
+    assert sorted(map(str, three.collect())) == sorted(map(str, two.collect()))
+    twice = spark.createDataFrame([("A", "x", "p"), ("A", "y", "p")], SRC)
+    with pytest.raises(Exception, match="more than once"):
+        scd2.release_merge(one, twice, "code", ["name"], T3).collect()
