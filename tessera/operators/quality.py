@@ -122,10 +122,7 @@ def _row_level(table: str, df: DataFrame, checks: Sequence) -> DataFrame | None:
             labels.append(("row_count_between", "*"))
     if not aggs:
         return None
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{chk}', '{col}', cast(`__c{i}` as bigint)" for i, (chk, col) in enumerate(labels))
-    return wide.selectExpr(f"stack({len(labels)}, {stack}) as (check_name, column_name, violations)") \
-        .select(F.lit(table).alias("table_name"), "check_name", "column_name", "violations")
+    return _stacked(table, df.agg(*aggs), labels)
 
 
 def duplicate_keys(df: DataFrame, cols: Sequence[str], skip_nulls: bool) -> DataFrame:
@@ -136,6 +133,38 @@ def duplicate_keys(df: DataFrame, cols: Sequence[str], skip_nulls: bool) -> Data
     return base.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def _uniqueness(table: str, df: DataFrame, checks: Sequence) -> DataFrame | None:
+    """All uniqueness checks of a table in one pass: the rows are expanded once
+    to the checks' key sets and counted by one exchange.
+
+    A set's keys that occur more than once are violations; ``Unique`` leaves
+    NULL out, in a combination NULLs are equal.
+    """
+    sets = [(("unique", c.column, [c.column], True) if isinstance(c, Unique)
+             else ("unique_combination", ",".join(c.columns), list(c.columns), False)) for c in checks]
+    if not sets:
+        return None
+    cols = sorted({c for *_, keys, _ in sets for c in keys})
+    mask = lambda keys: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in keys)
+    distinct = list(dict.fromkeys(tuple(sorted(keys)) for *_, keys, _ in sets))
+    counted = df.select(*cols).groupingSets([[F.col(c) for c in keys] for keys in distinct], *[F.col(c) for c in cols]).agg(
+        F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set"))
+    aggs = []
+    for i, (_, _, keys, skip_nulls) in enumerate(sets):
+        bad = F.col("__set") == mask(keys)
+        if skip_nulls:
+            bad = bad & F.col(keys[0]).isNotNull()
+        aggs.append(F.count_if(bad).alias(f"__c{i}"))
+    return _stacked(table, counted.filter(F.col("__n") > 1).agg(*aggs), [(name, label) for name, label, *_ in sets])
+
+
+def _stacked(table: str, wide: DataFrame, labels: Sequence[tuple[str, str]]) -> DataFrame:
+    """The counts ``__c0, __c1, ...`` of one row as scorecard rows."""
+    stack = ", ".join(f"'{chk}', '{col}', cast(`__c{i}` as bigint)" for i, (chk, col) in enumerate(labels))
+    return wide.selectExpr(f"stack({len(labels)}, {stack}) as (check_name, column_name, violations)") \
+        .select(F.lit(table).alias("table_name"), "check_name", "column_name", "violations")
+
+
 def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Non-NULL child keys that the parent lacks, with the number of child rows (``n``).
 
@@ -148,25 +177,22 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -
 
 
 def scorecard(tables: Sequence[tuple[str, DataFrame, Sequence]]) -> DataFrame:
-    """Run the checks of every ``(table_name, frame, checks)`` into one scorecard."""
+    """Run the checks of every ``(table_name, frame, checks)`` into one scorecard.
+
+    A table's row-level checks are one aggregate and its uniqueness checks one
+    expanded aggregate; each relationship joins keys counted beforehand.
+    """
     parts: list[DataFrame] = []
     for table, df, checks in tables:
         fused = _row_level(table, df, [c for c in checks if isinstance(
             c, (NotNull, AcceptedValues, Between, MaxBetween, RowCountBetween))])
         if fused is not None:
             parts.append(fused)
+        unique = _uniqueness(table, df, [c for c in checks if isinstance(c, (Unique, UniqueCombination))])
+        if unique is not None:
+            parts.append(unique)
         for ch in checks:
-            if isinstance(ch, Unique):
-                n = duplicate_keys(df, [ch.column], skip_nulls=True).agg(F.count(F.lit(1)).alias("violations"))
-                parts.append(n.select(F.lit(table).alias("table_name"), F.lit("unique").alias("check_name"),
-                                      F.lit(ch.column).alias("column_name"), "violations"))
-            elif isinstance(ch, UniqueCombination):
-                n = duplicate_keys(df, list(ch.columns), skip_nulls=False).agg(
-                    F.count(F.lit(1)).alias("violations"))
-                parts.append(n.select(F.lit(table).alias("table_name"),
-                                      F.lit("unique_combination").alias("check_name"),
-                                      F.lit(",".join(ch.columns)).alias("column_name"), "violations"))
-            elif isinstance(ch, Violations):
+            if isinstance(ch, Violations):
                 n = ch.rows.agg(F.count(F.lit(1)).alias("violations"))
                 parts.append(n.select(F.lit(table).alias("table_name"), F.lit(ch.name).alias("check_name"),
                                       F.lit(ch.column).alias("column_name"), "violations"))

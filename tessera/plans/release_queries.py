@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators import intervals, rejects, scd2
+from tessera.operators import intervals, rejects, report, scd2, suggest
 from tessera.plans import oracle_sql as base
 from tessera.plans import star_queries as sq
 from tessera.session import ensure_checkpoint_dir, stored
@@ -20,6 +20,7 @@ from tessera.sources import bronze, refresh
 # Fixed values of the test scenario (parameters, not data subsets).
 KNOWN_STATUS = ("F", "O")
 KNOWN_FLAGS = ("A", "R")
+CHANGED_FROM = 2000                                 # first year that the second load of the report's orders changes
 BIG_SPENDER = 400000                                # yearly order value above which a customer is a big one
 ARCHIVED_YEAR, SETTLED_YEAR = 1995, 1997            # what differs between the two loads of the reload query
 
@@ -121,7 +122,63 @@ def q30_code_lists(spark, sf_dir):
     return bronze.flatten_code_text(code_documents(spark, sf_dir), "doc", keep=["event_id"])
 
 
+REPORT = {"dim_key": "region_key", "dim_cols": ["nation_name", "nation_code"],
+          "rates": {"orders_per_10k": ("orders", 0), "value_per_10k": ("order_value_cents", 2)}}
+MEASURES = ["orders", "order_value_cents"]
+
+
+@sq._query
+def q31_incremental_report(spark, sf_dir):
+    """The rate report kept up to date from stored sums: late prices, new and cancelled orders of the last years
+    touch some groups, which alone are computed again (I15)."""
+    keys, sums = ["region_key", "year"], {"orders": F.lit(1), "order_value_cents": (sq._money("o_totalprice") * 100).cast("long")}
+    o = sq._t(spark, sf_dir, "orders").withColumn("y", F.year("o_orderdate"))
+    before, after = two_loads(o)
+    changes = stored(report.change_set(before, after, "o_orderkey"), "changes")
+    fact = lambda rows: sq.with_nation(spark, sf_dir, rows).withColumn("year", F.year("order_date").cast("int"))
+    columns = ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"]
+    dim = sq.nation_dim(spark, sf_dir)
+    orders = stored(report.rate_state(fact(before.select(*columns)), keys, sums), "order-sums")
+    people = {"population": F.col("population")}
+    population = stored(report.rate_state(sq.fact_population(spark, sf_dir), keys, people), "population-sums")
+    unmoved = population.withColumn(report.TOUCHED, F.lit(False))
+    # the first report is the same step with every group touched
+    first = report.refresh_report(spark.createDataFrame([], "nation_name string, nation_code string, year int, orders long, "
+                                                        "order_value_cents long, population long, orders_per_10k double, value_per_10k double"),
+                                  orders.withColumn(report.TOUCHED, F.lit(True)), unmoved, dim, keys, MEASURES, **REPORT)
+    first = stored(first.drop("recomputed"), "report")
+    now = stored(report.apply_changes(orders, fact(changes.select(*columns, report.SIGN)), keys, sums), "order-sums")
+    return report.refresh_report(first, now, unmoved, dim, keys, MEASURES, **REPORT)
+
+
+def two_loads(o: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stand-in loads of the orders: in the last years the first one has other prices, fewer and more orders."""
+    late = F.col("y") >= CHANGED_FROM
+    price = F.when(late & (F.col("o_orderstatus") == "P"), F.lit(0.0)).otherwise(F.col("o_totalprice"))
+    before = o.filter(~(late & (F.col("o_orderpriority") == "5-LOW"))).withColumn("o_totalprice", price)
+    return before, o.filter(~(late & (F.col("o_orderpriority") == "1-URGENT")))
+
+
+def _opening(text: Column) -> Column:
+    """The first two words of a text, in capital letters A-Z."""
+    return F.trim(F.regexp_replace(F.upper(F.substring_index(text, " ", 2)), "[^A-Z ]", ""))
+
+
+@sq._query
+def q32_name_suggestions(spark, sf_dir):
+    """The nearest official name for every name that matches none: the openings of the documents are the official
+    names, those of the conversations' turns and misspelt openings the source's (I6)."""
+    d = sq._t(spark, sf_dir, "documents").select("doc_id", "text")
+    official = d.select(_opening(F.col("text")).alias("official"), "doc_id").groupBy("official").agg(F.min("doc_id").alias("code"))
+    misspelt = official.select(F.concat(F.substring("official", 1, 2), F.expr("substring(official, 4)"), F.lit("S")).alias("name"))
+    turns = sq._t(spark, sf_dir, "conversations").select(_opening(F.col("text")).alias("name"))
+    names = misspelt.unionByName(turns).join(official.select(F.col("official").alias("name")), "name", "left_anti")
+    return suggest.suggest_names(names, official, "name", "official", "code")
+
+
 QUERIES = {
+    "q32_name_suggestions": q32_name_suggestions,
+    "q31_incremental_report": q31_incremental_report,
     "q26_rejects": q26_rejects,
     "q27_late_releases": q27_late_releases,
     "q28_overlapping_histories": q28_overlapping_histories,
@@ -172,6 +229,32 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
        CASE WHEN year(o_orderdate) <> {ARCHIVED_YEAR} THEN count(*) END AS stored,
        CASE WHEN year(o_orderdate) <> {ARCHIVED_YEAR} THEN count(*) FILTER (WHERE o_orderstatus = 'P' AND year(o_orderdate) <> {SETTLED_YEAR}) END AS pending
 FROM orders GROUP BY year(o_orderdate)"""
+    full = base.oracle_sql()["q18_rate_report"]
+    late = f"year(o_orderdate) >= {CHANGED_FROM}"
+    cte, body = full.rsplit("\nSELECT d.nation_name", 1)
+    kept = cte.replace("FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
+                       f"FROM (SELECT * FROM orders WHERE NOT ({late} AND o_orderpriority = '1-URGENT')) o JOIN customer c ON o.o_custkey = c.c_custkey")
+    ql["q31_incremental_report"] = kept + f""", moved AS (
+  SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS nation_code, CAST(year(o_orderdate) AS INTEGER) AS year
+  FROM orders JOIN customer ON o_custkey = c_custkey
+  WHERE {late} AND (o_orderpriority IN ('1-URGENT', '5-LOW') OR (o_orderstatus = 'P' AND o_totalprice <> 0)))
+SELECT r.*, m.year IS NOT NULL AS recomputed FROM (SELECT d.nation_name{body}) r
+LEFT JOIN moved m ON m.nation_code = r.nation_code AND m.year = r.year"""
+    opening = "trim(regexp_replace(upper(array_to_string(string_split(text, ' ')[1:2], ' ')), '[^A-Z ]', '', 'g'))"
+    ql["q32_name_suggestions"] = f"""
+WITH official AS (SELECT {opening} AS name, CAST(min(doc_id) AS VARCHAR) AS code FROM documents WHERE text IS NOT NULL GROUP BY 1),
+names AS (
+  SELECT DISTINCT name FROM (SELECT substr(name, 1, 2) || substr(name, 4) || 'S' AS name FROM official
+                             UNION ALL SELECT {opening} FROM conversations WHERE text IS NOT NULL)
+  WHERE name NOT IN (SELECT name FROM official)),
+pairs AS (
+  SELECT n.name AS source_name, o.name AS suggestion, o.code, CAST(levenshtein(n.name, o.name) AS INTEGER) AS edits
+  FROM names n JOIN official o ON abs(length(n.name) - length(o.name)) <= 2 AND levenshtein(n.name, o.name) <= 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source_name ORDER BY edits, suggestion, code) AS place FROM pairs)
+SELECT n.name AS source_name, a.suggestion, a.code, a.edits, b.edits AS next_edits,
+       a.edits IS NOT NULL AND (b.edits IS NULL OR a.edits < b.edits) AS clear
+FROM names n LEFT JOIN ranked a ON a.source_name = n.name AND a.place = 1
+LEFT JOIN ranked b ON b.source_name = n.name AND b.place = 2"""
     k = "json_extract_string(props, '$.k')"
     ql["q30_code_lists"] = f"""
 SELECT event_id, CAST(0 AS INTEGER) AS position, {k} AS code, 'user ' || user_id AS name, CAST(NULL AS VARCHAR) AS fault

@@ -43,3 +43,17 @@ def test_coverage_gap_reports_null(spark):
     a = spark.createDataFrame([(2020,), (None,)], "year int")
     b = spark.createDataFrame([(2020,), (None,)], "year int")
     assert [r.year for r in Q.coverage_gaps(a, b, "year").collect()] == [None]
+
+
+def test_uniqueness_checks_of_a_table_are_one_exchange(spark):
+    t = spark.createDataFrame([(1, "a", 5), (1, "a", 6), (2, "a", 5), (None, "b", 5), (None, "b", 5), (3, None, 7), (4, None, 7)],
+                              "k int, s string, v int")
+    checks = [Q.Unique("k"), Q.Unique("s"), Q.UniqueCombination(["k", "s"]), Q.UniqueCombination(["s", "k", "v"]),
+              Q.UniqueCombination(["s"]), Q.UniqueCombination(["s", "v"])]
+    sc = Q.scorecard([("t", t, checks)])
+    plan = sc._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand [") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert card(sc) == sorted([("t", "unique", "k", 1), ("t", "unique", "s", 2), ("t", "unique_combination", "k,s", 2),
+                               ("t", "unique_combination", "s,k,v", 1), ("t", "unique_combination", "s", 3),
+                               ("t", "unique_combination", "s,v", 3)])
+    assert [r.violations for r in Q.scorecard([("t", t.limit(0), checks)]).collect()] == [0] * 6

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import report
@@ -61,3 +64,44 @@ def test_per_capita_matches_exact_decimal_rounding(spark):
     for n, d, scale in cases:
         exact = (Decimal(n) / Decimal(10 ** scale) * 10000 / Decimal(d)).quantize(Decimal("0.1"), ROUND_HALF_UP)
         assert got[(n, d, scale)] == float(exact), (n, d, scale)
+
+
+def test_report_state_follows_inserts_changes_and_deletes(spark):
+    rng = random.Random(3)
+    keys, sums = ["region", "year"], {"n": F.lit(1), "cents": F.col("cents")}
+    ddl = "id int, region string, year int, cents long"
+    dim = spark.createDataFrame([(f"r{i}", f"Region {i}") for i in range(6)], "code string, label string")
+    people = spark.createDataFrame([(f"r{i}", y, 1000 * i + y) for i in range(6) for y in range(2000, 2006)], "region string, year int, p long")
+    config = {"dim_key": "code", "dim_cols": ["label"], "rates": {"rate": ("n", 0), "value": ("cents", 2)}}
+    rows = {i: (i, rng.choice([*(f"r{k}" for k in range(6)), None]), rng.choice([*range(2000, 2006), None]), rng.randint(-50, 500))
+            for i in range(150)}
+    table = lambda given: spark.createDataFrame(list(given.values()), ddl)
+    den = report.rate_state(people, keys, {"population": F.col("p")}).withColumn(report.TOUCHED, F.lit(False))
+    state = report.rate_state(table(rows), keys, sums)
+
+    def full(given):
+        return report.rate_report(table(given), people, dim, keys, {"n": F.count(F.lit(1)), "cents": F.sum("cents")}, "p", **config)
+    have = spark.createDataFrame(full(rows).collect(), full(rows).schema)
+    for step in range(3):
+        after = dict(rows)
+        for i in rng.sample(sorted(after), 12):
+            if rng.random() < 0.5:
+                del after[i]
+            else:
+                after[i] = (i, after[i][1], rng.choice([2001, 2002, None]), after[i][3] + 1)
+        after |= {200 + 10 * step + k: (200 + 10 * step + k, "r1", 2005, None if k else 7) for k in range(3)}
+        if step == 1:
+            after = {i: r for i, r in after.items() if r[1] != "r2"}         # a region loses all its rows
+        changes = report.change_set(table(rows), table(after), "id")
+        now = report.apply_changes(state, changes, keys, sums)
+        now = spark.createDataFrame(now.collect(), now.schema)
+        want = report.rate_state(table(after), keys, sums).select(*keys, "rows", "n", F.coalesce("cents", F.lit(0)))
+        assert sorted(map(str, map(tuple, report.settled(now).collect()))) == sorted(map(str, map(tuple, want.collect())))
+        fresh = report.refresh_report(have, now, den, dim, keys, ["n", "cents"], **config)
+        touched = {(r.region, r.year) for r in now.collect() if r.touched}
+        assert {(f"r{r.label[-1]}", r.year) for r in fresh.collect() if r.recomputed} <= touched
+        assert sorted(map(str, fresh.drop("recomputed").collect())) == sorted(map(str, full(after).collect()))
+        have = spark.createDataFrame(fresh.drop("recomputed").collect(), have.schema)
+        rows, state = after, report.settled(now)
+    with pytest.raises(Exception, match="never counted"):
+        report.apply_changes(state, spark.createDataFrame([(1, "r0", 1900, 5, -1)], ddl + ", sign int"), keys, sums).collect()
