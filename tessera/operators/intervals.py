@@ -45,7 +45,7 @@ def _points(day: Column) -> Column:
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str] = ("valid_from", "valid_to"),
-                 overlap: Sequence[str] = ("overlap_from", "overlap_to"), salt_buckets: int = 1) -> DataFrame:
+                 overlap: Sequence[str] = ("overlap_from", "overlap_to"), salt_buckets: int = 1, few: int = 32) -> DataFrame:
     """Every pair of rows with equal ``keys`` whose half-open date intervals share a day, once.
 
     Both sides have the interval in ``columns``; a NULL end is open (to
@@ -54,7 +54,10 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], columns
     result has the keys, the other columns of both sides (which must differ in
     name) and the shared days ``overlap``.
 
-    The pairs whose right interval starts later (or with the left one) and
+    Keys with at most ``few`` rows on both sides, as histories of a code have,
+    are joined by the key alone: their pairs are bounded, and blocks would
+    only add rows. Of all others (``few=0``: of all keys)
+    the pairs whose right interval starts later (or with the left one) and
     those whose left one does are two equi joins, put together. In each the
     side that gives starts is spread over ``salt_buckets`` where that is asked
     for; otherwise AQE splits a hot block, as both sides are shuffled for the
@@ -69,10 +72,19 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], columns
     def sides(df: DataFrame, mark: str) -> DataFrame:
         last = F.coalesce(F.col(end).cast("date"), F.lit("9999-12-31").cast("date"))
         rest = [c for c in df.columns if c not in (*keys, start, end)]
+        for k in keys:
+            df = df.filter(F.col(k).isNotNull())
         return df.select(*keys, F.struct(*[F.col(f"`{c}`") for c in rest]).alias(f"__{mark}"),
                          _day(F.col(start)).alias(f"__{mark}_s"), _day(last).alias(f"__{mark}_e")).filter(
             F.col(f"__{mark}_s") < F.col(f"__{mark}_e"))
     a, b = sides(left, "l"), sides(right, "r")
+    usual = None
+    if keys and few > 0:
+        many = lambda df: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > few).select(*keys)
+        hot = many(a).unionByName(many(b)).distinct()
+        light = lambda df: df.join(hot, list(keys), "left_anti")
+        usual = light(a).join(light(b), list(keys)).filter("__l_s < __r_e and __r_s < __l_e")
+        a, b = a.join(hot, list(keys), "left_semi"), b.join(hot, list(keys), "left_semi")
     on = [*keys, "__size", "__block"] + (["__salt"] if salt_buckets > 1 else [])
 
     def met(points: DataFrame, p: str, spans: DataFrame, s: str, first: Column) -> DataFrame:
@@ -85,6 +97,9 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], columns
         place = [F.col("__b.size").alias("__size"), F.col("__b.block").alias("__block")]
         return starts.select("*", *place).drop("__b").join(ranges.select("*", *place).drop("__b"), on)
     pairs = met(b, "r", a, "l", F.col("__l_s")).unionByName(met(a, "l", b, "r", F.col("__r_s") + 1))
+    if usual is not None:
+        columns_of = [*keys, "__l", "__l_s", "__l_e", "__r", "__r_s", "__r_e"]
+        pairs = usual.select(*columns_of).unionByName(pairs.select(*columns_of))
     date = lambda c: F.date_from_unix_date((c - _EPOCH).cast("int"))
     names = lambda df: [c for c in df.columns if c not in (*keys, start, end)]
     return pairs.select(*keys, *[F.col(f"__l.`{c}`").alias(c) for c in names(left)], *[F.col(f"__r.`{c}`").alias(c) for c in names(right)],

@@ -160,8 +160,8 @@ def two_loads(o: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _opening(text: Column) -> Column:
-    """The first two words of a text, in capital letters A-Z."""
-    return F.trim(F.regexp_replace(F.upper(F.substring_index(text, " ", 2)), "[^A-Z ]", ""))
+    """The letters A-Z of the first two words of a text, as capitals."""
+    return F.upper(F.trim(F.regexp_replace(F.substring_index(text, " ", 2), "[^A-Za-z ]", "")))
 
 
 @sq._query
@@ -240,7 +240,7 @@ FROM orders GROUP BY year(o_orderdate)"""
   WHERE {late} AND (o_orderpriority IN ('1-URGENT', '5-LOW') OR (o_orderstatus = 'P' AND o_totalprice <> 0)))
 SELECT r.*, m.year IS NOT NULL AS recomputed FROM (SELECT d.nation_name{body}) r
 LEFT JOIN moved m ON m.nation_code = r.nation_code AND m.year = r.year"""
-    opening = "trim(regexp_replace(upper(array_to_string(string_split(text, ' ')[1:2], ' ')), '[^A-Z ]', '', 'g'))"
+    opening = "upper(trim(regexp_replace(array_to_string(string_split(text, ' ')[1:2], ' '), '[^A-Za-z ]', '', 'g')))"
     ql["q32_name_suggestions"] = f"""
 WITH official AS (SELECT {opening} AS name, CAST(min(doc_id) AS VARCHAR) AS code FROM documents WHERE text IS NOT NULL GROUP BY 1),
 names AS (
