@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import checkpointed, stored
+
+__all__ = ["checkpointed", "join_small", "running_total", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,19 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def stored(df: DataFrame, what: str = "table") -> DataFrame:
-    """Cut the lineage with a Parquet table in the shared folder; its readers read only the columns they use."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def join_small(large: DataFrame, small: DataFrame, on: Sequence[str], how: str, rows: int = 500_000) -> DataFrame:
     """Join with a stored table of narrow rows: broadcast if it has at most ``rows`` of them, else both sides shuffle."""
     return large.join(F.broadcast(small) if small.count() <= rows else small, list(on), how)
