@@ -101,7 +101,7 @@ class _Pieces(dict):
         if not body.isalpha() or (body is not piece and piece[-1] not in ".,;:!?()|"):
             return None
         if self.drops_space:
-            if max(body) >= _LATIN_END:
+            if not body.isascii() and max(body) >= _LATIN_END:
                 return None
             ids = self.words[body.lower()]
         else:
@@ -109,13 +109,15 @@ class _Pieces(dict):
         return ids if body is piece else ids + self.words[piece[-1]]
 
     def __missing__(self, piece: str) -> bytes:
-        if not self.drops_space and (not piece or piece[0].isspace() or piece[-1].isspace()):
-            raise _Odd
-        chunk = self.lead + piece
-        if len(chunk) > LONGEST:
-            return self.whole(chunk)
-        found = self.simple(piece)
+        found = None
+        if len(piece) < LONGEST:
+            found = self.simple(piece)
         if found is None:
+            if not self.drops_space and (not piece or piece[0].isspace() or piece[-1].isspace()):
+                raise _Odd
+            chunk = self.lead + piece
+            if len(chunk) > LONGEST:
+                return self.whole(chunk)
             parts = self.cut(chunk)
             found = self.whole(chunk) if parts is None else b"".join(map(self.words.__getitem__, parts))
         if len(self) >= KEPT:
