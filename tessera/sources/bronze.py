@@ -42,12 +42,14 @@ def land_text(df: DataFrame, source_resource: str | Column, with_timestamp: bool
 
 
 def read_text_csv(spark: SparkSession, paths: str | Sequence[str], blank_as_null: bool = True,
-                  file_name: bool = False) -> DataFrame:
+                  file_name: bool = False, quoted_breaks: bool = True) -> DataFrame:
     """Header CSV, every column a string, no type inference.
 
     Quotes inside quoted fields are doubled, and quoted fields may hold line
-    breaks; such a file cannot be split, so one file is read by one task and
-    extracts should come as files of bounded size. Files with different headers
+    breaks; such a file cannot be split, so one file is read by one task. With
+    ``quoted_breaks=False`` the source declares that a line is a row: files are
+    split and read by many tasks, whatever their size (a quoted break would
+    then end its row). Files with different headers
     (or column orders) are read each with its own and aligned by name; a column
     that a file lacks is NULL. A UTF-8 BOM is dropped, short rows are
     NULL-padded, extra fields dropped. Empty fields are NULL, or ``''`` with
@@ -58,12 +60,12 @@ def read_text_csv(spark: SparkSession, paths: str | Sequence[str], blank_as_null
     files = [r[0] for r in spark.read.format("binaryFile").load(wanted).select("path").collect()]   # names only
     by_header: dict[tuple[str, ...], list[str]] = {}
     for path in sorted(files):
-        by_header.setdefault(tuple(_csv(spark, path).columns), []).append(path)
+        by_header.setdefault(tuple(_csv(spark, path, quoted_breaks).columns), []).append(path)
     if not by_header:
         raise FileNotFoundError(f"no CSV file at {wanted}")
     parts = []
     for group in by_header.values():
-        df = _csv(spark, group)
+        df = _csv(spark, group, quoted_breaks)
         empty = (lambda c: F.nullif(c, F.lit(""))) if blank_as_null else (lambda c: F.coalesce(c, F.lit("")))
         columns = [empty(F.col(f"`{c}`")).alias(c) for c in df.columns]
         parts.append(df.select(*columns, F.col("_metadata.file_name").alias(FILE_NAME)) if file_name else df.select(*columns))
@@ -71,14 +73,14 @@ def read_text_csv(spark: SparkSession, paths: str | Sequence[str], blank_as_null
     return out if blank_as_null else out.fillna("")
 
 
-def _csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def _csv(spark: SparkSession, paths: str | Sequence[str], quoted_breaks: bool) -> DataFrame:
     return (spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8")
-            .option("quote", '"').option("escape", '"').option("multiLine", True)
+            .option("quote", '"').option("escape", '"').option("multiLine", quoted_breaks)
             .option("mode", "PERMISSIVE").csv(paths))
 
 
 def read_extract(spark: SparkSession, folder: str, suffix_by_entity: Mapping[str, str],
-                 blank_as_null: bool = True) -> dict[str, DataFrame]:
+                 blank_as_null: bool = True, quoted_breaks: bool = True) -> dict[str, DataFrame]:
     """Route the CSV files of one extract folder to entities by name suffix.
 
     Files matching no suffix are ignored. Every entity must resolve to at
@@ -89,7 +91,8 @@ def read_extract(spark: SparkSession, folder: str, suffix_by_entity: Mapping[str
     missing: list[str] = []
     for entity, suffix in suffix_by_entity.items():
         try:
-            df = read_text_csv(spark, f"{folder.rstrip('/')}/*{suffix}", blank_as_null, file_name=True)
+            df = read_text_csv(spark, f"{folder.rstrip('/')}/*{suffix}", blank_as_null, file_name=True,
+                               quoted_breaks=quoted_breaks)
             frames[entity] = df.withColumnRenamed(FILE_NAME, SOURCE_RESOURCE)
         except FileNotFoundError:
             missing.append(entity)

@@ -147,3 +147,22 @@ def test_code_lists_in_text_whatever_the_documents_hold(spark):
         (4, None, None, None, "no list"), (5, None, None, None, "not json"), (6, None, None, None, "not json"),
         (7, 0, None, "none", "no code"), (7, 1, None, None, "no code"), (7, 2, None, None, "no code"), (7, 3, None, None, "no code"),
         (8, None, None, None, "no list"), (9, None, None, None, "not json")], key=str)
+
+
+def test_large_file_without_quoted_breaks_is_split(spark, tmp_path):
+    lines = ["id,name,note"] + [f'{i},"n ""{i}"", x",{"" if i % 3 else "t"}' for i in range(20000)]
+    (tmp_path / "big.csv").write_text("﻿" + "\n".join(lines) + "\n", encoding="utf-8")
+    (tmp_path / "other.csv").write_text("name,id\nb,-1\n")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in old:
+            spark.conf.set(k, "65536")
+        whole = bronze.read_text_csv(spark, f"{tmp_path}/*.csv")
+        split = bronze.read_text_csv(spark, f"{tmp_path}/*.csv", quoted_breaks=False)
+        assert split.rdd.getNumPartitions() > whole.rdd.getNumPartitions()
+        assert split.count() == 20001
+        assert sorted(map(str, split.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
+        assert split.filter("id = '7'").first().asDict() == {"id": "7", "name": 'n "7", x', "note": None}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
