@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import checkpointed, stored
 
-__all__ = ["checkpointed", "join_small", "running_total", "stored", "table"]
+__all__ = ["checkpointed", "free_name", "join_small", "running_total", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def join_small(large: DataFrame, small: DataFrame, on: Sequence[str], how: str, rows: int = 500_000) -> DataFrame:
     """Join with a stored table of narrow rows: broadcast if it has at most ``rows`` of them, else both sides shuffle."""
     return large.join(F.broadcast(small) if small.count() <= rows else small, list(on), how)

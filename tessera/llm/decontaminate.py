@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import free_name
+
 ERROR_RATE = 0.06           # edits per character of an item
 EXACT_BELOW = 50            # characters; shorter items have to occur unchanged
 PIECES_AT_ONCE = 100_000    # pieces of one pass over the documents
@@ -199,6 +201,7 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 def remove(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item; all columns stay.  ``id_col`` is not looked at."""
-    hits = _of_texts(docs, benchmark, text_col, **options).select(F.col("doc_id").alias("_hit")).distinct()
-    kept = docs.withColumn("_text", _address(F.col(text_col).cast("string"))).join(hits, F.col("_text") == F.col("_hit"), "left_anti")
+    name = free_name(docs, "_text")
+    hits = _of_texts(docs, benchmark, text_col, **options).select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.withColumn(name, _address(F.col(text_col).cast("string"))).join(hits, name, "left_anti")
     return kept.select(*docs.columns)

@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import free_name
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -164,17 +166,18 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
     ``n_chars``, where there is such a column, follows the new text.
     """
     new = scan(blobs_of(docs, text_col))
-    hits = findings(new).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
+    blob, found = free_name(docs, "_blob"), free_name(docs, "_spans")
+    hits = findings(new).select(F.col("blob").alias(blob), F.col("spans").alias(found))
     text = F.col(text_col)
 
     def step(done: Column, s: Column) -> Column:
         gap = F.when(s["start"] >= done["at"], F.concat(done["out"], F.substring(text, done["at"] + 1, s["start"] - done["at"]), F.lit(mark)))
         return F.struct(F.greatest(done["at"], s["end"]).alias("at"), gap.otherwise(done["out"]).alias("out"))
-    clean = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
+    clean = F.aggregate(found, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                         lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.length(text))))
-    joined = docs.withColumn("_b", content(text)).join(hits, F.col("_b") == F.col("_blob"), "left")
-    joined = joined.withColumn(text_col, F.when(F.col("_spans").isNotNull(), clean).otherwise(text))
+    joined = docs.withColumn(blob, content(text)).join(hits, blob, "left")
+    joined = joined.withColumn(text_col, F.when(F.col(found).isNotNull(), clean).otherwise(text))
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length(text_col).cast(docs.schema["n_chars"].dataType))
+        joined = joined.withColumn("n_chars", F.when(F.col(found).isNotNull(), F.length(text_col).cast(docs.schema["n_chars"].dataType))
                                    .otherwise(F.col("n_chars")))
     return joined.select(*docs.columns)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed
+from tessera.llm.common import checkpointed, free_name
 from tessera.llm.graph import components
 
 SEED = 42                   # seed of XXH64
@@ -208,5 +208,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     prints = checkpointed(fingerprints(docs, id_col, text_col, shingle, [row]))
     first = F.min_by("_row", F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row")))
     stay = prints.join(_grouped(prints, radius, TILE).select("fp", "root"), "fp").groupBy("root").agg(first.alias("_stay"))
-    kept = docs.withColumn("_row", row).join(stay.select("_stay"), F.col("_row") == F.col("_stay"), "left_semi")
-    return kept.dropDuplicates(["_row"]).select(*docs.columns)
+    name = free_name(docs, "_row")
+    kept = docs.withColumn(name, row).join(stay.select(F.col("_stay").alias(name)), name, "left_semi")
+    return kept.dropDuplicates([name]).select(*docs.columns)

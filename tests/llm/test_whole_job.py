@@ -144,3 +144,23 @@ def test_isolated_vectors_beside_tight_clusters_find_their_neighbours(spark):
     assert sorted(got) == list(range(0, len(x), 5)) and all(sorted(n for n, _ in g) == list(range(1, 21)) for g in got.values())
     few = ann.search(df.where("vec_id < 8"), every=1).collect()
     assert len(few) == 8 * 7 and all(abs(r["score"] - float(x[r["query_id"]] @ x[r["vec_id"]])) < 1e-12 for r in few)
+
+
+def test_stages_leave_columns_named_like_their_own_alone(spark):
+    from tessera.llm import decontaminate, secret_ledger, simhash
+    item = "What is the boiling point of water at the level of the sea in degrees?"
+    texts = ["alpha beta gamma delta epsilon zeta eta", "alpha beta gamma delta epsilon zeta eta", f"so: {item} indeed",
+             "password = hunter2secret and the rest", None]
+    own = ["_row", "_ROW_", "_text", "_hit", "_b", "_blob", "_spans", "_stay", "blob", "spans", "fp", "root"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, *[f"{c}{i}" for c in own]) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in own))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+
+    def extras(df):
+        assert df.columns == docs.columns
+        return {r["doc_id"]: tuple(r[c] for c in own) for r in df.collect()}
+    given = extras(docs)
+    assert extras(simhash.keep_one(docs)) == {i: x for i, x in given.items() if i != 1}
+    assert extras(decontaminate.remove(docs, bench)) == {i: x for i, x in given.items() if i != 2}
+    clean = secret_ledger.redact(docs)
+    assert extras(clean) == given and "hunter2secret" not in clean.where("doc_id = 3").first()["text"]
