@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators import intervals, rejects, report, scd2, suggest
+from tessera.operators import intervals, profile, rejects, report, scd2, suggest
 from tessera.plans import oracle_sql as base
 from tessera.plans import star_queries as sq
 from tessera.session import ensure_checkpoint_dir, stored
-from tessera.sources import bronze, refresh
+from tessera.sources import bronze, colocated, refresh
 
 # Fixed values of the test scenario (parameters, not data subsets).
 KNOWN_STATUS = ("F", "O")
@@ -176,7 +176,56 @@ def q32_name_suggestions(spark, sf_dir):
     return suggest.suggest_names(names, official, "name", "official", "code")
 
 
+@sq._query
+def q33_colocated_lines(spark, sf_dir):
+    """Settled orders and all line items stored in the same buckets: lines by the state of their order and by return
+    flag, and the lines without a settled order, both without an exchange of rows (C4, C12, I12, J3)."""
+    o = sq._t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus").filter(F.col("o_orderstatus") != "P")
+    li = sq._t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", sq._money("l_quantity").alias("quantity"))
+    name = f"lines_{uuid.uuid4().hex}"
+    pair = colocated.store_pair(o, li, "o_orderkey", "l_orderkey", name, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}",
+                                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sums = [F.count(F.lit(1)).alias("lines"), F.sum("quantity").cast("double").alias("quantity")]
+    found = colocated.joined(spark, pair).groupBy("o_orderstatus", "l_returnflag").agg(*sums)
+    lost = colocated.orphan_rows(spark, pair).groupBy("l_returnflag").agg(*sums)
+    out = found.select("o_orderstatus", "l_returnflag", "lines", "quantity").unionByName(
+        lost.select(F.lit("none").alias("o_orderstatus"), "l_returnflag", "lines", "quantity"))
+    return out.withColumnsRenamed({"o_orderstatus": "order_status", "l_returnflag": "return_flag"})
+
+
+DISTINCT_ERROR, RANK_ERROR = 0.05, 0.03             # six standard errors of the sketches, and twice the quantiles' bound
+
+
+@sq._query
+def q34_learned_bounds(spark, sf_dir):
+    """Profiles of the yearly loads of the orders, each held against the merged ones before it; the sketched numbers are
+    compared with exact ones (D9, J7, J8)."""
+    o = sq._t(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), "o_totalprice", F.col("o_custkey"))
+    columns = ["o_totalprice", "o_custkey"]
+    judged = stored(profile.judged(stored(profile.profiles(o, "year", columns), "profiles")), "judged")
+    cells = o.select("year", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
+                                                 for c in columns])).alias("c")).select("year", "c.*")
+    values = cells.groupBy("column_name", "value", "year").agg(F.count(F.lit(1)).alias("n"))
+    medians = judged.select(F.col("load").alias("year"), "column_name", "median")
+    exact = values.join(medians, ["year", "column_name"]).groupBy("year", "column_name").agg(
+        F.count("value").alias("distinct_values"), F.sum(F.when(F.col("value") <= F.col("median"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("value") < F.col("median"), F.col("n")).otherwise(0)).alias("under"), F.sum("n").alias("all"))
+    first = values.groupBy("column_name", "value").agg(F.min("year").alias("year")).groupBy("column_name", "year").agg(F.count("value").alias("fresh"))
+    before = Window.partitionBy("column_name").orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+    exact = exact.join(first, ["year", "column_name"], "left").withColumn("e_distinct_values", F.sum(F.coalesce("fresh", F.lit(0))).over(before))
+    near = lambda a, b: F.abs(a - b) <= b * DISTINCT_ERROR
+    j = judged.alias("j").join(exact.alias("x"), (F.col("j.load") == F.col("x.year")) & (F.col("j.column_name") == F.col("x.column_name")))
+    return j.select(
+        F.col("j.load").alias("year"), "j.column_name", "j.rows", "j.nulls", "j.low", "j.high", "j.e_low", "j.e_high",
+        F.array_join("j.faults", ",").alias("faults"), F.col("x.distinct_values"), F.col("x.e_distinct_values"),
+        near(F.col("j.distinct_values"), F.col("x.distinct_values")).alias("distinct_near"),
+        near(F.col("j.e_distinct_values"), F.col("x.e_distinct_values")).alias("e_distinct_near"),
+        ((F.col("x.under") <= F.col("x.all") * (0.5 + RANK_ERROR)) & (F.col("x.below") >= F.col("x.all") * (0.5 - RANK_ERROR))).alias("median_near"))
+
+
 QUERIES = {
+    "q34_learned_bounds": q34_learned_bounds,
+    "q33_colocated_lines": q33_colocated_lines,
     "q32_name_suggestions": q32_name_suggestions,
     "q31_incremental_report": q31_incremental_report,
     "q26_rejects": q26_rejects,
@@ -255,6 +304,34 @@ SELECT n.name AS source_name, a.suggestion, a.code, a.edits, b.edits AS next_edi
        a.edits IS NOT NULL AND (b.edits IS NULL OR a.edits < b.edits) AS clear
 FROM names n LEFT JOIN ranked a ON a.source_name = n.name AND a.place = 1
 LEFT JOIN ranked b ON b.source_name = n.name AND b.place = 2"""
+    ql["q33_colocated_lines"] = """
+SELECT CASE WHEN o.o_orderkey IS NULL THEN 'none' ELSE o.o_orderstatus END AS order_status, l_returnflag AS return_flag,
+       count(*) AS lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantity
+FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') o ON l_orderkey = o.o_orderkey
+WHERE l_orderkey IS NOT NULL GROUP BY 1, 2"""
+    ql["q34_learned_bounds"] = f"""
+WITH cells AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, 'o_totalprice' AS column_name, CAST(o_totalprice AS DOUBLE) AS value FROM orders
+  UNION ALL SELECT CAST(year(o_orderdate) AS INTEGER), 'o_custkey', CAST(o_custkey AS DOUBLE) FROM orders),
+loads AS (
+  SELECT year, column_name, count(*) AS rows, count(*) FILTER (WHERE value IS NULL) AS nulls, min(value) AS low, max(value) AS high,
+         count(DISTINCT value) AS distinct_values FROM cells GROUP BY ALL),
+fresh AS (
+  SELECT year, column_name, count(*) AS n FROM (SELECT column_name, value, min(year) AS year FROM cells WHERE value IS NOT NULL GROUP BY ALL)
+  GROUP BY ALL),
+seen AS (
+  SELECT l.*, sum(coalesce(n, 0)) OVER w AS e_distinct_values, min(low) OVER w AS e_low, max(high) OVER w AS e_high, min(rows) OVER w AS least,
+         max(rows) OVER w AS most, max(nulls / rows) OVER w AS null_share
+  FROM loads l LEFT JOIN fresh f ON f.year = l.year AND f.column_name = l.column_name
+  WINDOW w AS (PARTITION BY l.column_name ORDER BY l.year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT year, column_name, rows, nulls, low, high, e_low, e_high,
+       concat_ws(',', CASE WHEN low < e_low - (e_high - e_low) * {profile.MARGIN} THEN 'low' END,
+                      CASE WHEN high > e_high + (e_high - e_low) * {profile.MARGIN} THEN 'high' END,
+                      CASE WHEN nulls / rows > null_share + {profile.NULL_MARGIN} THEN 'nulls' END,
+                      CASE WHEN rows * {profile.ROWS_FACTOR} < least OR rows > most * {profile.ROWS_FACTOR} THEN 'rows' END) AS faults,
+       distinct_values, CAST(e_distinct_values AS BIGINT) AS e_distinct_values, true AS distinct_near,
+       CASE WHEN least IS NOT NULL THEN true END AS e_distinct_near, true AS median_near
+FROM seen"""
     k = "json_extract_string(props, '$.k')"
     ql["q30_code_lists"] = f"""
 SELECT event_id, CAST(0 AS INTEGER) AS position, {k} AS code, 'user ' || user_id AS name, CAST(NULL AS VARCHAR) AS fault
