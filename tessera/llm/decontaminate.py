@@ -2,17 +2,20 @@
 
 A benchmark item occurs in a document if some stretch of the document is at
 most ``errors`` edits away from the item, both normalised (lower case, letters
-and digits only, single blanks).  An item cut into ``errors + 1`` pieces has at
-least one piece that such a stretch holds unchanged: all pieces are searched at
-once (Aho-Corasick), and each hit is verified on the stretch around it with
-Myers' bit-parallel edit distance.  No occurrence is missed.
+and digits only, single blanks) and with a blank at either end, so that "cat"
+is not found in "concatenation".  The number of edits is the same share of
+every item's length: items of under 17 characters have to occur unchanged.  An
+item cut into ``errors + 1`` pieces has at least one piece that such a stretch
+holds unchanged: all pieces are searched at once (Aho-Corasick), and each hit
+is verified on the stretch around it with Myers' bit-parallel edit distance.
+No occurrence is missed.
 """
 
 from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -22,7 +25,6 @@ from pyspark.sql import functions as F
 from tessera.llm.common import free_name
 
 ERROR_RATE = 0.06           # edits per character of an item
-EXACT_BELOW = 50            # characters; shorter items have to occur unchanged
 PIECES_AT_ONCE = 100_000    # pieces of one pass over the documents
 
 _GAPS = re.compile(r"[\W_]+")
@@ -33,7 +35,8 @@ def normalise(text: str) -> str:
 
 
 def budget(item: str, rate: float = ERROR_RATE) -> int:
-    return int(len(item) * rate) if len(item) >= EXACT_BELOW else 0
+    """Edits that an occurrence of the normalised ``item`` may have."""
+    return int(len(item) * rate)
 
 
 def cut(item: str, errors: int) -> list[tuple[int, str]]:
@@ -45,11 +48,27 @@ def cut(item: str, errors: int) -> list[tuple[int, str]]:
 
 def distance(item: str, stretch: str, masks: dict[str, int] | None = None) -> tuple[int, int]:
     """Least edit distance of ``item`` to any part of ``stretch``, and where the first such part ends (Myers 1999)."""
+    best, best_end = len(item), 0
+    for at, score in enumerate(_scores(item, stretch, masks if masks is not None else pattern_masks(item), 0), 1):
+        if score < best:
+            best, best_end = score, at
+    return best, best_end
+
+
+def length_before(item: str, stretch: str, errors: int) -> int:
+    """Characters of the shortest end of ``stretch`` that is ``errors`` edits away from ``item``."""
+    backwards = item[::-1]
+    scores = _scores(backwards, reversed(stretch), pattern_masks(backwards), 1)
+    return 0 if errors == len(item) else next(n for n, score in enumerate(scores, 1) if score == errors)
+
+
+def _scores(item: str, stretch: Iterable[str], masks: dict[str, int], carried: int) -> Iterator[int]:
+    """Edit distances of ``item`` to the parts of ``stretch`` that end after each character and begin anywhere
+    (``carried`` 0) or at its first one (1)."""
     m = len(item)
-    masks = masks if masks is not None else pattern_masks(item)
     full, top = (1 << m) - 1, 1 << (m - 1)
-    plus, minus, score, best, best_end = full, 0, m, m, 0
-    for at, c in enumerate(stretch):
+    plus, minus, score = full, 0, m
+    for c in stretch:
         eq = masks.get(c, 0)
         xv = eq | minus
         xh = (((eq & plus) + plus) ^ plus) | eq
@@ -59,11 +78,9 @@ def distance(item: str, stretch: str, masks: dict[str, int] | None = None) -> tu
             score += 1
         elif mh & top:
             score -= 1
-        ph, mh = (ph << 1) & full, (mh << 1) & full       # a match may begin anywhere: nothing is carried in
+        ph, mh = (ph << 1 | carried) & full, (mh << 1) & full
         plus, minus = mh | ~(xv | ph) & full, ph & xv
-        if score < best:
-            best, best_end = score, at + 1
-    return best, best_end
+        yield score
 
 
 def pattern_masks(item: str) -> dict[str, int]:
@@ -77,11 +94,12 @@ class Matcher:
     """All pieces of a set of normalised items."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float = ERROR_RATE):
-        self.items = items
+        self.ids = [i for i, _ in items]
+        self.items = [f" {t} " for _, t in items]
         self.errors = [budget(t, rate) for _, t in items]
-        self.masks = [pattern_masks(t) for _, t in items]
+        self.masks = [pattern_masks(t) if e else {} for t, e in zip(self.items, self.errors)]
         places: dict[str, list[tuple[int, int]]] = {}
-        for i, (_, t) in enumerate(items):
+        for i, t in enumerate(self.items):
             for offset, piece in cut(t, self.errors[i]):
                 places.setdefault(piece, []).append((i, offset))
         self.automaton = ahocorasick.Automaton()
@@ -91,34 +109,36 @@ class Matcher:
             self.automaton.make_automaton()
 
     def search(self, text: str) -> Iterator[tuple[int, int, int, int]]:
-        """``(item index, start, end, distance)``: the best stretch of each item that occurs in normalised ``text``."""
-        spans: dict[int, list[list[int]]] = {}       # item -> stretches to verify, merged where they overlap
+        """``(item id, start, end, distance)``: the best stretch (of the nearest, the first to end) of each item that
+        occurs in normalised ``text``."""
         if not self.items:
             return
-        for last, (length, where) in self.automaton.iter(text):
+        given = f" {text} "
+        spans: dict[int, list[list[int]]] = {}       # item -> stretches to verify, merged where they overlap
+        whole: dict[int, int] = {}                   # item that has to occur unchanged -> end of its first place
+        for last, (length, where) in self.automaton.iter(given):
             for i, offset in where:
-                begin = last + 1 - length - offset - self.errors[i]
-                end = begin + len(self.items[i][1]) + 2 * self.errors[i]
+                if not self.errors[i]:
+                    whole.setdefault(i, last + 1)
+                    continue
+                begin = max(0, last + 1 - length - offset - self.errors[i])
+                end = last + 1 - length - offset + len(self.items[i]) + self.errors[i]
                 known = spans.setdefault(i, [])
-                if known and begin <= known[-1][1] and begin >= known[-1][0]:
+                if known and known[-1][0] <= begin <= known[-1][1]:
                     known[-1][1] = max(known[-1][1], end)
                 else:
                     known.append([begin, end])
+        found = {i: (0, end) for i, end in whole.items()}
         for i, known in spans.items():
-            item, errors = self.items[i][1], self.errors[i]
-            best = None
             for begin, end in known:
-                begin = max(begin, 0)
-                if not errors:
-                    at = text.find(item, begin, end)
-                    found = (0, at + len(item)) if at >= 0 else (1, 0)
-                else:
-                    d, stop = distance(item, text[begin:end], self.masks[i])
-                    found = (d, begin + stop)
-                if found[0] <= errors and (best is None or found < best):
-                    best = found
-            if best:
-                yield i, max(0, best[1] - len(item)), best[1], best[0]
+                errors, stop = distance(self.items[i], given[begin:end], self.masks[i])
+                if errors <= self.errors[i]:
+                    found[i] = min(found.get(i, (errors, begin + stop)), (errors, begin + stop))
+        for i, (errors, end) in found.items():
+            item = self.items[i]
+            start = end - length_before(item, given[max(0, end - len(item) - errors):end], errors)
+            blanks = given[start] == " ", given[end - 1] == " "
+            yield self.ids[i], start + blanks[0] - 1, end - blanks[1] - 1, errors
 
 
 def _passes(benchmark: DataFrame, item_col: str, text_col: str, rate: float, pieces: int) -> Iterator[list[tuple[int, str]]]:
@@ -142,6 +162,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
             item_text_col: str = "text", rate: float = ERROR_RATE, pieces: int = PIECES_AT_ONCE) -> DataFrame:
     """``doc_id, item_id, start, end, distance`` (offsets in the normalised text): items that occur in documents.
 
+    The shortest of the nearest stretches that end first is given for each
+    document and item.
+
     Items with null id or text, and items without a letter or digit, never
     match; repeated items match once; null and empty documents match nothing.
     The items go to the tasks in blocks of bounded size, one pass over the
@@ -166,7 +189,7 @@ def _matches(rows: DataFrame, id_kind: pa.DataType, benchmark: DataFrame, item_c
                 out = []
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     if text:
-                        out += [(doc_id, matcher.items[i][0], a, b, d) for i, a, b, d in matcher.search(normalise(text))]
+                        out += [(doc_id, *hit) for hit in matcher.search(normalise(text))]
                 columns = list(zip(*out)) or [[]] * 5
                 kinds = (id_kind, pa.int64(), pa.int32(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],

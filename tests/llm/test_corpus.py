@@ -301,6 +301,49 @@ def test_myers_and_pigeonhole(spark, none):
     assert decontaminate.report(df, bench.limit(0)).where("contaminated").count() == 0
 
 
+def _end_distance(item, text):
+    """Edit distances of ``item`` to the whole of ``text``."""
+    row = list(range(len(text) + 1))
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (a != b)))
+        row = new
+    return row[-1]
+
+
+def test_items_of_every_length_have_one_rule(spark):
+    rnd = random.Random(12)
+    assert [decontaminate.budget("x" * n) for n in (1, 16, 17, 33, 34, 49, 50, 100)] == [0, 0, 1, 1, 2, 2, 3, 6]
+    words = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 7))) for _ in range(400)]
+    items = ["cat", "The capital of France is Paris", "a"]
+    for n in range(1, 61):
+        items.append((" ".join(rnd.choice(words) for _ in range(40)))[:n].strip() or "b")
+    items = [decontaminate.normalise(t) for t in items]
+    matcher = decontaminate.Matcher(list(enumerate(items)))
+
+    def spoil(t, n):
+        for _ in range(n):
+            p = rnd.randrange(len(t))
+            t = t[:p] + rnd.choice(["", "q", t[p] + "z"]) + t[p + 1:]
+        return t
+    texts = ["a concatenation of things", "The capitalx of France is Paris.", "the capital of france is bparisb", "", "cat", "dog, CAT!"]
+    texts += [f"{rnd.choice(['', 'so ', 'q'])}{spoil(t, n)}{rnd.choice(['', ' it', 'q'])}" for t in items for n in (0, 1, 3)]
+    for text in map(decontaminate.normalise, texts):
+        got = {i: (a, b, d) for i, a, b, d in matcher.search(text)}
+        for i, item in enumerate(items):
+            least = _edit_distance_in(f" {item} ", f" {text} ")
+            assert (i in got) == (least <= decontaminate.budget(item)), (item, text)
+            if i in got:
+                a, b, d = got[i]
+                assert d == least and 0 <= a <= b <= len(text)
+                padded = f" {text} "            # the stretch with or without the blanks around it is that near
+                assert any(_end_distance(f" {item} ", padded[s:e]) == d for s in (a, a + 1) for e in (b + 1, b + 2)), (item, text, a, b)
+    bench = spark.createDataFrame(list(enumerate(items[:3])), "item_id long, text string")
+    df = spark.createDataFrame(list(enumerate(texts[:6])), "doc_id long, text string")
+    assert {r["doc_id"]: r["item_ids"] for r in decontaminate.report(df, bench).collect()} == {0: [2], 1: [1], 2: [], 3: [], 4: [0], 5: [0]}
+
+
 ODD = ["", " ", "  a  b", "a \n b", "\n\nx ", " lead", "tail ", "a b c", "x\t y  z\n", "It's  'll", "ÀÉ é ́x", "<|endoftext|> hi",
        "日本語 テスト 12", "a\x1cb c", "ΑΣ ΣΑΣ.", "İ ŉ ﬁ ² x² Ⅷ", "a.\nB c.\n\nd", "ß.É,Ý", "word " * 300, "x" * 500]
 
