@@ -8,7 +8,9 @@ batches by two matrix products: presence against landmarks, then weights.
 
 The regression values of the languages add up to 1, so the winner's is never
 low: whether a text is in a learned language at all is judged by the share of
-its n-grams that the winning language's landmarks have.
+its 3-grams, repeats included, that the learning sample of some language has.
+That share does not fall with the length of a text as one of distinct 3-grams
+would: few of a long text's rare 3-grams are known, but they stay few.
 
 n-grams are taken of lower-case letters; every run of other characters is one
 gap.  Letters beyond the ``LETTERS`` most frequent ones of the learning sample
@@ -33,7 +35,7 @@ PER_LANGUAGE = 160          # learning sample: documents of each language
 LANDMARKS = 32              # of these, landmarks of each language
 LONG_TEXT = 20_000          # characters; longer texts are learned from only if a language has too few others
 RIDGE = 1e-3
-MIN_SHARE = 0.45            # share of a text's 3-grams that its language has; below: none of the learned languages
+MIN_SHARE = 0.54            # share of a text's 3-grams that some language has; below: none of the learned languages
 SLACK = 0.9                 # with few landmarks: of the share that 95% of the sample's texts reach without themselves
 BATCH = 256                 # texts of one matrix product
 PIECE = 1 << 20             # characters of a text that are looked at a time
@@ -45,9 +47,13 @@ def _offsets() -> list[int]:
 
 
 class Grams:
-    """Distinct n-grams of texts, with one table that is never cleared between texts."""
+    """Distinct n-grams of texts, with one table that is never cleared between texts.
 
-    def __init__(self, letters: str):
+    With ``watched`` n-grams, ``self.heard`` is how often the last text has each of
+    them, by length (row 0: n-grams of one character; column 0: any other n-gram).
+    """
+
+    def __init__(self, letters: str, watched: np.ndarray | None = None):
         points = np.arange(0x110000)
         is_letter = np.array([chr(p).isalpha() for p in range(0x110000)])
         self.code = np.where(is_letter, LETTERS + 1, 0).astype(np.int32)
@@ -57,12 +63,19 @@ class Grams:
         self.seen = np.full(self.offsets[-1], -1, dtype=np.int64)
         self.clock = 0
         self.counts = np.zeros(SPECTRUM)
+        self.slots, self.heard = None, None
+        if watched is not None:
+            self.slots = np.zeros(self.offsets[-1], np.int32)
+            self.slots[watched] = np.arange(1, len(watched) + 1)
+            self.heard = np.zeros((SPECTRUM, len(watched) + 1), np.int64)
 
     def of(self, text: str) -> tuple[int, bool]:
         """Number of distinct n-grams (``self.counts``: of each length), and whether there is a letter; marks them as seen
         since ``self.begun``."""
         self.begun, any_letter, tail = self.clock, False, np.zeros(1, np.int32)
         self.counts = np.zeros(SPECTRUM)
+        if self.heard is not None:
+            self.heard[:] = 0
         for at in range(0, len(text), PIECE):
             codes = self.code[np.frombuffer(text[at:at + PIECE].lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
             any_letter = any_letter or bool(codes.any())
@@ -78,6 +91,8 @@ class Grams:
             if n:
                 gram = (gram[:-1] << BITS) | codes[n:]
             places = gram + self.offsets[n]
+            if self.heard is not None:
+                self.heard[n] += np.bincount(self.slots[places], minlength=self.heard.shape[1])
             places = places[self.seen[places] < self.begun]
             stamps = np.arange(self.clock, self.clock + len(places))
             self.seen[places] = stamps
@@ -101,9 +116,14 @@ class Model:
     sizes: np.ndarray           # distinct n-grams of each landmark
     weights: np.ndarray         # kernel values -> score per language
     bias: np.ndarray
-    owned: np.ndarray           # which n-grams the landmarks of each language have (languages x vocabulary)
-    lengths: np.ndarray         # n of each n-gram of the vocabulary
-    least: float                # share of its n-grams that a text in a learned language has at least
+
+
+@dataclass
+class Known:
+    """What the learning sample knows of each language."""
+    grams: np.ndarray           # n-grams of all texts of the sample
+    owned: np.ndarray           # which of them each language has (languages x grams)
+    least: float                # share of its 3-grams that a text in a learned language has at least
 
 
 def kernel(presence: np.ndarray, counts: np.ndarray, landmarks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -135,7 +155,7 @@ def fit(texts: list[str], labels: list[str], per_language: int = LANDMARKS) -> M
     for k, s in enumerate(sets):
         landmarks[np.searchsorted(vocabulary, s), k] = 1
     sizes = landmarks.sum(axis=0).astype(np.float64)
-    rows, counts, of_length = _presence(grams, texts, vocabulary)
+    rows, counts = _presence(grams, texts, vocabulary)
     k_nm = kernel(rows, counts, landmarks, sizes)
     k_mm = k_nm[chosen]
     values, vectors = np.linalg.eigh((k_mm + k_mm.T) / 2)
@@ -146,28 +166,48 @@ def fit(texts: list[str], labels: list[str], per_language: int = LANDMARKS) -> M
     mean_x, bias = features.mean(axis=0), target.mean(axis=0)
     centred = features - mean_x
     inner = np.linalg.solve(centred.T @ centred + RIDGE * len(texts) * np.eye(centred.shape[1]), centred.T @ (target - bias))
-    lengths = np.searchsorted(grams.offsets, vocabulary, side="right")
-    number = np.stack([landmarks[:, [labels[i] == lang for i in chosen]].sum(axis=1) for lang in languages])
-    own = dict(zip(chosen, landmarks.T))
-    others = [number[languages.index(lab)] - own.get(i, 0) > 0 for i, lab in enumerate(labels)]    # a text does not vouch for itself
-    shares = [_share(row, other, n, lengths) for row, other, n in zip(rows, others, of_length)]
-    least = min(MIN_SHARE, SLACK * float(np.quantile(shares, 0.05)))
-    return Model(languages, letters, vocabulary, landmarks, sizes, root @ inner, bias - mean_x @ inner, number > 0, lengths, least)
+    return Model(languages, letters, vocabulary, landmarks, sizes, root @ inner, bias - mean_x @ inner)
 
 
-def _presence(grams: Grams, texts: list[str], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _presence(grams: Grams, texts: list[str], vocabulary: np.ndarray, heard: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     rows, counts = np.zeros((len(texts), len(vocabulary)), np.float32), np.zeros(len(texts))
-    of_length = np.zeros((len(texts), SPECTRUM))
     for i, t in enumerate(texts):
         counts[i], _ = grams.of(t)
-        rows[i], of_length[i] = grams.have(vocabulary), grams.counts
-    return rows, counts, of_length
+        rows[i] = grams.have(vocabulary)
+        if heard is not None:
+            heard.append(_longest(grams))
+    return rows, counts
 
 
-def _share(row: np.ndarray, owned: np.ndarray, of_length: np.ndarray, lengths: np.ndarray) -> float:
-    """Share of a text's longest n-grams (3-grams unless it is too short) that a language has."""
-    n = int(np.flatnonzero(of_length)[-1]) + 1 if of_length.any() else 1
-    return float(((row > 0) & owned & (lengths == n)).sum() / max(1, of_length[n - 1]))
+def _longest(grams: Grams) -> np.ndarray:
+    """How often the last text has each watched n-gram of the longest length it has (3 unless it is too short)."""
+    return grams.heard[int(np.flatnonzero(grams.counts)[-1]) if grams.counts.any() else 0].copy()
+
+
+def _share(heard: np.ndarray, owned: np.ndarray) -> float:
+    """The largest share of the n-grams heard that a language (a row of ``owned``) has."""
+    return float(max(heard[1:][one].sum() for one in owned) / max(1, heard.sum()))
+
+
+def know(model: Model, texts: list[str], labels: list[str]) -> Known:
+    """The n-grams of each language in the whole learning sample, and the least share that its texts have of those of
+    the other texts: ``MIN_SHARE``, or less where the sample is too small to know most n-grams of its own texts."""
+    plain, sets = Grams(model.letters), []
+    for t in texts:
+        plain.of(t)
+        sets.append(plain.marked())
+    grams = np.unique(np.concatenate(sets))
+    number = np.zeros((len(model.languages), len(grams)), np.int32)      # texts that have an n-gram
+    rows = [model.languages.index(lang) for lang in labels]
+    for k, s in zip(rows, sets):
+        number[k, np.searchsorted(grams, s)] += 1
+    counting, shares = Grams(model.letters, grams), []
+    for k, s, t in zip(rows, sets, texts):
+        counting.of(t)
+        others = number[k].copy()
+        others[np.searchsorted(grams, s)] -= 1                           # a text does not vouch for itself
+        shares.append(_share(_longest(counting), others[None] > 0))
+    return Known(grams, number > 0, min(MIN_SHARE, SLACK * float(np.quantile(shares, 0.05))))
 
 
 def learning_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -183,12 +223,14 @@ def learning_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return [(r["t"], r["l"]) for r in sorted(rows, key=lambda r: (r["_n"], r["l"]))]
 
 
-def _judge(m, grams: Grams | None, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(language, score, share of its n-grams that the language has)`` of each text, in one matrix product."""
+def _judge(m, grams: Grams | None, texts: list[str | None], owned: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(language, score, share of its 3-grams that some language has)`` of each text, in one matrix product; the share
+    is 0 without ``owned``, the languages' n-grams of those that ``grams`` watches."""
     langs, scores, shares = np.array([UNKNOWN] * len(texts), dtype=object), np.zeros(len(texts)), np.zeros(len(texts))
     if m is None or not len(texts):
         return langs, scores, shares
-    rows, counts, of_length = _presence(grams, [t or "" for t in texts], m.vocabulary)
+    heard = None if owned is None else []
+    rows, counts = _presence(grams, [t or "" for t in texts], m.vocabulary, heard)
     letters = np.array([any(map(str.isalpha, t or "")) for t in texts])
     values = kernel(rows, counts, m.landmarks, m.sizes) @ m.weights + m.bias
     best = np.round(values, 9).argmax(axis=1)
@@ -196,8 +238,8 @@ def _judge(m, grams: Grams | None, texts: list[str | None]) -> tuple[np.ndarray,
     top = np.clip(values[np.arange(len(texts)), best], 0, 1)
     shared = (rows[:, m.vocabulary != 0]).any(axis=1)                    # the gap alone says nothing
     scores = np.where(letters & shared, np.round(top, 6), 0.0)
-    for i in np.flatnonzero(letters):
-        shares[i] = _share(rows[i], m.owned[best[i]], of_length[i], m.lengths)
+    if owned is not None:
+        shares = np.array([_share(h, owned) if has else 0.0 for h, has in zip(heard, letters)])
     return langs, scores, shares
 
 
@@ -244,26 +286,29 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_known(docs: DataFrame, min_share: float | None = None) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learned language: the language found has ``min_share`` of its n-grams.
+    """The rows of ``docs`` whose text is in a learned language: some language has ``min_share`` of its 3-grams.
 
     ``min_share`` is ``MIN_SHARE``, or less where the learning sample is too
-    small to know most n-grams of its own texts.  Nothing is dropped where
-    nothing could be learned (no labelled row) except texts without a letter.
-    A row is judged by its text alone, whatever its doc_id.
+    small (see ``know``).  Null and empty texts and texts without a letter are
+    dropped; nothing else is where nothing could be learned (no labelled row).
+    A text of any length is judged as a whole.  A row is judged by its text
+    alone: null and repeated ids do not matter, repeated rows all stay or go.
+    Of languages close to a learned one (Italian, Dutch) most texts stay.
     """
     sample = learning_sample(docs.where(~held_out()))
     model = fit([t for t, _ in sample], [lab for _, lab in sample]) if sample else None
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
-    place, least = docs.columns.index("text"), model.least if min_share is None else min_share
+    known = know(model, [t for t, _ in sample], [lab for _, lab in sample])
+    shared = docs.sparkSession.sparkContext.broadcast((vars(model), known.grams, known.owned))
+    place, least = docs.columns.index("text"), known.least if min_share is None else min_share
 
     def run(batches):
-        m = SimpleNamespace(**shared.value)
-        grams = Grams(m.letters)
+        values, watched, owned = shared.value
+        m, grams = SimpleNamespace(**values), Grams(values["letters"], watched)
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 part = batch.slice(at, BATCH)
-                langs, _, shares = _judge(m, grams, part.column(place).to_pylist())
+                langs, _, shares = _judge(m, grams, part.column(place).to_pylist(), owned)
                 yield part.filter(pa.array((langs != UNKNOWN) & (shares >= least), pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

@@ -39,6 +39,47 @@ def test_unlearned_languages_go_and_all_others_stay(spark):
     assert len(kept) - 2 == given.count()
 
 
+PROSE = {
+    "en": "The quick growth of cities during the nineteenth century changed how people lived, worked and travelled. Railways carried "
+          "goods and passengers further than ever before, while factories drew families away from farms. Public health suffered "
+          "until engineers built sewers and clean water supplies.",
+    "es": "Todos los seres humanos nacen libres e iguales en dignidad y derechos y, dotados como están de razón y conciencia, deben "
+          "comportarse fraternalmente los unos con los otros.",
+    "de": "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt und sollen "
+          "einander im Geist der Brüderlichkeit begegnen.",
+    "fr": "Tous les êtres humains naissent libres et égaux en dignité et en droits. Ils sont doués de raison et de conscience et "
+          "doivent agir les uns envers les autres dans un esprit de fraternité.",
+}
+
+
+def test_long_texts_and_prose_stay(spark):
+    given = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")      # enough for a whole learning sample
+    by = {lang: " ".join(r["text"] for r in given.where((F.col("lang") == lang) & F.col("text").isNotNull()).collect()) for lang in PROSE}
+    long = {lang: (t * (1 + 10_000_000 // len(t)))[:10_000_000] for lang, t in by.items()}
+    rows = [(None, t) for t in [*PROSE.values(), *long.values(), *by.values(), long["en"], None, "", "  ", (ALIEN["pl"] + " ") * 3000]]
+    more = given.limit(0).unionByName(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), allowMissingColumns=True)
+    kept = [r["text"] for r in langid.keep_known(given.unionByName(more)).where("doc_id is null").collect()]
+    assert sorted(map(hash, kept)) == sorted(map(hash, [*PROSE.values(), *long.values(), *by.values(), long["en"]]))
+
+
+def test_shares_equal_counting_by_hand(monkeypatch):
+    monkeypatch.setattr(langid, "PIECE", 7)
+    texts, labels = ["abc abd, abc", "bcd bcd abd", "xyz xyy", "zzy xyz"], ["a", "a", "x", "x"]
+    model = langid.fit(texts, labels)
+    known = langid.know(model, texts, labels)
+
+    def grams(t, n):
+        codes = "_" + "".join(c if c.isalpha() else "_" for c in t)
+        while "__" in codes:
+            codes = codes.replace("__", "_")
+        return [codes[i:i + n] for i in range(len(codes) - n + 1)]
+    for t in ["abc xyz abc", "abd bcd qqq abc abd", "xyz", "bc xyz zzy zz", "zzyzzyzzy.", "a", "xy"]:
+        _, _, (share,) = langid._judge(model, langid.Grams(model.letters, known.grams), [t], known.owned)
+        n = min(3, len(grams(t, 1)))
+        has = [{g for s, lab in zip(texts, labels) if lab == lang for g in grams(s, n)} for lang in "ax"]
+        assert abs(share - max(sum(g in h for g in grams(t, n)) for h in has) / len(grams(t, n))) < 1e-12, t
+
+
 def test_a_small_learning_sample_lowers_the_share(spark):
     few = spark.read.parquet(f"{SF}/documents.parquet").where(F.col("lang") == "en").orderBy("doc_id").limit(6)
     assert langid.keep_known(few).count() == 6
