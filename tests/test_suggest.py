@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import suggest
 
@@ -48,3 +49,28 @@ def test_no_cross_join_and_empty_tables(spark):
     assert suggest.suggest_names(names.limit(0), names, "n", "n", "c").count() == 0
     alone = suggest.suggest_names(names, names.limit(0), "n", "n", "c").collect()
     assert {(r.source_name, r.suggestion, r.clear) for r in alone} == {("UNLEY", None, False), ("BURNSIDE", None, False)}
+
+
+def test_long_names_and_names_beside_them(spark):
+    rng = random.Random(9)
+    official = [("".join(rng.choice("ABCD ") for _ in range(n)), f"c{n}") for n in [*range(27, 40)] * 2]
+    mine = []
+    for name, _ in official * 2:
+        name = list(name)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randint(0, len(name))
+            name[at:at + rng.randint(0, 1)] = rng.choice(["", "A", "X"])
+        mine.append("".join(name))
+    got = suggest.suggest_names(spark.createDataFrame([(m,) for m in mine], "n string"), spark.createDataFrame(official, "o string, c string"),
+                                "n", "o", "c")
+    assert set(map(tuple, got.collect())) == brute(mine, official, 2)
+
+
+def test_meetings_grow_with_the_names_and_not_with_their_square(spark):
+    def meetings(n):
+        rng = random.Random(5)
+        words = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(6)) for _ in range(n)]
+        names = spark.createDataFrame([(f"{a} {b}",) for a in words for b in words], "name string")
+        rank = names.select(F.explode(suggest._grams(F.col("name"))).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+        return suggest._keys(names, rank, 2).groupBy("key").count().selectExpr("sum(count * count)").first()[0] / n ** 2
+    assert meetings(40) < 1.5 * meetings(10)
