@@ -16,10 +16,12 @@ import struct
 import sys
 import types
 from collections.abc import Callable
+from itertools import islice
 
 from tokenizers import Tokenizer
 
-KEPT = 1 << 19              # chunks, and words, whose ids are kept in a worker (about 100 MB each when full)
+KEPT = 1 << 20              # chunks whose ids are kept in a worker (about 150 MB when full), and words of other chunks, a quarter as many
+FIRST = 1 << 17             # of these, the first ones stay when there is no room: most frequent words come early
 LONGEST = 48                # characters of a chunk that is worth keeping
 
 _BLANK = re.compile(r"(?<=\S)(?= \S)")     # a single blank between two characters that are no white space
@@ -40,8 +42,17 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in own} | {b: 256 + i for i, b in enumerate(rest)}
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(LONGEST * 4)]
+
+
 def _ids(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _make_room(cache: dict, first: int) -> None:
+    kept = list(islice(cache.items(), first))
+    cache.clear()
+    cache.update(kept)
 
 
 class _Words(dict):
@@ -53,16 +64,20 @@ class _Words(dict):
         self.blank = chr(self.letters[32])
 
     def __missing__(self, word: str) -> bytes:
+        found = self.ids(word)
+        if len(self) >= KEPT // 4:
+            _make_room(self, FIRST // 4)
+        self[word] = found
+        return found
+
+    def ids(self, word: str) -> bytes:
+        """The ids of a word, which is not kept here."""
         body = word[1:] if word[0] == " " else word
         if body.isascii() and body.isalpha():           # letters stand for themselves
             written = word if body is word else self.blank + body
         else:
             written = word.encode().decode("latin-1").translate(self.letters)
-        found = _ids([t.id for t in self.model.tokenize(written)])
-        if len(self) >= KEPT:
-            self.clear()
-        self[word] = found
-        return found
+        return _ids([t.id for t in self.model.tokenize(written)])
 
 
 class _Odd(Exception):
@@ -103,9 +118,14 @@ class _Pieces(dict):
         if self.drops_space:
             if not body.isascii() and max(body) >= _LATIN_END:
                 return None
-            ids = self.words[body.lower()]
+            if body is not piece or body != body.lower():
+                ids = self[body.lower()]
+            else:
+                return self.words.ids(body)
+        elif body is piece:
+            return self.words.ids(self.lead + body)
         else:
-            ids = self.words[self.lead + body]
+            ids = self[body]
         return ids if body is piece else ids + self.words[piece[-1]]
 
     def __missing__(self, piece: str) -> bytes:
@@ -121,7 +141,7 @@ class _Pieces(dict):
             parts = self.cut(chunk)
             found = self.whole(chunk) if parts is None else b"".join(map(self.words.__getitem__, parts))
         if len(self) >= KEPT:
-            self.clear()
+            _make_room(self, FIRST)
         self[piece] = found
         return found
 
