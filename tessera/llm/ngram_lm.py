@@ -5,11 +5,18 @@
 text scores ``c(w) / N``.  A text's score is the sum of the logarithms.
 
 Order 3 has two words of context, ``S(w3 | w1 w2) = c(w1 w2 w3) / c(w1 w2)``,
-and keeps all counts.  As they cover the scored texts, every n-gram of a text
-is in its table and nothing backs off; the scores of a text's first two words,
-``c(w1) / N`` and ``c(w1 w2) / c(w1)``, make ``c(w1 w2) / N`` together.  So a
-"pair" below is a context of two words, known by a 64-bit hash, and the word
-after it, and the pair (context, ``OPEN``) asks for the context's own count.
+else ``BACKOFF * S(w3 | w2)``, and keeps all counts.  The scores of a text's
+first two words, ``c(w1) / N`` and ``c(w1 w2) / c(w1)``, make ``c(w1 w2) / N``
+together.  So a "pair" below is a context of two words, known by a 64-bit hash,
+and the word after it, and the pair (context, ``OPEN``) asks for the context's
+own count.
+
+By counts that cover a text itself all its n-grams are in the tables of order 3.
+Documents that are held out are scored a second time, by the counts of all
+others: their n-grams back off from three words to two and to one, by
+``BACKOFF`` each, and a word that no other document has scores ``BACKOFF / N``.
+Their n-grams travel with the others; what backs off goes on to the bucket of
+the shorter n-gram.
 
 Counts cover all documents.  Documents are exploded to n-grams block by block:
 each task turns some thousands of documents into one row per hash bucket that
@@ -28,13 +35,14 @@ from __future__ import annotations
 
 import pickle
 import tempfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import checkpointed
@@ -49,9 +57,13 @@ KEPT_WORDS = 1 << 17        # words whose hashes are kept in a task
 HELD_BYTES = 64 << 20      # of a bucket's rows that a task holds in memory
 PENDING_BYTES = 64 << 20    # sums that a task holds before it passes them on
 # ``docs`` (ids, whether known, words) comes with one row of a block; ``doc`` counts within the block.
-PAIRS = "bucket int, block string, n_docs int, docs binary, w1 binary, w2 binary, n binary, refs binary, doc binary, times binary"
-NEEDS = "bucket int, block string, n_docs int, docs binary, w binary, refs binary, doc binary, times binary, sums binary"
-SUMS = "block string, n_docs int, docs binary, sums binary"
+# From ``n_main`` on, documents of a block are held out; ``mid``: the middle words of their pairs, ``also``: their second words.
+PAIRS = ("bucket int, block string, n_docs int, n_main int, docs binary, w1 binary, w2 binary, n binary, refs binary, doc binary, "
+         "times binary, mid binary, also binary")
+NEEDS = ("bucket int, kind int, block string, held boolean, n_docs int, docs binary, w binary, mid binary, last binary, refs binary, "
+         "doc binary, times binary, sums binary")
+SUMS = "block string, held boolean, n_docs int, docs binary, sums binary"
+CONTEXTS, SHORTER, WORDS, TOTALS = 1, 2, 3, 4       # kinds of needs: counts of contexts, n-grams of two words, words, sums
 
 
 class _Hashes(dict):
@@ -70,20 +82,22 @@ def words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def _blocks(batches) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """``(doc_ids, word hashes of each document)`` in blocks of about ``BLOCK_WORDS`` words."""
-    hashes, ids, docs, n = _Hashes(), [], [], 0
+def _blocks(batches) -> Iterator[tuple[list, list[np.ndarray], int]]:
+    """``(doc_ids, word hashes of each document, number of documents not held out)`` in blocks of about ``BLOCK_WORDS`` words;
+    held-out documents come last."""
+    hashes, ids, docs, n = _Hashes(), ([], []), ([], []), 0
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        for doc_id, text, held in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist()):
             found = words(text)
-            ids.append(doc_id)
-            docs.append(np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found)))
+            ids[held].append(doc_id)
+            docs[held].append(np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found)))
             n += len(found)
             if n >= BLOCK_WORDS:
-                yield ids, docs
-                ids, docs, n = [], [], 0
-    if ids:
-        yield ids, docs
+                yield ids[0] + ids[1], docs[0] + docs[1], len(ids[0])
+                ids, docs, n = ([], []), ([], []), 0
+    if ids[0] or ids[1]:
+        yield ids[0] + ids[1], docs[0] + docs[1], len(ids[0])
 
 
 def _bucket(w: np.ndarray, n: int) -> np.ndarray:
@@ -132,78 +146,115 @@ def _unpack48(b: bytes) -> np.ndarray:
     return wide.view(np.uint64).ravel()
 
 
+def _flat(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def _counts(every: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
+    """``w, c, t``: how often each value comes, and how often without those of held-out documents."""
+    w, c = np.unique(every, return_counts=True)
+    t = c.copy()
+    h, n = np.unique(held, return_counts=True)
+    t[np.searchsorted(w, h)] -= n
+    return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c), pa.array(t)], names=["w", "c", "t"])
+
+
 def _doc_kind(n_docs: int) -> type:
     return np.uint16 if n_docs <= 1 << 16 else np.uint32
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "long": pa.int64(), "double": pa.float64()}
+    kinds = {"int": pa.int32(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "long": pa.int64(), "double": pa.float64()}
     fields = [f.split() for f in schema.split(", ")]
     columns = list(zip(*rows)) or [[]] * len(fields)
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
 class _Sums:
-    """Sums per document of several blocks, passed on when they take too much room."""
+    """Sums per document of several blocks (of the held-out ones apart), passed on when they take too much room."""
 
     def __init__(self):
-        self.of: dict[str, np.ndarray] = {}
-        self.docs: dict[str, bytes] = {}
+        self.of: dict[tuple[str, bool], np.ndarray] = {}
+        self.docs: dict[tuple[str, bool], bytes] = {}
         self.bytes = 0
 
-    def add(self, block: str, values: np.ndarray, docs: bytes = b"") -> None:
-        if block in self.of:
-            self.of[block] += values
+    def add(self, block: str, held: bool, values: np.ndarray, docs: bytes = b"") -> None:
+        key = block, held
+        if key in self.of:
+            self.of[key] += values
         else:
-            self.of[block] = np.array(values, dtype=np.float64)
+            self.of[key] = np.array(values, dtype=np.float64)
             self.bytes += 8 * len(values)
         if docs:
-            self.docs[block] = docs
+            self.docs[key] = docs
 
-    def take(self) -> Iterator[tuple[str, np.ndarray, bytes]]:
-        for block, values in self.of.items():
-            yield block, values, self.docs.get(block, b"")
+    def take(self) -> Iterator[tuple[str, bool, np.ndarray, bytes]]:
+        for (block, held), values in self.of.items():
+            yield block, held, values, self.docs.get((block, held), b"")
         self.of, self.docs, self.bytes = {}, {}, 0
 
+    def needs(self, buckets: int) -> Iterator[pa.RecordBatch]:
+        """The sums as rows that all tasks send to one bucket for a block."""
+        for block, held, values, docs in self.take():
+            yield _batch([(zlib.crc32(block.encode()) % buckets, TOTALS, block, held, len(values), docs, b"", b"", b"", b"", b"", b"",
+                           _pack(values))], NEEDS)
+
+
+def _by_bucket(kind: int, block: str, held: bool, n_docs: int, bucket: np.ndarray, doc: np.ndarray, times: np.ndarray,
+               w: np.ndarray, mid: np.ndarray | None = None, last: np.ndarray | None = None) -> pa.RecordBatch:
+    """Needs of a block, one row per bucket; words go as six bytes, contexts (with ``mid`` and ``last``) as eight."""
+    order, out = np.argsort(bucket, kind="stable"), []
+    bucket = bucket[order]
+    for b in np.unique(bucket).tolist():
+        e = order[slice(*np.searchsorted(bucket, [b, b + 1]))]
+        short = [_pack48(x[e]) if x is not None else b"" for x in (mid, last)]
+        out.append((b, kind, block, held, n_docs, b"", _pack48(w[e]) if mid is None else _pack(w[e]), *short,
+                    _pack(np.ones(len(e), np.uint32)), _pack(doc[e].astype(_doc_kind(n_docs))), _pack(times[e].astype(np.int32)), b""))
+    return _batch(out, NEEDS)
+
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``w, c``: occurrences of every word hash, combined per block before the shuffle."""
+    """``w, c, t``: occurrences of every word hash, and those not in held-out documents, combined per block before the shuffle."""
     def run(batches):
-        for _, parts in _blocks(batches):
-            w, c = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
-            for at in range(0, len(w), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(w[at:at + (1 << 16)].view(np.int64)), pa.array(c[at:at + (1 << 16)])], names=["w", "c"])
-    return docs.mapInArrow(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+        for _, parts, n_main in _blocks(batches):
+            found = _counts(_flat(parts), _flat(parts[n_main:]))
+            for at in range(0, found.num_rows, 1 << 16):
+                yield found.slice(at, 1 << 16)
+    return docs.mapInArrow(run, "w long, c long, t long").groupBy("w").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
 
 
 def context_counts(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """``w, c``: occurrences of the contexts of two words that are both in ``hot``."""
+    """``w, c, t``: occurrences of the contexts of two words that are both in ``hot``, and those not in held-out documents."""
     def run(batches):
-        for _, parts in _blocks(batches):
+        for _, parts, n_main in _blocks(batches):
             flat = np.concatenate(parts)
             known = hot[np.minimum(np.searchsorted(hot, flat), len(hot) - 1)] == flat
             ends = np.cumsum([len(p) for p in parts])
             both = known & np.r_[known[1:], np.zeros(min(1, len(flat)), bool)]
             both[ends[ends > 0] - 1] = False                     # the last word of a document
             both = np.flatnonzero(both)
-            w, c = np.unique(_contexts(flat[both], flat[both + 1]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c)], names=["w", "c"])
-    return docs.mapInArrow(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+            contexts = _contexts(flat[both], flat[both + 1])
+            yield _counts(contexts, contexts[both >= (ends[n_main - 1] if n_main else 0)])
+    return docs.mapInArrow(run, "w long, c long, t long").groupBy("w").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
 
 
-def _pairs(parts: list[np.ndarray], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``w1, w2, doc`` of all pairs of order 2."""
+def _pairs(parts: list[np.ndarray], lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``w1, w2, doc, mid, also`` of all pairs of order 2, where nothing is in the middle."""
     none = np.zeros(1, np.uint64)
     edged = [np.concatenate([none, p, none]) for p in parts if len(p)]
     flat = np.concatenate(edged) if edged else none
     w1, w2 = flat[:-1], flat[1:]
     inside = (w1 != 0) | (w2 != 0)                       # not the seam between two documents
-    return w1[inside], w2[inside], np.repeat(np.arange(len(parts), dtype=np.uint32), np.where(lengths > 0, lengths + 1, 0))
+    w1, w2 = w1[inside], w2[inside]
+    return w1, w2, np.repeat(np.arange(len(parts), dtype=np.uint32), np.where(lengths > 0, lengths + 1, 0)), w1, w1
 
 
-def _triples(parts: list[np.ndarray], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``w1, w2, doc`` of order 3, ``w1`` a context; a text of one word has the pair (0, word) only."""
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+def _triples(parts: list[np.ndarray], lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``w1, w2, doc, mid, also`` of order 3, ``w1`` a context; a text of one word has the pair (0, word) only.
+
+    ``mid`` is the second word of the context; where ``w2`` is ``OPEN``, ``mid`` and ``also`` are its first and second one.
+    """
+    flat = _flat(parts)
     doc = np.repeat(np.arange(len(parts), dtype=np.uint32), lengths)
     place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     after = np.r_[flat[1:], np.zeros(min(1, len(flat)), np.uint64)]
@@ -213,7 +264,9 @@ def _triples(parts: list[np.ndarray], lengths: np.ndarray) -> tuple[np.ndarray,
     opens, single = place[second] == 1, lengths[doc] == 1
     return (np.concatenate([context, context[opens], np.zeros(single.sum(), np.uint64)]),
             np.concatenate([after[second], np.full(opens.sum(), OPEN, np.uint64), flat[single]]),
-            np.concatenate([doc[second], doc[second][opens], doc[single]]))
+            np.concatenate([doc[second], doc[second][opens], doc[single]]),
+            np.concatenate([flat[second], flat[second - 1][opens], flat[single]]),
+            np.concatenate([flat[second], flat[second][opens], flat[single]]))
 
 
 def pair_blocks(docs: DataFrame, hot: np.ndarray, buckets: int, order: int = 2) -> DataFrame:
@@ -227,9 +280,9 @@ def pair_blocks(docs: DataFrame, hot: np.ndarray, buckets: int, order: int = 2)
 
     def run(batches):
         part = TaskContext.get().partitionId()
-        for seq, (ids, parts) in enumerate(_blocks(batches)):
+        for seq, (ids, parts, n_main) in enumerate(_blocks(batches)):
             n_docs, lengths = len(ids), np.array([len(p) for p in parts], np.int64)
-            w1, w2, doc = pairs_of(parts, lengths)
+            w1, w2, doc, mid, also = pairs_of(parts, lengths)
             bucket = _pair_bucket(w1, w2, spread, buckets)
             by = np.lexsort((doc, w2, w1, bucket))
             bucket, w1, w2, doc = bucket[by], w1[by], w2[by], doc[by]
@@ -240,39 +293,57 @@ def pair_blocks(docs: DataFrame, hot: np.ndarray, buckets: int, order: int = 2)
             refs = _sizes(pair, len(doc)).astype(np.uint32)
             n = np.add.reduceat(times, pair).astype(np.uint32) if len(pair) else np.zeros(0, np.uint32)
             w1, w2, bucket = w1[pair], w2[pair], bucket[pair]
+            edges, rows = np.r_[0, np.cumsum(refs)], []
+            held = doc[edges[1:] - 1] >= n_main                  # a pair's documents ascend: some of them is held out
+            first = by[ref[pair]]
+            mid, also = mid[first], also[first]
             told = (_pack(np.array([-1 if i is None else i for i in ids], np.int64))
-                    + _pack(np.array([i is not None for i in ids], np.uint8)) + _pack(lengths))
-            name, edges, rows = f"{part}-{seq}", np.r_[0, np.cumsum(refs)], []
+                    + _pack(np.array([i is not None for i in ids], np.uint8)) + _pack(lengths) + _pack(np.array([n_main])))
+            name = f"{part}-{seq}"
             for b in np.unique(bucket).tolist() or [0]:
                 lo, hi = np.searchsorted(bucket, [b, b + 1])
                 e = slice(edges[lo], edges[hi])
-                rows.append((b, name, n_docs, b"" if rows else told, _pack(w1[lo:hi]), _pack48(w2[lo:hi]), _pack(n[lo:hi]),
-                             _pack(refs[lo:hi]), _pack(doc[e]), _pack(times[e])))
+                more = held[lo:hi] & (order == 3)
+                rows.append((b, name, n_docs, n_main, b"" if rows else told, _pack(w1[lo:hi]), _pack48(w2[lo:hi]), _pack(n[lo:hi]),
+                             _pack(refs[lo:hi]), _pack(doc[e]), _pack(times[e]), _pack48(mid[lo:hi][more]),
+                             _pack48(also[lo:hi][more & (w2[lo:hi] == OPEN)])))
             for at in range(0, len(rows), 64):
                 yield _batch(rows[at:at + 64], PAIRS)
     return docs.mapInArrow(run, PAIRS)
 
 
-def _merge(tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    w1, w2, n = (np.concatenate(x) for x in zip(*tables))
+def _merge(tables: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    w1, w2, n, t = (np.concatenate(x) for x in zip(*tables))
     order = np.lexsort((w2, w1))
-    w1, w2, n = w1[order], w2[order], n[order]
+    w1, w2, n, t = w1[order], w2[order], n[order], t[order]
     starts = _runs(w1, w2)
-    return w1[starts], w2[starts], np.add.reduceat(n, starts) if len(starts) else n
+    return w1[starts], w2[starts], *(np.add.reduceat(x, starts) if len(starts) else x for x in (n, t))
+
 
+def _context_sums(first: np.ndarray, n: np.ndarray, opens: np.ndarray) -> np.ndarray:
+    return np.repeat(np.add.reduceat(np.where(opens, 0, n), first), _sizes(first, len(n))) if len(n) else n
 
-def count_table(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], hot: np.ndarray, hot_counts: np.ndarray,
-                least: int, total: int):
-    """``w1, w2, log(c(w1 w2) / c(w1))`` of a bucket's pairs that are seen ``least`` times; ``log(c(w1) / N)`` where w2 is ``OPEN``."""
-    w1, w2, n = _merge(parts)
+
+def count_table(parts: list[tuple[np.ndarray, ...]], hot: np.ndarray, hot_counts: np.ndarray, hot_others: np.ndarray,
+                least: int, total: int, others: int):
+    """``w1, w2, log(c(w1 w2) / c(w1))`` of a bucket's pairs that are seen ``least`` times; ``log(c(w1) / N)`` where w2 is ``OPEN``.
+
+    Then the same by the documents that are not held out (minus infinity: not seen ``least`` times there), and ``w1``
+    with its count in these, for each that they have.
+    """
+    w1, w2, n, t = _merge(parts)
     first, opens = _runs(w1), w2 == OPEN
-    context = np.repeat(np.add.reduceat(np.where(opens, 0, n), first), _sizes(first, len(n))) if len(n) else n
+    context, rest = _context_sums(first, n, opens), _context_sums(first, t, opens)
     if len(hot):
         at = np.minimum(np.searchsorted(hot, w1), len(hot) - 1)
-        context = np.where(hot[at] == w1, hot_counts[at], context)
+        context, rest = (np.where(hot[at] == w1, h, c) for h, c in ((hot_counts[at], context), (hot_others[at], rest)))
     keep = (n >= least) & (w1 != 0) & (w2 != 0)
     share = np.where(opens, context / max(total, 1), n / np.maximum(context, 1))
-    return w1[keep], w2[keep], np.log(share[keep])
+    known = np.where(opens, rest, t) >= least
+    share_others = np.where(known, np.where(opens, rest / max(others, 1), t / np.maximum(rest, 1)), 0)
+    with np.errstate(divide="ignore"):
+        seen = first[rest[first] > 0] if len(first) else first
+        return w1[keep], w2[keep], np.log(share[keep]), np.log(share_others[keep]), w1[seen], rest[seen]
 
 
 def _pair_places(t1: np.ndarray, t2: np.ndarray, w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
@@ -319,7 +390,8 @@ class _Held:
             self.file.close()
 
 
-def _pair_scores(buckets: int, hot: np.ndarray, hot_counts: np.ndarray, least: int, total: int):
+def _pair_scores(buckets: int, hot: np.ndarray, hot_counts: np.ndarray, hot_others: np.ndarray, least: int, total: int, others: int,
+                 order: int):
     """Buckets, sorted: the count table of a bucket is folded from its rows, then joined to them.
 
     Sums of the pairs that are in the table stay with their documents; the
@@ -337,18 +409,22 @@ def _pair_scores(buckets: int, hot: np.ndarray, hot_counts: np.ndarray, least: i
                     held.add(row)
         if held:
             yield from scored(held, sums)
-        yield from passed(sums)
+        yield from sums.needs(buckets)
 
     def scored(held, sums):
-        parts, n_held = [], 0
+        parts, n_held, asked = [], 0, []
         for row in held:
-            parts.append((np.frombuffer(row["w1"], np.uint64), _unpack48(row["w2"]),
-                          np.frombuffer(row["n"], np.uint32).astype(np.int64)))
+            n, refs = (np.frombuffer(row[k], np.uint32).astype(np.int64) for k in ("n", "refs"))
+            out = np.frombuffer(row["doc"], _doc_kind(row["n_docs"])) >= row["n_main"]
+            t = n
+            if out.any():
+                t = n - np.add.reduceat(np.frombuffer(row["times"], np.uint32).astype(np.int64) * out, np.cumsum(refs) - refs)
+            parts.append((np.frombuffer(row["w1"], np.uint64), _unpack48(row["w2"]), n, t))
             n_held += len(parts[-1][0])
             if n_held > 1 << 19 and len(parts) > 1:
                 parts = [_merge(parts)]
                 n_held = len(parts[0][0]) // 2
-        t1, t2, share = count_table(parts, hot, hot_counts, least, total)
+        t1, t2, share, share_others, contexts, context_n = count_table(parts, hot, hot_counts, hot_others, least, total, others)
         del parts
         for row in held:
             n_docs = row["n_docs"]
@@ -359,82 +435,166 @@ def _pair_scores(buckets: int, hot: np.ndarray, hot_counts: np.ndarray, least: i
             wanted = w2 != 0
             missing = np.where(wanted & (w1 != 0), np.log(BACKOFF), 0.0)
             value = np.where(at >= 0, share[at], missing) if len(share) else missing
-            sums.add(row["block"], np.bincount(doc, np.repeat(value, refs) * times, minlength=n_docs), row["docs"])
+            sums.add(row["block"], False, np.bincount(doc, np.repeat(value, refs) * times, minlength=n_docs), row["docs"])
+            if row["n_main"] < n_docs and (doc >= row["n_main"]).any():
+                yield from held_out(row, sums, w1, w2, refs, doc, times, at, share_others)
+                asked.append(np.unique(w1[np.repeat(np.arange(len(refs)), refs)[doc >= row["n_main"]]]))
             back = np.repeat(wanted & (at < 0), refs)
-            w, doc, times = np.repeat(w2, refs)[back], doc[back], times[back]
-            bucket = _bucket(w, buckets)
-            order = np.lexsort((doc, w, bucket))
-            w, doc, times, bucket = w[order], doc[order], times[order], bucket[order]
-            starts = _runs(bucket, w)
-            sizes, edges, out = _sizes(starts, len(w)).astype(np.uint32), np.r_[starts, len(w)], []
-            at_bucket = bucket[starts]
-            for b in np.unique(at_bucket).tolist():
-                lo, hi = np.searchsorted(at_bucket, [b, b + 1])
-                e = slice(edges[lo], edges[hi])
-                out.append((b, row["block"], n_docs, b"", _pack48(w[starts[lo:hi]]), _pack(sizes[lo:hi]), _pack(doc[e]), _pack(times[e]), b""))
-            yield _batch(out, NEEDS)
+            if back.any():
+                w = np.repeat(w2, refs)[back]
+                yield _by_bucket(WORDS, row["block"], False, n_docs, _bucket(w, buckets), doc[back], times[back], w)
             if sums.bytes > PENDING_BYTES:
-                yield from passed(sums)
+                yield from sums.needs(buckets)
+        if asked and order == 3:
+            mine = np.isin(contexts, np.unique(np.concatenate(asked)))
+            if mine.any():
+                w = contexts[mine]
+                bucket = _bucket(w, buckets)
+                for b in np.unique(bucket).tolist():
+                    here = bucket == b
+                    yield _batch([(b, CONTEXTS, "", True, 0, b"", _pack(w[here]), b"", b"", b"", b"", _pack(context_n[mine][here]), b"")], NEEDS)
         held.close()
 
-    def passed(sums):
-        for k, (block, values, docs) in enumerate(sums.take()):
-            yield _batch([(k % buckets, block, len(values), docs, b"", b"", b"", b"", _pack(values))], NEEDS)
+    def held_out(row, sums, w1, w2, refs, doc, times, at, share_others):
+        """The row's held-out documents by the counts of the others."""
+        block, n_main, n_docs = row["block"], row["n_main"], row["n_docs"] - row["n_main"]
+        entry = np.flatnonzero(doc >= n_main)
+        pair = np.repeat(np.arange(len(refs)), refs)[entry]
+        doc, times = doc[entry].astype(np.int64) - n_main, times[entry].astype(np.int64)
+        value = np.full(len(pair), -np.inf)
+        in_table = at[pair] >= 0
+        value[in_table] = share_others[at[pair][in_table]]
+        wanted, known = w2[pair] != 0, np.isfinite(value)
+        shorter = wanted & ~known & (w1[pair] != 0)                          # one word of context less
+        score = np.where(known, value, np.where(shorter, np.log(BACKOFF), 0.0))
+        sums.add(block, True, np.bincount(doc, score * times, minlength=n_docs))
+        missing = wanted & ~known
+        if order == 2:
+            parts = [(missing, w2[pair])]
+        else:
+            mid, also = np.zeros(len(refs), np.uint64), np.zeros(len(refs), np.uint64)
+            of_pairs = np.unique(pair)
+            mid[of_pairs] = _unpack48(row["mid"])
+            also[of_pairs[w2[of_pairs] == OPEN]] = _unpack48(row["also"])
+            opens = missing & (w2[pair] == OPEN)                             # the others lack the first two words together
+            parts = [(opens, mid[pair]), (opens, also[pair]), (missing & (w1[pair] == 0), w2[pair])]
+            on = np.flatnonzero(shorter & ~opens)
+            if len(on):
+                mid, last = mid[pair][on], w2[pair][on]
+                w = _contexts(mid, last)
+                yield _by_bucket(SHORTER, block, True, n_docs, _bucket(w, buckets), doc[on], times[on], w, mid, last)
+        for which, w in parts:
+            if which.any():
+                yield _by_bucket(WORDS, block, True, n_docs, _bucket(w[which], buckets), doc[which], times[which], w[which])
     return run
 
 
-def _word_scores(total: int):
+def _context_scores(buckets: int, hot: np.ndarray, hot_others: np.ndarray, others: int):
+    """Buckets, sorted, counts of contexts first: n-grams of two words that the others have score ``c(w1 w2) / N`` here and
+    ``N / c(w1)`` at the word ``w1``; the rest goes on to its last word."""
+    def run(batches):
+        sums, now, table, counts = _Sums(), None, [], []
+        for batch in batches:
+            for at in range(0, batch.num_rows, 16):
+                for row in batch.slice(at, 16).to_pylist():
+                    if row["bucket"] != now:
+                        now, table, counts = row["bucket"], [hot], [hot_others]
+                    if row["kind"] == CONTEXTS:
+                        table.append(np.frombuffer(row["w"], np.uint64))
+                        counts.append(np.frombuffer(row["times"], np.int64))
+                    elif row["kind"] == SHORTER:
+                        if len(table) > 1 or table[0] is hot:
+                            w, place = np.unique(np.concatenate(table), return_index=True)   # of a hot context the first, whole count
+                            table, counts = [w], [np.concatenate(counts)[place]]
+                        yield scored(row, table[0], counts[0], sums)
+                    elif row["kind"] == TOTALS:
+                        sums.add(row["block"], row["held"], np.frombuffer(row["sums"], np.float64), row["docs"])
+                    else:
+                        yield _batch([tuple(row[f.split()[0]] for f in NEEDS.split(", "))], NEEDS)
+                    if sums.bytes > PENDING_BYTES:
+                        yield from sums.needs(buckets)
+        yield from sums.needs(buckets)
+
+    def scored(row, table, counts, sums):
+        w, doc = np.frombuffer(row["w"], np.uint64), np.frombuffer(row["doc"], _doc_kind(row["n_docs"]))
+        times = np.frombuffer(row["times"], np.int32)
+        c = np.zeros(len(w), np.int64)
+        if len(table):
+            place = np.minimum(np.searchsorted(table, w), len(table) - 1)
+            c = np.where(table[place] == w, counts[place], 0)
+        value = np.log(np.where(c > 0, c / max(others, 1), BACKOFF))
+        sums.add(row["block"], True, np.bincount(doc, value * times, minlength=row["n_docs"]))
+        word = np.where(c > 0, _unpack48(row["mid"]), _unpack48(row["last"]))
+        return _by_bucket(WORDS, row["block"], True, row["n_docs"], _bucket(word, buckets), doc, np.where(c > 0, -times, times), word)
+    return run
+
+
+def _word_scores(total: int, others: int):
     """Buckets, sorted, word counts first: adds what the backed-off words score; one row of sums per block and task."""
     def run(batches):
-        sums, now, known, logs = _Sums(), None, None, None
+        sums, now, known, logs = _Sums(), None, None, {}
         for batch in batches:
-            rows = batch.drop_columns(["words", "counts"]).to_pylist()
-            for row, words_of, counts in zip(rows, batch.column("words"), batch.column("counts")):
-                if row["first"] == 0:
+            rows = batch.drop_columns(["words", "counts", "others"]).to_pylist()
+            for row, words_of, counts, rest in zip(rows, batch.column("words"), batch.column("counts"), batch.column("others")):
+                if row["kind"] == 0:
                     w = words_of.values.to_numpy(zero_copy_only=False).view(np.uint64)
                     order = np.argsort(w)
                     now, known = row["bucket"], w[order]
-                    logs = np.log(counts.values.to_numpy(zero_copy_only=False)[order] / total)
-                elif row["sums"]:
-                    sums.add(row["block"], np.frombuffer(row["sums"], np.float64), row["docs"])
+                    t = rest.values.to_numpy(zero_copy_only=False)[order]
+                    logs = {False: np.log(counts.values.to_numpy(zero_copy_only=False)[order] / total),
+                            True: np.log(np.where(t > 0, t, BACKOFF) / max(others, 1))}
+                elif row["kind"] == TOTALS:
+                    sums.add(row["block"], row["held"], np.frombuffer(row["sums"], np.float64), row["docs"])
                 else:
                     if row["bucket"] != now:
                         raise AssertionError("a word without a count")
                     w, refs = _unpack48(row["w"]), np.frombuffer(row["refs"], np.uint32)
-                    doc, times = np.frombuffer(row["doc"], _doc_kind(row["n_docs"])), np.frombuffer(row["times"], np.uint32)
-                    value = np.repeat(logs[np.searchsorted(known, w)], refs) * times
-                    sums.add(row["block"], np.bincount(doc, value, minlength=row["n_docs"]))
+                    doc, times = np.frombuffer(row["doc"], _doc_kind(row["n_docs"])), np.frombuffer(row["times"], np.int32)
+                    value = np.repeat(logs[row["held"]][np.searchsorted(known, w)], refs) * times
+                    sums.add(row["block"], row["held"], np.bincount(doc, value, minlength=row["n_docs"]))
                 if sums.bytes > PENDING_BYTES:
-                    yield _batch([(b, len(v), d, _pack(v)) for b, v, d in sums.take()], SUMS)
-        yield _batch([(b, len(v), d, _pack(v)) for b, v, d in sums.take()], SUMS)
+                    yield _batch([(b, h, len(v), d, _pack(v)) for b, h, v, d in sums.take()], SUMS)
+        yield _batch([(b, h, len(v), d, _pack(v)) for b, h, v, d in sums.take()], SUMS)
     return run
 
 
+SCORED = "doc_id long, n_words long, log_score double, held_out boolean, held_out_log_score double"
+
+
 def _per_document(batches):
     """Blocks, sorted, to one row per document."""
-    out = "doc_id long, n_words long, log_score double"
-    now, values, docs = None, None, b""
+    now, values, again, docs = None, None, None, b""
 
     def rows():
         n = len(values)
-        ids, known, lengths = np.frombuffer(docs[:8 * n], np.int64), docs[8 * n:9 * n], np.frombuffer(docs[9 * n:], np.int64)
-        return _batch([(i if k else None, w, v) for i, k, w, v in zip(ids.tolist(), known, lengths.tolist(), values.tolist())], out)
+        ids, known, lengths = np.frombuffer(docs[:8 * n], np.int64), docs[8 * n:9 * n], np.frombuffer(docs[9 * n:17 * n], np.int64)
+        n_main = int(np.frombuffer(docs[17 * n:], np.int64)[0])
+        more = [None] * n_main + (again.tolist() if again is not None else [0.0] * (n - n_main))
+        return _batch([(i if k else None, w, v, m is not None, m)
+                       for i, k, w, v, m in zip(ids.tolist(), known, lengths.tolist(), values.tolist(), more)], SCORED)
     for batch in batches:
         for row in batch.to_pylist():
             if row["block"] != now:
                 if now is not None:
                     yield rows()
-                now, values, docs = row["block"], np.zeros(row["n_docs"]), b""
-            values += np.frombuffer(row["sums"], np.float64)
+                now, values, again, docs = row["block"], None, None, b""
+            found = np.frombuffer(row["sums"], np.float64)
+            if row["held"]:
+                again = found if again is None else again + found
+            else:
+                values = found if values is None else values + found
             docs = row["docs"] or docs
     if now is not None:
         yield rows()
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES,
-          order: int = 2, least: int | None = None) -> DataFrame:
+          order: int = 2, least: int | None = None, held_out: Column | None = None) -> DataFrame:
     """``doc_id, n_words, log_score, mean_log_score`` for every row.
 
+    With ``held_out`` (a condition; null: no) also ``held_out`` and ``held_out_log_score``, the score of the rows that are
+    held out by the counts of all rows that are not; null for the others.
+
     ``order`` is 2 or 3; ``least`` is ``LEAST`` at order 2 and 1 (all counts) at order 3, where it can be nothing else.
     Null, empty and blank texts have no words: score 0 and a null mean.
     Repeated rows count, and are scored, as often as they come; a null doc_id
@@ -444,26 +604,34 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
     least = least if least is not None else LEAST if order == 2 else 1
     if order not in (2, 3) or least < 1 or order == 3 and least > 1:
         raise ValueError("order 2 with any least of 1 or more, or order 3 with least 1")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    out = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), out.alias("held"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-size * (order - 1) // bucket_bytes))     # pairs of order 3 repeat less, so tables are larger
     counts = checkpointed(word_counts(rows))
-    total = counts.agg(F.sum("c")).first()[0] or 0
+    total, others = (x or 0 for x in counts.agg(F.sum("c"), F.sum("t")).first())
 
-    def most(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        found = sorted((r["w"] & (1 << 64) - 1, r["c"]) for r in table.where(F.col("c") * HOT >= total).collect())
-        return np.array([w for w, _ in found], np.uint64), np.array([c for _, c in found], np.int64)
-    hot, hot_counts = most(counts)
+    def most(table: DataFrame) -> list[np.ndarray]:
+        found = sorted((r["w"] & (1 << 64) - 1, r["c"], r["t"]) for r in table.where(F.col("c") * HOT >= total).collect())
+        return [np.array([f[k] for f in found], kind) for k, kind in enumerate((np.uint64, np.int64, np.int64))]
+    hot, hot_counts, hot_others = most(counts)
     if order == 3 and len(hot):                                 # a context is not more frequent than its words
-        hot, hot_counts = most(context_counts(rows, hot))
+        hot, hot_counts, hot_others = most(context_counts(rows, hot))
 
     blocks = pair_blocks(rows, hot, buckets, order).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    needs = blocks.mapInArrow(_pair_scores(buckets, hot, hot_counts, least, total), NEEDS).withColumn("first", F.lit(1))
+    needs = blocks.mapInArrow(_pair_scores(buckets, hot, hot_counts, hot_others, least, total, others, order), NEEDS)
+    if order == 3 and held_out is not None:
+        needs = needs.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(
+            _context_scores(buckets, hot, hot_others, others), NEEDS)
     of_bucket = (F.shiftrightunsigned("w", 17) % buckets).cast("int")
-    words_of = counts.groupBy(of_bucket.alias("bucket")).agg(F.collect_list("w").alias("words"), F.collect_list("c").alias("counts"))
-    both = needs.unionByName(words_of.withColumn("first", F.lit(0)), allowMissingColumns=True)
-    dealt = both.repartition(buckets, "bucket").sortWithinPartitions("bucket", "first")
-    sums = dealt.mapInArrow(_word_scores(total), SUMS)
-    scored = sums.repartition("block").sortWithinPartitions("block").mapInArrow(_per_document, "doc_id long, n_words long, log_score double")
-    return scored.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"),
-                         F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words"), 6)).alias("mean_log_score"))
+    words_of = counts.groupBy(of_bucket.alias("bucket")).agg(F.collect_list("w").alias("words"), F.collect_list("c").alias("counts"),
+                                                             F.collect_list("t").alias("others"))
+    both = needs.unionByName(words_of.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    dealt = both.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    sums = dealt.mapInArrow(_word_scores(total, others), SUMS)
+    scored = sums.repartition("block").sortWithinPartitions("block").mapInArrow(_per_document, SCORED)
+    columns = ["doc_id", "n_words", F.round("log_score", 6).alias("log_score"),
+               F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words"), 6)).alias("mean_log_score")]
+    if held_out is not None:
+        columns += ["held_out", F.round("held_out_log_score", 6).alias("held_out_log_score")]
+    return scored.select(*columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import (ann, decontaminate, encode, langid, merkle, ngram_lm, packing, repair, repeats, secret_ledger, shards,
                          simhash, token_files, toxicity)
@@ -45,8 +46,9 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff trigram score of every document, by all counts of all documents."""
-    return ngram_lm.score(table(spark, sf_dir, "documents"), order=3, least=1)
+    """Stupid-backoff trigram score of every document, by all counts of all documents; every 20th document also by the counts
+    of the others, where its n-grams back off."""
+    return ngram_lm.score(table(spark, sf_dir, "documents"), order=3, least=1, held_out=F.col("doc_id") % 20 == 0)
 
 
 def op5_multiprobe_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

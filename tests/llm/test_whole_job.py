@@ -135,6 +135,46 @@ def test_no_count_is_left_out(spark, monkeypatch, order):
     assert ngram_lm.score(df.limit(0), order=order, least=1).count() == 0
 
 
+def _backoff_by_others(texts, held, order):
+    """Scores of the held-out texts by counts of the others; a word without a count scores 0.4 / N."""
+    words = [(t or "").encode().lower().split() for t in texts]
+    counted = [x for x, h in zip(words, held) if not h]
+    c = Counter(tuple(x[i:i + n]) for x in counted for n in range(1, order + 1) for i in range(len(x) - n + 1))
+    total = sum(map(len, counted))
+
+    def s(gram):
+        if len(gram) == 1:
+            return max(c[gram], 0.4) / max(total, 1)
+        return c[gram] / c[gram[:-1]] if c[gram] else 0.4 * s(gram[1:])
+    return [sum(math.log(s(tuple(x[max(0, i - order + 1):i + 1]))) for i in range(len(x))) if h else None for x, h in zip(words, held)]
+
+
+@pytest.mark.parametrize("hot", [30, 1000000])
+@pytest.mark.parametrize("order", [2, 3])
+def test_held_out_texts_back_off(spark, monkeypatch, order, hot):
+    monkeypatch.setattr(ngram_lm, "BLOCK_WORDS", 500)
+    monkeypatch.setattr(ngram_lm, "HOT", hot)
+    rnd = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rnd.choices(vocabulary, range(1, 61), k=rnd.randint(1, 40))) for _ in range(90)] + ["of the " * 300] * 2
+    texts += [None, "", " ", "w1", "once", "two words", "W1 w2", "only here three", "of the", "of", "the of the end", "w3 new w5 w6", "w2 once w2 once"]
+    held = [i % 3 == 0 or i > 91 for i in range(len(texts))]
+    df = spark.createDataFrame([(i, t, h or None) for i, (t, h) in enumerate(zip(texts, held))], "doc_id long, text string, h boolean").repartition(3)
+    got = {r["doc_id"]: r for r in ngram_lm.score(df, order=order, least=1, held_out=F.col("h")).collect()}
+    for i, (want, every) in enumerate(zip(_backoff_by_others(texts, held, order), _backoff(texts, order))):
+        assert abs(got[i]["log_score"] - every) < 1e-5 and got[i]["held_out"] == held[i], texts[i]
+        assert got[i]["held_out_log_score"] is None if want is None else abs(got[i]["held_out_log_score"] - want) < 1e-5, texts[i]
+    alone = ngram_lm.score(df.where("doc_id = 99"), order=order, least=1, held_out=F.lit(True)).first()
+    assert abs(alone["held_out_log_score"] - _backoff_by_others([texts[99]], [True], order)[0]) < 1e-5
+
+
+def test_registered_query_backs_off(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r["held_out_log_score"] for r in queries.op4_backoff_lm(spark, SF).collect()}
+    want = _backoff_by_others([r["text"] for r in rows], [r["doc_id"] % 20 == 0 for r in rows], 3)
+    assert all(got[r["doc_id"]] is None if s is None else abs(got[r["doc_id"]] - s) < 1e-4 for r, s in zip(rows, want, strict=True))
+
+
 def test_registered_scores_are_of_trigrams_with_all_counts(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r["doc_id"]: r["log_score"] for r in queries.op4_backoff_lm(spark, SF).collect()}
