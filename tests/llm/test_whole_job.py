@@ -245,3 +245,15 @@ def test_stages_leave_columns_named_like_their_own_alone(spark):
     assert extras(decontaminate.remove(docs, bench)) == {i: x for i, x in given.items() if i != 2}
     clean = secret_ledger.redact(docs)
     assert extras(clean) == given and "hunter2secret" not in clean.where("doc_id = 3").first()["text"]
+
+
+def test_later_stages_do_not_see_what_the_language_stage_drops(spark, tmp_path):
+    import corpus_pipeline
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    more = spark.createDataFrame([(None, t) for t in ALIEN.values()] + [(None, None), (None, "123 456")], "doc_id long, text string")
+    docs = given.select("doc_id", "text", "lang").unionByName(more.selectExpr("doc_id", "text", "cast(null as string) lang"))
+    corpus_pipeline.STAGES[0][1](spark, docs, SF).write.parquet(str(tmp_path / "kept"))
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    packed = corpus_pipeline.pack(spark, kept, SF)
+    assert kept.count() == given.count() < docs.count()
+    assert packed.where("doc_id is null").count() == 0 and corpus_pipeline.pack(spark, docs, SF).where("doc_id is null").count() > 0
