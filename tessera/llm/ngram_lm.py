@@ -24,11 +24,12 @@ holds the distinct pairs of the block, their counts, and which documents have
 them.  Pairs are bucketed by their first word, so a bucket knows ``c(w1)`` and
 ``c(w1 w2)``; words so frequent that one bucket would hold too much (at most
 ``HOT`` of them, by their share of all words) are spread by the whole pair, and
-their counts go along as a small table.  A bucket's task folds its block rows to the
-count table and joins it to them; pairs that back off go on, by their second
+their counts go along as a small table.  A bucket's task counts the pairs of its
+block rows, ``SLICE_PAIRS`` at a time; pairs that back off go on, by their second
 word, to the buckets of the word count table.  What a task yields is one vector
 of sums for each block of documents, so no row per document and n-gram is
-shuffled.
+shuffled.  Within a row pairs ascend, so that first words are kept as differences
+and second ones as places in the row's list of words; all columns are compressed.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -52,50 +54,88 @@ OPEN = 1                    # in place of a second word: a text opens with this
 BACKOFF = 0.4
 HOT = 1000                  # a word is hot if it is one of HOT words or more
 BLOCK_WORDS = 5 << 17       # words of a block of documents
+PIECE_BYTES = 1 << 20       # bytes of text that are split into words at once
+WORD_BYTES = 64             # of a word that are hashed together with other words; longer ones are hashed alone
 BUCKET_BYTES = 16 << 20     # bytes of text per bucket of order 2; half as many at order 3
-KEPT_WORDS = 1 << 17        # words whose hashes are kept in a task
 HELD_BYTES = 64 << 20      # of a bucket's rows that a task holds in memory
+SLICE_PAIRS = 1 << 19       # pairs of a bucket that are counted at once
 PENDING_BYTES = 64 << 20    # sums that a task holds before it passes them on
+PENDING_NEEDS = 1 << 19     # backed-off n-grams that a task holds before it passes them on
+UNIT = 2.0 ** 32            # sums travel as whole numbers of 1 / UNIT
 # ``docs`` (ids, whether known, words) comes with one row of a block; ``doc`` counts within the block.
 # From ``n_main`` on, documents of a block are held out; ``mid``: the middle words of their pairs, ``also``: their second words.
-PAIRS = ("bucket int, block string, n_docs int, n_main int, docs binary, w1 binary, w2 binary, n binary, refs binary, doc binary, "
-         "times binary, mid binary, also binary")
-NEEDS = ("bucket int, kind int, block string, held boolean, n_docs int, docs binary, w binary, mid binary, last binary, refs binary, "
-         "doc binary, times binary, sums binary")
-SUMS = "block string, held boolean, n_docs int, docs binary, sums binary"
+PAIRS = ("bucket int, block long, n_docs int, n_main int, docs binary, w1 binary, words binary, w2 binary, n binary, refs binary, "
+         "doc binary, times binary, mid binary, also binary")
+NEEDS = ("bucket int, kind int, block long, held boolean, docs binary, w binary, mid binary, last binary, blocks binary, doc binary, "
+         "times binary, sums binary")
+SUMS = "block long, held boolean, docs binary, sums binary"
 CONTEXTS, SHORTER, WORDS, TOTALS = 1, 2, 3, 4       # kinds of needs: counts of contexts, n-grams of two words, words, sums
 
 
-class _Hashes(dict):
-    """Word (UTF-8) -> 48-bit hash, never 0 or ``OPEN``."""
+SOLID = np.ones(256, bool)
+SOLID[[*b" \t\n\r\x0b\x0c"]] = False
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+FIRST_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        h = max(xxhash.xxh64_intdigest(word) >> 16, 2)
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[word] = h
-        return h
 
-
-def words(text: bytes | None) -> list[bytes]:
-    """Lower-cased (A-Z) words between ASCII white space."""
-    return text.lower().split() if text else []
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = h * np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def _word_hashes(texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """48-bit hashes, never 0 or ``OPEN``, of the lower-cased (A-Z) words between ASCII white space; how many each text has."""
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    if at[0] == at[-1]:
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    text = texts.buffers()[2].slice(at[0], at[-1] - at[0]).to_pybytes().lower() + bytes(8)
+    at -= at[0]
+    solid = SOLID[np.frombuffer(text, np.uint8)[:-8]]
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    filled = at[:-1] < at[1:]                               # a word does not go on in the next text
+    opens, ends = at[:-1][filled], at[1:][filled] - 1
+    first[opens], last[ends] = solid[opens], solid[ends]
+    starts = np.flatnonzero(first)
+    sizes = np.flatnonzero(last) + 1 - starts
+    eight = np.ndarray(len(solid), "<u8", text, strides=(1,))       # the eight bytes from each place on
+    h = _mix(eight[starts] & FIRST_BYTES[np.minimum(sizes, 8)]) ^ sizes.astype(np.uint64) * SPREAD
+    for k in range(8, WORD_BYTES, 8):
+        on = np.flatnonzero(sizes > k)
+        h[on] = _mix(h[on] * SPREAD ^ eight[starts[on] + k] & FIRST_BYTES[np.minimum(sizes[on] - k, 8)])
+    for i in np.flatnonzero(sizes > WORD_BYTES).tolist():
+        h[i] = xxhash.xxh64_intdigest(text[starts[i]:starts[i] + sizes[i]])
+    return np.maximum(h >> np.uint64(16), np.uint64(2)), np.diff(np.searchsorted(starts, at))
+
+
+def _documents(batches) -> Iterator[tuple[int | None, bool, np.ndarray]]:
+    """``doc_id, held, word hashes`` of each row."""
+    for batch in batches:
+        ids, held = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        texts = batch.column(1).cast(pa.binary()).fill_null(b"")
+        ends, at = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+        while at < len(ids):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE_BYTES, side="right")))
+            found, n = _word_hashes(texts.slice(at, to - at))
+            yield from zip(ids[at:to], held[at:to], np.split(found, np.cumsum(n)[:-1]))
+            at = to
 
 
 def _blocks(batches) -> Iterator[tuple[list, list[np.ndarray], int]]:
     """``(doc_ids, word hashes of each document, number of documents not held out)`` in blocks of about ``BLOCK_WORDS`` words;
     held-out documents come last."""
-    hashes, ids, docs, n = _Hashes(), ([], []), ([], []), 0
-    for batch in batches:
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
-        for doc_id, text, held in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist()):
-            found = words(text)
-            ids[held].append(doc_id)
-            docs[held].append(np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found)))
-            n += len(found)
-            if n >= BLOCK_WORDS:
-                yield ids[0] + ids[1], docs[0] + docs[1], len(ids[0])
-                ids, docs, n = ([], []), ([], []), 0
+    ids, docs, n = ([], []), ([], []), 0
+    for doc_id, held, found in _documents(batches):
+        ids[held].append(doc_id)
+        docs[held].append(found)
+        n += len(found)
+        if n >= BLOCK_WORDS:
+            yield ids[0] + ids[1], docs[0] + docs[1], len(ids[0])
+            ids, docs, n = ([], []), ([], []), 0
     if ids[0] or ids[1]:
         yield ids[0] + ids[1], docs[0] + docs[1], len(ids[0])
 
@@ -104,9 +144,29 @@ def _bucket(w: np.ndarray, n: int) -> np.ndarray:
     return ((w >> np.uint64(17)) % np.uint64(n)).astype(np.int32)
 
 
-def _pair_bucket(w1: np.ndarray, w2: np.ndarray, hot: np.ndarray, n: int) -> np.ndarray:
-    spread = np.isin(w1, hot)
-    return _bucket(np.where(spread, w1 ^ (w2 * np.uint64(0x9E3779B97F4A7C15)), w1), n)
+def _places(table: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each ``w`` in the sorted table, and whether it is there."""
+    if not len(table):
+        return np.zeros(len(w), np.int64), np.zeros(len(w), bool)
+    at = np.minimum(np.searchsorted(table, w), len(table) - 1)
+    return at, table[at] == w
+
+
+def _pair_keys(w1: np.ndarray, w2: np.ndarray, spread: np.ndarray, order: int) -> np.ndarray:
+    """64-bit keys by which pairs are dealt to buckets and ordered in them: that of the first word, of the pair if it is spread."""
+    return np.where(_places(spread, w1)[1], w1 ^ (w2 * SPREAD), w1 << np.uint64(16) if order == 2 else w1)
+
+
+def _order(key: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """Places of the rows in the order of ``key`` and ``more``, which are sorted among equal keys alone."""
+    order = np.argsort(key)
+    found = key[order]
+    same = np.r_[False, found[1:] == found[:-1], False]
+    tied = np.flatnonzero(same[1:] | same[:-1])
+    if len(tied):
+        places = order[tied]
+        order[tied] = places[np.lexsort((*(m[places] for m in more[::-1]), found[tied]))]
+    return order
 
 
 def _contexts(w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
@@ -135,15 +195,26 @@ def _pack(a: np.ndarray) -> bytes:
     return a.tobytes()
 
 
-def _pack48(a: np.ndarray) -> bytes:
-    """Hashes as six bytes each."""
-    return np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def _squeeze(a: np.ndarray) -> bytes:
+    """Numbers byte by byte, the first byte of all before the second, compressed."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes()
+    return len(a).to_bytes(4, "little") + pa.compress(planes, "zstd", asbytes=True) if len(a) else b""
+
+
+def _unfold(b: bytes, kind: type) -> np.ndarray:
+    if not b:
+        return np.zeros(0, kind)
+    n, size = int.from_bytes(b[:4], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(b[4:], n * size, "zstd", asbytes=True), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def _unpack48(b: bytes) -> np.ndarray:
-    wide = np.zeros((len(b) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
-    return wide.view(np.uint64).ravel()
+def _pack_sums(a: np.ndarray) -> bytes:
+    return _squeeze(np.rint(a * -UNIT).astype(np.int64))
+
+
+def _unpack_sums(b: bytes) -> np.ndarray:
+    return _unfold(b, np.int64) / -UNIT
 
 
 def _flat(parts: list[np.ndarray]) -> np.ndarray:
@@ -174,43 +245,79 @@ class _Sums:
     """Sums per document of several blocks (of the held-out ones apart), passed on when they take too much room."""
 
     def __init__(self):
-        self.of: dict[tuple[str, bool], np.ndarray] = {}
-        self.docs: dict[tuple[str, bool], bytes] = {}
+        self.of: dict[tuple[int, bool], np.ndarray] = {}
+        self.docs: dict[tuple[int, bool], bytes] = {}
+        self.single: dict[bool, list[tuple[np.ndarray, ...]]] = {False: [], True: []}
         self.bytes = 0
 
-    def add(self, block: str, held: bool, values: np.ndarray, docs: bytes = b"") -> None:
+    def add(self, block: int, held: bool, values: np.ndarray, docs: bytes = b"") -> None:
         key = block, held
-        if key in self.of:
-            self.of[key] += values
-        else:
-            self.of[key] = np.array(values, dtype=np.float64)
-            self.bytes += 8 * len(values)
+        self.bytes -= 8 * len(self.of.get(key, ()))
+        self.of[key] = _plus(self.of.get(key), values)
+        self.bytes += 8 * len(self.of[key])
         if docs:
             self.docs[key] = docs
 
-    def take(self) -> Iterator[tuple[str, bool, np.ndarray, bytes]]:
+    def add_single(self, held: bool, blocks: np.ndarray, doc: np.ndarray, values: np.ndarray) -> None:
+        """A value for each of some documents of any blocks."""
+        self.single[held].append((blocks, doc, values))
+        self.bytes += 24 * len(doc)
+
+    def take(self) -> Iterator[tuple[int, bool, np.ndarray, bytes]]:
+        for held, parts in self.single.items():
+            if parts:
+                blocks, doc, values = (np.concatenate(x) for x in zip(*parts))
+                order = np.argsort(blocks, kind="stable")
+                blocks, doc, values = blocks[order], doc[order], values[order]
+                edges = np.r_[_runs(blocks), len(blocks)].tolist()
+                for lo, hi in zip(edges, edges[1:]):
+                    self.add(int(blocks[lo]), held, np.bincount(doc[lo:hi], values[lo:hi]))
         for (block, held), values in self.of.items():
             yield block, held, values, self.docs.get((block, held), b"")
-        self.of, self.docs, self.bytes = {}, {}, 0
+        self.of, self.docs, self.single, self.bytes = {}, {}, {False: [], True: []}, 0
 
     def needs(self, buckets: int) -> Iterator[pa.RecordBatch]:
         """The sums as rows that all tasks send to one bucket for a block."""
         for block, held, values, docs in self.take():
-            yield _batch([(zlib.crc32(block.encode()) % buckets, TOTALS, block, held, len(values), docs, b"", b"", b"", b"", b"", b"",
-                           _pack(values))], NEEDS)
-
-
-def _by_bucket(kind: int, block: str, held: bool, n_docs: int, bucket: np.ndarray, doc: np.ndarray, times: np.ndarray,
-               w: np.ndarray, mid: np.ndarray | None = None, last: np.ndarray | None = None) -> pa.RecordBatch:
-    """Needs of a block, one row per bucket; words go as six bytes, contexts (with ``mid`` and ``last``) as eight."""
-    order, out = np.argsort(bucket, kind="stable"), []
-    bucket = bucket[order]
-    for b in np.unique(bucket).tolist():
-        e = order[slice(*np.searchsorted(bucket, [b, b + 1]))]
-        short = [_pack48(x[e]) if x is not None else b"" for x in (mid, last)]
-        out.append((b, kind, block, held, n_docs, b"", _pack48(w[e]) if mid is None else _pack(w[e]), *short,
-                    _pack(np.ones(len(e), np.uint32)), _pack(doc[e].astype(_doc_kind(n_docs))), _pack(times[e].astype(np.int32)), b""))
-    return _batch(out, NEEDS)
+            yield _batch([(zlib.crc32(str(block).encode()) % buckets, TOTALS, block, held, docs, b"", b"", b"", b"", b"", b"",
+                           _pack_sums(values))], NEEDS)
+
+
+def _plus(a: np.ndarray | None, b: np.ndarray) -> np.ndarray:
+    """Sums of which the shorter one has zeros at its end."""
+    if a is None or len(a) < len(b):
+        a, b = np.array(b, dtype=np.float64), a if a is not None else b[:0]
+    a[:len(b)] += b
+    return a
+
+
+class _Needs:
+    """Backed-off n-grams of a task, passed on as one row for each bucket, kind and whether held out."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.of, self.n = buckets, {}, 0
+
+    def add(self, kind: int, held: bool, blocks: np.ndarray | int, doc: np.ndarray, times: np.ndarray, w: np.ndarray,
+            mid: np.ndarray | None = None, last: np.ndarray | None = None) -> None:
+        """``mid`` and ``last``: of n-grams of two words, where ``w`` is the hash of both."""
+        none = np.zeros(0, np.uint64)
+        self.of.setdefault((kind, held), []).append((np.broadcast_to(np.asarray(blocks, np.int64), len(w)), doc.astype(np.uint32),
+                                                     times.astype(np.int32), w, none if mid is None else mid, none if last is None else last))
+        self.n += len(w)
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        for (kind, held), parts in self.of.items():
+            columns = [np.concatenate(x) for x in zip(*parts)]
+            bucket = _bucket(columns[3], self.buckets)
+            order = np.argsort(bucket, kind="stable")
+            bucket = bucket[order]
+            columns, edges, rows = [c[order] if len(c) else c for c in columns], np.r_[_runs(bucket), len(bucket)].tolist(), []
+            for lo, hi in zip(edges, edges[1:]):
+                blocks, doc, times, w, mid, last = (_squeeze(c[lo:hi]) for c in columns)
+                rows.append((int(bucket[lo]), kind, 0, held, b"", w, mid, last, blocks, doc, times, b""))
+            for at in range(0, len(rows), 64):
+                yield _batch(rows[at:at + 64], NEEDS)
+        self.of, self.n = {}, 0
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -283,9 +390,10 @@ def pair_blocks(docs: DataFrame, hot: np.ndarray, buckets: int, order: int = 2)
         for seq, (ids, parts, n_main) in enumerate(_blocks(batches)):
             n_docs, lengths = len(ids), np.array([len(p) for p in parts], np.int64)
             w1, w2, doc, mid, also = pairs_of(parts, lengths)
-            bucket = _pair_bucket(w1, w2, spread, buckets)
-            by = np.lexsort((doc, w2, w1, bucket))
-            bucket, w1, w2, doc = bucket[by], w1[by], w2[by], doc[by]
+            key = _pair_keys(w1, w2, spread, order)
+            by = _order(key, w1, w2, doc)
+            bucket = ((key[by] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+            w1, w2, doc = w1[by], w2[by], doc[by]
             ref = _runs(bucket, w1, w2, doc)                     # one entry per pair and document
             times = _sizes(ref, len(doc)).astype(np.uint32)
             bucket, w1, w2, doc = bucket[ref], w1[ref], w2[ref], doc[ref].astype(_doc_kind(n_docs))
@@ -299,68 +407,67 @@ def pair_blocks(docs: DataFrame, hot: np.ndarray, buckets: int, order: int = 2)
             mid, also = mid[first], also[first]
             told = (_pack(np.array([-1 if i is None else i for i in ids], np.int64))
                     + _pack(np.array([i is not None for i in ids], np.uint8)) + _pack(lengths) + _pack(np.array([n_main])))
-            name = f"{part}-{seq}"
+            name = (part << 32) + seq
             for b in np.unique(bucket).tolist() or [0]:
                 lo, hi = np.searchsorted(bucket, [b, b + 1])
                 e = slice(edges[lo], edges[hi])
                 more = held[lo:hi] & (order == 3)
-                rows.append((b, name, n_docs, n_main, b"" if rows else told, _pack(w1[lo:hi]), _pack48(w2[lo:hi]), _pack(n[lo:hi]),
-                             _pack(refs[lo:hi]), _pack(doc[e]), _pack(times[e]), _pack48(mid[lo:hi][more]),
-                             _pack48(also[lo:hi][more & (w2[lo:hi] == OPEN)])))
+                own, code = np.unique(w2[lo:hi], return_inverse=True)
+                rows.append((b, name, n_docs, n_main, b"" if rows else told, _squeeze(np.diff(w1[lo:hi], prepend=np.uint64(0))),
+                             _squeeze(np.diff(own, prepend=np.uint64(0))), _squeeze(code.astype(_doc_kind(len(own)))), _squeeze(n[lo:hi]),
+                             _squeeze(refs[lo:hi]), _squeeze(doc[e]), _squeeze(times[e]), _squeeze(mid[lo:hi][more]),
+                             _squeeze(also[lo:hi][more & (w2[lo:hi] == OPEN)])))
             for at in range(0, len(rows), 64):
                 yield _batch(rows[at:at + 64], PAIRS)
     return docs.mapInArrow(run, PAIRS)
 
 
-def _merge(tables: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    w1, w2, n, t = (np.concatenate(x) for x in zip(*tables))
-    order = np.lexsort((w2, w1))
-    w1, w2, n, t = w1[order], w2[order], n[order], t[order]
-    starts = _runs(w1, w2)
-    return w1[starts], w2[starts], *(np.add.reduceat(x, starts) if len(starts) else x for x in (n, t))
+def _read_pairs(row: dict) -> dict:
+    """A row of ``pair_blocks`` with its columns as arrays; ``w2`` stays with ``words``, see ``_second``."""
+    words = np.cumsum(_unfold(row["words"], np.uint64), dtype=np.uint64)
+    kinds = {"w2": _doc_kind(len(words)), "n": np.uint32, "refs": np.uint32, "doc": _doc_kind(row["n_docs"]), "times": np.uint32,
+             "mid": np.uint64, "also": np.uint64}
+    w1 = np.cumsum(_unfold(row["w1"], np.uint64), dtype=np.uint64)
+    return {**row, "w1": w1, "words": words} | {k: _unfold(row[k], v) for k, v in kinds.items()}
+
+
+def _second(row: dict, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    return row["words"][row["w2"][lo:hi]]
 
 
 def _context_sums(first: np.ndarray, n: np.ndarray, opens: np.ndarray) -> np.ndarray:
     return np.repeat(np.add.reduceat(np.where(opens, 0, n), first), _sizes(first, len(n))) if len(n) else n
 
 
-def count_table(parts: list[tuple[np.ndarray, ...]], hot: np.ndarray, hot_counts: np.ndarray, hot_others: np.ndarray,
-                least: int, total: int, others: int):
-    """``w1, w2, log(c(w1 w2) / c(w1))`` of a bucket's pairs that are seen ``least`` times; ``log(c(w1) / N)`` where w2 is ``OPEN``.
+def _pair_logs(w1: np.ndarray, w2: np.ndarray, n: np.ndarray, t: np.ndarray, out: np.ndarray, hot: np.ndarray, hot_counts: np.ndarray,
+               hot_others: np.ndarray, least: int, total: int, others: int):
+    """``log(c(w1 w2) / c(w1))`` of each given pair, if it is seen ``least`` times in all rows together, else nan; ``log(c(w1) / N)``
+    where w2 is ``OPEN``.  ``n``: how often a row has the pair, ``t``: in documents that are not held out, ``out``: in others, too.
 
-    Then the same by the documents that are not held out (minus infinity: not seen ``least`` times there), and ``w1``
-    with its count in these, for each that they have.
+    Then the same by the documents that are not held out (minus infinity: not seen ``least`` times there), and the first
+    words that held-out documents have too, with their counts in these.
     """
-    w1, w2, n, t = _merge(parts)
-    first, opens = _runs(w1), w2 == OPEN
+    order = _order(w1, w2)
+    a, b = w1[order], w2[order]
+    pair = _runs(a, b)
+    sizes, a, b = _sizes(pair, len(a)), a[pair], b[pair]
+    n, t = (np.add.reduceat(x[order], pair) if len(pair) else x for x in (n, t))
+    first, opens = _runs(a), b == OPEN
     context, rest = _context_sums(first, n, opens), _context_sums(first, t, opens)
+    at, is_hot = _places(hot, a)
     if len(hot):
-        at = np.minimum(np.searchsorted(hot, w1), len(hot) - 1)
-        context, rest = (np.where(hot[at] == w1, h, c) for h, c in ((hot_counts[at], context), (hot_others[at], rest)))
-    keep = (n >= least) & (w1 != 0) & (w2 != 0)
+        context, rest = (np.where(is_hot, h[at], c) for h, c in ((hot_counts, context), (hot_others, rest)))
+    keep = (n >= least) & (a != 0) & (b != 0)
     share = np.where(opens, context / max(total, 1), n / np.maximum(context, 1))
-    known = np.where(opens, rest, t) >= least
+    known = keep & (np.where(opens, rest, t) >= least)
     share_others = np.where(known, np.where(opens, rest / max(others, 1), t / np.maximum(rest, 1)), 0)
+    logs = np.full(len(w1), np.nan), np.full(len(w1), -np.inf)
     with np.errstate(divide="ignore"):
-        seen = first[rest[first] > 0] if len(first) else first
-        return w1[keep], w2[keep], np.log(share[keep]), np.log(share_others[keep]), w1[seen], rest[seen]
-
-
-def _pair_places(t1: np.ndarray, t2: np.ndarray, w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
-    """Place in the table of each asked pair, -1 where it has none; both are sorted by pair, pairs are distinct."""
-    out = np.full(len(w1), -1, np.int64)
-    low, high = np.searchsorted(t1, w1), np.searchsorted(t1, w1, side="right")
-    active = np.flatnonzero(low < high)
-    low, high, want = low[active], high[active], w2[active]
-    while len(active):                                  # bisection of all second words at once
-        mid = (low + high) // 2
-        found = t2[mid]
-        same = found == want
-        out[active[same]] = mid[same]
-        low, high = np.where(found < want, mid + 1, low), np.where(found < want, high, mid)
-        on = ~same & (low < high)
-        active, low, high, want = active[on], low[on], high[on], want[on]
-    return out
+        logs[0][order] = np.repeat(np.where(keep, np.log(share), np.nan), sizes)
+        logs[1][order] = np.repeat(np.log(share_others), sizes)
+    asked = np.logical_or.reduceat(np.logical_or.reduceat(out[order], pair), first) if len(pair) else out
+    seen = first[asked & (rest[first] > 0)]
+    return *logs, a[seen], rest[seen]
 
 
 class _Held:
@@ -371,7 +478,7 @@ class _Held:
 
     def add(self, row: dict) -> None:
         self.rows.append(row)
-        self.bytes += sum(len(v) for v in row.values() if isinstance(v, bytes))
+        self.bytes += sum(v.nbytes for v in row.values() if isinstance(v, np.ndarray))
         if self.bytes > HELD_BYTES:
             self.file = self.file or tempfile.TemporaryFile()
             pickle.dump(self.rows, self.file)
@@ -392,78 +499,93 @@ class _Held:
 
 def _pair_scores(buckets: int, hot: np.ndarray, hot_counts: np.ndarray, hot_others: np.ndarray, least: int, total: int, others: int,
                  order: int):
-    """Buckets, sorted: the count table of a bucket is folded from its rows, then joined to them.
+    """Buckets, sorted: the pairs of a bucket's rows are counted, then each row is scored.
 
     Sums of the pairs that are in the table stay with their documents; the
     others go on to the bucket of their second word.
     """
+    spread = np.union1d(hot, np.zeros(1, np.uint64))
+
     def run(batches):
-        sums, held, now = _Sums(), None, None
+        sums, needs, held, now = _Sums(), _Needs(buckets), None, None
         for batch in batches:
             for at in range(0, batch.num_rows, 16):
                 for row in batch.slice(at, 16).to_pylist():
                     if row["bucket"] != now:
                         if held:
-                            yield from scored(held, sums)
+                            yield from scored(held, sums, needs)
                         held, now = _Held(), row["bucket"]
-                    held.add(row)
+                    held.add(_read_pairs(row))
         if held:
-            yield from scored(held, sums)
+            yield from scored(held, sums, needs)
+        yield from needs.take()
         yield from sums.needs(buckets)
 
-    def scored(held, sums):
-        parts, n_held, asked = [], 0, []
-        for row in held:
-            n, refs = (np.frombuffer(row[k], np.uint32).astype(np.int64) for k in ("n", "refs"))
-            out = np.frombuffer(row["doc"], _doc_kind(row["n_docs"])) >= row["n_main"]
-            t = n
-            if out.any():
-                t = n - np.add.reduceat(np.frombuffer(row["times"], np.uint32).astype(np.int64) * out, np.cumsum(refs) - refs)
-            parts.append((np.frombuffer(row["w1"], np.uint64), _unpack48(row["w2"]), n, t))
-            n_held += len(parts[-1][0])
-            if n_held > 1 << 19 and len(parts) > 1:
-                parts = [_merge(parts)]
-                n_held = len(parts[0][0]) // 2
-        t1, t2, share, share_others, contexts, context_n = count_table(parts, hot, hot_counts, hot_others, least, total, others)
-        del parts
-        for row in held:
-            n_docs = row["n_docs"]
-            w1, w2 = np.frombuffer(row["w1"], np.uint64), _unpack48(row["w2"])
-            refs, times = np.frombuffer(row["refs"], np.uint32), np.frombuffer(row["times"], np.uint32)
-            doc = np.frombuffer(row["doc"], _doc_kind(n_docs))
-            at = _pair_places(t1, t2, w1, w2)
-            wanted = w2 != 0
-            missing = np.where(wanted & (w1 != 0), np.log(BACKOFF), 0.0)
-            value = np.where(at >= 0, share[at], missing) if len(share) else missing
+    def cut(held) -> np.ndarray:
+        """For each row where its slices begin and end; a first word that is not spread is in one slice."""
+        n = [len(row["w1"]) for row in held]
+        slices = -(-sum(n) // SLICE_PAIRS)
+        if slices <= 1:
+            return np.array([[0, k] for k in n])
+        some = np.sort(np.concatenate([_pair_keys(row["w1"][::64], row["words"][row["w2"][::64]], spread, order) for row in held]))
+        bounds = some[np.arange(1, slices) * len(some) // slices]
+        return np.array([np.r_[0, np.searchsorted(_pair_keys(row["w1"], _second(row), spread, order), bounds), k] for row, k in zip(held, n)])
+
+    def scored(held, sums, needs):
+        cuts = cut(held)
+        logs = [(np.empty(k), np.empty(k)) for k in cuts[:, -1].tolist()]
+        for lows, highs in zip(cuts.T[:-1], cuts.T[1:]):
+            parts = [slice_of(row, lo, hi) for row, lo, hi in zip(held, lows.tolist(), highs.tolist())]
+            share, share_others, contexts, context_n = _pair_logs(*(np.concatenate(x) for x in zip(*parts)), hot, hot_counts, hot_others, least,
+                                                                  total, others)
+            at = 0
+            for (mine, by_others), lo, hi in zip(logs, lows.tolist(), highs.tolist()):
+                mine[lo:hi], by_others[lo:hi] = share[at:at + hi - lo], share_others[at:at + hi - lo]
+                at += hi - lo
+            if len(contexts) and order == 3:
+                bucket = _bucket(contexts, buckets)
+                by = np.argsort(bucket, kind="stable")
+                bucket, contexts, context_n = bucket[by], contexts[by], context_n[by]
+                edges = np.r_[_runs(bucket), len(bucket)].tolist()
+                yield _batch([(int(bucket[a]), CONTEXTS, 0, True, b"", _squeeze(contexts[a:b]), b"", b"", b"", b"", _squeeze(context_n[a:b]), b"")
+                              for a, b in zip(edges, edges[1:])], NEEDS)
+        del cuts
+        for row, (share, share_others) in zip(held, logs):
+            n_docs, w2, refs, times, doc = row["n_docs"], _second(row), row["refs"], row["times"], row["doc"]
+            lacking = np.isnan(share)
+            value = np.where(lacking, np.where((w2 != 0) & (row["w1"] != 0), np.log(BACKOFF), 0.0), share)
             sums.add(row["block"], False, np.bincount(doc, np.repeat(value, refs) * times, minlength=n_docs), row["docs"])
-            if row["n_main"] < n_docs and (doc >= row["n_main"]).any():
-                yield from held_out(row, sums, w1, w2, refs, doc, times, at, share_others)
-                asked.append(np.unique(w1[np.repeat(np.arange(len(refs)), refs)[doc >= row["n_main"]]]))
-            back = np.repeat(wanted & (at < 0), refs)
+            if row["n_main"] < n_docs:
+                held_out(row, sums, needs, w2, share_others)
+            back = np.repeat((w2 != 0) & lacking, refs)
             if back.any():
-                w = np.repeat(w2, refs)[back]
-                yield _by_bucket(WORDS, row["block"], False, n_docs, _bucket(w, buckets), doc[back], times[back], w)
+                needs.add(WORDS, False, row["block"], doc[back], times[back], np.repeat(w2, refs)[back])
+            if needs.n > PENDING_NEEDS:
+                yield from needs.take()
             if sums.bytes > PENDING_BYTES:
                 yield from sums.needs(buckets)
-        if asked and order == 3:
-            mine = np.isin(contexts, np.unique(np.concatenate(asked)))
-            if mine.any():
-                w = contexts[mine]
-                bucket = _bucket(w, buckets)
-                for b in np.unique(bucket).tolist():
-                    here = bucket == b
-                    yield _batch([(b, CONTEXTS, "", True, 0, b"", _pack(w[here]), b"", b"", b"", b"", _pack(context_n[mine][here]), b"")], NEEDS)
         held.close()
 
-    def held_out(row, sums, w1, w2, refs, doc, times, at, share_others):
+    def slice_of(row, lo, hi):
+        """``w1, w2, n, t, out`` of some of a row's pairs, see ``_pair_logs``."""
+        n = row["n"][lo:hi].astype(np.int64)
+        t, out = n, np.zeros(len(n), bool)
+        if row["n_main"] < row["n_docs"] and len(n):
+            edges = np.r_[0, np.cumsum(row["refs"], dtype=np.int64)][lo:hi + 1]
+            entry = slice(edges[0], edges[-1])
+            held = np.add.reduceat(np.where(row["doc"][entry] >= row["n_main"], row["times"][entry], 0).astype(np.int64), edges[:-1] - edges[0])
+            t, out = n - held, held > 0
+        return row["w1"][lo:hi], _second(row, lo, hi), n, t, out
+
+    def held_out(row, sums, needs, w2, share_others):
         """The row's held-out documents by the counts of the others."""
-        block, n_main, n_docs = row["block"], row["n_main"], row["n_docs"] - row["n_main"]
-        entry = np.flatnonzero(doc >= n_main)
+        block, w1, refs, n_docs = row["block"], row["w1"], row["refs"], row["n_docs"] - row["n_main"]
+        entry = np.flatnonzero(row["doc"] >= row["n_main"])
+        if not len(entry):
+            return
         pair = np.repeat(np.arange(len(refs)), refs)[entry]
-        doc, times = doc[entry].astype(np.int64) - n_main, times[entry].astype(np.int64)
-        value = np.full(len(pair), -np.inf)
-        in_table = at[pair] >= 0
-        value[in_table] = share_others[at[pair][in_table]]
+        doc, times = row["doc"][entry].astype(np.int64) - row["n_main"], row["times"][entry].astype(np.int64)
+        value = share_others[pair]
         wanted, known = w2[pair] != 0, np.isfinite(value)
         shorter = wanted & ~known & (w1[pair] != 0)                          # one word of context less
         score = np.where(known, value, np.where(shorter, np.log(BACKOFF), 0.0))
@@ -474,18 +596,17 @@ def _pair_scores(buckets: int, hot: np.ndarray, hot_counts: np.ndarray, hot_othe
         else:
             mid, also = np.zeros(len(refs), np.uint64), np.zeros(len(refs), np.uint64)
             of_pairs = np.unique(pair)
-            mid[of_pairs] = _unpack48(row["mid"])
-            also[of_pairs[w2[of_pairs] == OPEN]] = _unpack48(row["also"])
+            mid[of_pairs] = row["mid"]
+            also[of_pairs[w2[of_pairs] == OPEN]] = row["also"]
             opens = missing & (w2[pair] == OPEN)                             # the others lack the first two words together
             parts = [(opens, mid[pair]), (opens, also[pair]), (missing & (w1[pair] == 0), w2[pair])]
             on = np.flatnonzero(shorter & ~opens)
             if len(on):
                 mid, last = mid[pair][on], w2[pair][on]
-                w = _contexts(mid, last)
-                yield _by_bucket(SHORTER, block, True, n_docs, _bucket(w, buckets), doc[on], times[on], w, mid, last)
+                needs.add(SHORTER, True, block, doc[on], times[on], _contexts(mid, last), mid, last)
         for which, w in parts:
             if which.any():
-                yield _by_bucket(WORDS, block, True, n_docs, _bucket(w[which], buckets), doc[which], times[which], w[which])
+                needs.add(WORDS, True, block, doc[which], times[which], w[which])
     return run
 
 
@@ -493,39 +614,39 @@ def _context_scores(buckets: int, hot: np.ndarray, hot_others: np.ndarray, other
     """Buckets, sorted, counts of contexts first: n-grams of two words that the others have score ``c(w1 w2) / N`` here and
     ``N / c(w1)`` at the word ``w1``; the rest goes on to its last word."""
     def run(batches):
-        sums, now, table, counts = _Sums(), None, [], []
+        sums, needs, now, table, counts = _Sums(), _Needs(buckets), None, [], []
         for batch in batches:
             for at in range(0, batch.num_rows, 16):
                 for row in batch.slice(at, 16).to_pylist():
                     if row["bucket"] != now:
                         now, table, counts = row["bucket"], [hot], [hot_others]
                     if row["kind"] == CONTEXTS:
-                        table.append(np.frombuffer(row["w"], np.uint64))
-                        counts.append(np.frombuffer(row["times"], np.int64))
+                        table.append(_unfold(row["w"], np.uint64))
+                        counts.append(_unfold(row["times"], np.int64))
                     elif row["kind"] == SHORTER:
                         if len(table) > 1 or table[0] is hot:
                             w, place = np.unique(np.concatenate(table), return_index=True)   # of a hot context the first, whole count
                             table, counts = [w], [np.concatenate(counts)[place]]
-                        yield scored(row, table[0], counts[0], sums)
+                        scored(row, table[0], counts[0], sums, needs)
                     elif row["kind"] == TOTALS:
-                        sums.add(row["block"], row["held"], np.frombuffer(row["sums"], np.float64), row["docs"])
+                        sums.add(row["block"], row["held"], _unpack_sums(row["sums"]), row["docs"])
                     else:
                         yield _batch([tuple(row[f.split()[0]] for f in NEEDS.split(", "))], NEEDS)
+                    if needs.n > PENDING_NEEDS:
+                        yield from needs.take()
                     if sums.bytes > PENDING_BYTES:
                         yield from sums.needs(buckets)
+        yield from needs.take()
         yield from sums.needs(buckets)
 
-    def scored(row, table, counts, sums):
-        w, doc = np.frombuffer(row["w"], np.uint64), np.frombuffer(row["doc"], _doc_kind(row["n_docs"]))
-        times = np.frombuffer(row["times"], np.int32)
-        c = np.zeros(len(w), np.int64)
-        if len(table):
-            place = np.minimum(np.searchsorted(table, w), len(table) - 1)
-            c = np.where(table[place] == w, counts[place], 0)
-        value = np.log(np.where(c > 0, c / max(others, 1), BACKOFF))
-        sums.add(row["block"], True, np.bincount(doc, value * times, minlength=row["n_docs"]))
-        word = np.where(c > 0, _unpack48(row["mid"]), _unpack48(row["last"]))
-        return _by_bucket(WORDS, row["block"], True, row["n_docs"], _bucket(word, buckets), doc, np.where(c > 0, -times, times), word)
+    def scored(row, table, counts, sums, needs):
+        w, blocks = _unfold(row["w"], np.uint64), _unfold(row["blocks"], np.int64)
+        doc, times = _unfold(row["doc"], np.uint32), _unfold(row["times"], np.int32)
+        place, known = _places(table, w)
+        c = np.where(known, counts[place], 0) if len(table) else np.zeros(len(w), np.int64)
+        sums.add_single(True, blocks, doc, np.log(np.where(c > 0, c / max(others, 1), BACKOFF)) * times)
+        word = np.where(c > 0, _unfold(row["mid"], np.uint64), _unfold(row["last"], np.uint64))
+        needs.add(WORDS, True, blocks, doc, np.where(c > 0, -times, times), word)
     return run
 
 
@@ -544,17 +665,15 @@ def _word_scores(total: int, others: int):
                     logs = {False: np.log(counts.values.to_numpy(zero_copy_only=False)[order] / total),
                             True: np.log(np.where(t > 0, t, BACKOFF) / max(others, 1))}
                 elif row["kind"] == TOTALS:
-                    sums.add(row["block"], row["held"], np.frombuffer(row["sums"], np.float64), row["docs"])
+                    sums.add(row["block"], row["held"], _unpack_sums(row["sums"]), row["docs"])
                 else:
                     if row["bucket"] != now:
                         raise AssertionError("a word without a count")
-                    w, refs = _unpack48(row["w"]), np.frombuffer(row["refs"], np.uint32)
-                    doc, times = np.frombuffer(row["doc"], _doc_kind(row["n_docs"])), np.frombuffer(row["times"], np.int32)
-                    value = np.repeat(logs[row["held"]][np.searchsorted(known, w)], refs) * times
-                    sums.add(row["block"], row["held"], np.bincount(doc, value, minlength=row["n_docs"]))
+                    value = logs[row["held"]][np.searchsorted(known, _unfold(row["w"], np.uint64))] * _unfold(row["times"], np.int32)
+                    sums.add_single(row["held"], _unfold(row["blocks"], np.int64), _unfold(row["doc"], np.uint32), value)
                 if sums.bytes > PENDING_BYTES:
-                    yield _batch([(b, h, len(v), d, _pack(v)) for b, h, v, d in sums.take()], SUMS)
-        yield _batch([(b, h, len(v), d, _pack(v)) for b, h, v, d in sums.take()], SUMS)
+                    yield _batch([(b, h, d, _pack_sums(v)) for b, h, v, d in sums.take()], SUMS)
+        yield _batch([(b, h, d, _pack_sums(v)) for b, h, v, d in sums.take()], SUMS)
     return run
 
 
@@ -566,23 +685,23 @@ def _per_document(batches):
     now, values, again, docs = None, None, None, b""
 
     def rows():
-        n = len(values)
+        n = len(docs) // 17                                  # what comes after the lengths is shorter
         ids, known, lengths = np.frombuffer(docs[:8 * n], np.int64), docs[8 * n:9 * n], np.frombuffer(docs[9 * n:17 * n], np.int64)
         n_main = int(np.frombuffer(docs[17 * n:], np.int64)[0])
-        more = [None] * n_main + (again.tolist() if again is not None else [0.0] * (n - n_main))
+        more = [None] * n_main + _plus(again, np.zeros(n - n_main)).tolist()
         return _batch([(i if k else None, w, v, m is not None, m)
-                       for i, k, w, v, m in zip(ids.tolist(), known, lengths.tolist(), values.tolist(), more)], SCORED)
+                       for i, k, w, v, m in zip(ids.tolist(), known, lengths.tolist(), _plus(values, np.zeros(n)).tolist(), more)], SCORED)
     for batch in batches:
         for row in batch.to_pylist():
             if row["block"] != now:
                 if now is not None:
                     yield rows()
                 now, values, again, docs = row["block"], None, None, b""
-            found = np.frombuffer(row["sums"], np.float64)
+            found = _unpack_sums(row["sums"])
             if row["held"]:
-                again = found if again is None else again + found
+                again = _plus(again, found)
             else:
-                values = found if values is None else values + found
+                values = _plus(values, found)
             docs = row["docs"] or docs
     if now is not None:
         yield rows()

@@ -3,9 +3,11 @@
 import base64
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,6 +170,58 @@ def test_held_out_texts_back_off(spark, monkeypatch, order, hot):
     assert abs(alone["held_out_log_score"] - _backoff_by_others([texts[99]], [True], order)[0]) < 1e-5
 
 
+@pytest.mark.parametrize("hot", [30, 1000000])
+@pytest.mark.parametrize("order", [2, 3])
+def test_slices_of_a_bucket_give_the_same_scores(spark, monkeypatch, order, hot):
+    for name, few in {"BLOCK_WORDS": 700, "HOT": hot, "SLICE_PAIRS": 60, "PENDING_NEEDS": 25, "PENDING_BYTES": 900, "PIECE_BYTES": 80}.items():
+        monkeypatch.setattr(ngram_lm, name, few)
+    rnd = random.Random(11)
+    vocabulary = [f"w{i}" * (1 + i % 9) for i in range(70)]
+    texts = [" ".join(rnd.choices(vocabulary, range(1, 71), k=rnd.randint(1, 60))) for _ in range(100)]
+    texts += [None, "", "w1", "of the " * 200, "of the " * 200, "new words here", "x" * 200 + " " + "x" * 201]
+    held = [i % 4 == 0 for i in range(len(texts))]
+    df = spark.createDataFrame([(i, t, h) for i, (t, h) in enumerate(zip(texts, held))], "doc_id long, text string, h boolean").repartition(3)
+    got = {r["doc_id"]: r for r in ngram_lm.score(df, order=order, least=1, held_out=F.col("h")).collect()}
+    for i, (want, every) in enumerate(zip(_backoff_by_others(texts, held, order), _backoff(texts, order))):
+        assert abs(got[i]["log_score"] - every) < 1e-5 and got[i]["n_words"] == len((texts[i] or "").split()), texts[i]
+        assert got[i]["held_out_log_score"] is None if want is None else abs(got[i]["held_out_log_score"] - want) < 1e-5, texts[i]
+
+
+def test_words_are_hashed_as_they_are_split():
+    rnd = random.Random(12)
+    odd = [b"", b"  ", b"\t\n", b"a\x00", b"a", b"A\x0bb\x0cC\rd", "É é Ü\u00a0x \u2003".encode(), b"end", b"start end ", b" x" * 50]
+    for n in (1, 7, 8, 9, 15, 16, 17, 63, 64, 65, 72, 200):
+        odd += [b"x" * n, b"X" * n + b" " + b"x" * (n - 1) + b"y", b"y" + b"x" * (n - 1)]
+    texts = odd + [b"".join(rnd.choices([b" ", b"a", b"B", b"\n", b"\xc3\xa9", b"word", b"\x00"], k=40)) for _ in range(500)] + [None]
+    seen = {}
+    for lo in (0, 1, 5):
+        column = pa.array(texts, pa.binary())[lo:]
+        hashes, n = ngram_lm._word_hashes(column.fill_null(b""))
+        words = [w for t in texts[lo:] for w in (t or b"").lower().split()]
+        assert n.tolist() == [len((t or b"").lower().split()) for t in texts[lo:]] and len(hashes) == len(words)
+        for w, h in zip(words, hashes.tolist()):
+            assert seen.setdefault(w, h) == h and 2 <= h < 1 << 48
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_a_bucket_takes_little_room(spark):
+    """Rows of a full bucket (8 MB of text), and what a task needs to score them."""
+    rnd = np.random.default_rng(13)
+    words = np.array([f"word{i}" for i in range(30000)])
+    texts = [" ".join(words[(30000 * rnd.random(500) ** 3).astype(int)]) for _ in range(2000)]
+    n, none, counts = 1_000_000, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    df = spark.createDataFrame([(i, t, i % 20 == 0) for i, t in enumerate(texts)], "doc_id long, text string, held boolean").coalesce(2)
+    rows = ngram_lm.pair_blocks(df, none, 1, 3).toArrow()
+    assert rows.num_rows >= 2 and rows.nbytes < 15 * n, rows.nbytes / n
+    batches = rows.to_batches()
+    tracemalloc.start()
+    out = [(b["kind"].to_pylist(), b.nbytes) for b in ngram_lm._pair_scores(103, none, counts, counts, 1, n, n * 19 // 20, 3)(iter(batches))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 * n, peak / n
+    assert sum(len(kinds) for kinds, _ in out) < 1000                       # one row for each bucket and kind, not for each block
+
+
 def test_registered_query_backs_off(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r["doc_id"]: r["held_out_log_score"] for r in queries.op4_backoff_lm(spark, SF).collect()}
