@@ -9,6 +9,10 @@ keys: few names share one, however many names there are. Names of over
 rarest q-grams instead. Distances are tried one by one, and a name that has two
 suggestions looks no further. The exact distance decides; nothing is left out
 that could be among the first two.
+
+Spark takes a table of exploded keys to be as large as the names that it comes
+from, so it would be sent whole through the driver although it has some fifty
+rows for each name: no join here broadcasts one.
 """
 
 from __future__ import annotations
@@ -47,8 +51,8 @@ def _forms(names: DataFrame, edits: int) -> DataFrame:
 
 
 def _rare_grams(names: DataFrame, rank: DataFrame, edits: int) -> DataFrame:
-    """``name, key``: the hashes of the rarest grams of a long name."""
-    grams = names.filter(F.length("name") > LONGEST).select("name", F.explode(_grams(F.col("name"))).alias("key")).join(rank, "key")
+    """``name, key``: the hashes of the rarest grams of a long name. ``rank`` has every gram; in a left join only it can be broadcast."""
+    grams = names.filter(F.length("name") > LONGEST).select("name", F.explode(_grams(F.col("name"))).alias("key")).join(rank, "key", "left")
     rarest = grams.groupBy("name").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "key"))), 1, Q * edits + 1).alias("g"))
     return rarest.select("name", F.explode(F.transform("g", lambda g: F.xxhash64(g["key"]))).alias("key"))
 
@@ -86,7 +90,7 @@ def suggest_names(unmatched: DataFrame, official: DataFrame, name_col: str, offi
         a = _keys(open_names, rank, edits).withColumnRenamed("name", "source_name")
         b = _keys(names, rank, edits).withColumnRenamed("name", "suggestion")
         near = F.abs(F.length("source_name") - F.length("suggestion")) <= edits
-        pairs = a.join(b, "key").filter(near).select("source_name", "suggestion").distinct()
+        pairs = a.join(b.hint("merge"), "key").filter(near).select("source_name", "suggestion").distinct()
         pairs = pairs.withColumn("edits", F.levenshtein("source_name", "suggestion", edits)).filter("edits >= 0")
         found = _best_two(pairs.join(theirs.withColumnRenamed("name", "suggestion"), "suggestion"))
         if edits < max_edits:

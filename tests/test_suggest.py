@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,3 +75,15 @@ def test_meetings_grow_with_the_names_and_not_with_their_square(spark):
         rank = names.select(F.explode(suggest._grams(F.col("name"))).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
         return suggest._keys(names, rank, 2).groupBy("key").count().selectExpr("sum(count * count)").first()[0] / n ** 2
     assert meetings(40) < 1.5 * meetings(10)
+
+
+def test_exploded_keys_are_not_broadcast(spark):
+    rng = random.Random(3)
+    names = ["".join(rng.choice("ABCDEFGH") for _ in range(n)) for n in [12] * 300 + [40] * 300]
+    official = spark.createDataFrame([(n, "c") for n in names], "o string, c string")
+    found = suggest.suggest_names(spark.createDataFrame([(n[1:],) for n in names], "n string"), official, "n", "o", "c", max_edits=1)
+    assert {(r.source_name, r.suggestion) for r in found.collect() if r.clear} >= {(n[1:], n) for n in names if len(n) == 40}
+    plan = found._jdf.queryExecution().executedPlan().toString()                    # the final one, as it ran
+    joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[key#\d+L?\], \[key#\d+L?\], (\w+)(?:, (\w+))?", plan.split("Initial Plan")[0])
+    assert ("SortMergeJoin", "Inner") in [j[:2] for j in joins]
+    assert {j for j in joins if j[0] == "BroadcastHashJoin"} <= {("BroadcastHashJoin", "LeftOuter", "BuildRight")}
