@@ -10,7 +10,8 @@ The regression values of the languages add up to 1, so the winner's is never
 low: whether a text is in a learned language at all is judged by the share of
 its 3-grams, repeats included, that the learning sample of some language has.
 That share does not fall with the length of a text as one of distinct 3-grams
-would: few of a long text's rare 3-grams are known, but they stay few.
+would: few of a long text's rare 3-grams are known, but they stay few.  Only the
+languages that the regression finds likely count.
 
 n-grams are taken of lower-case letters; every run of other characters is one
 gap.  Letters beyond the ``LETTERS`` most frequent ones of the learning sample
@@ -24,7 +25,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
@@ -36,7 +37,9 @@ LANDMARKS = 32              # of these, landmarks of each language
 LONG_TEXT = 20_000          # characters; longer texts are learned from only if a language has too few others
 RIDGE = 1e-3
 MIN_SHARE = 0.54            # share of a text's 3-grams that some language has; below: none of the learned languages
-SLACK = 0.9                 # with few landmarks: of the share that 95% of the sample's texts reach without themselves
+SLACK = 0.9                 # with few texts of a language: of the share that 95% of them reach without themselves
+FLOOR = 0.2                 # however few: random letters have up to 0.2
+LIKELY = 0.5                # of the winner's regression value: languages with less are not the text's
 BATCH = 256                 # texts of one matrix product
 PIECE = 1 << 20             # characters of a text that are looked at a time
 
@@ -123,7 +126,7 @@ class Known:
     """What the learning sample knows of each language."""
     grams: np.ndarray           # n-grams of all texts of the sample
     owned: np.ndarray           # which of them each language has (languages x grams)
-    least: float                # share of its 3-grams that a text in a learned language has at least
+    least: np.ndarray           # by language: share of its 3-grams that a text in it has at least
 
 
 def kernel(presence: np.ndarray, counts: np.ndarray, landmarks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -184,14 +187,16 @@ def _longest(grams: Grams) -> np.ndarray:
     return grams.heard[int(np.flatnonzero(grams.counts)[-1]) if grams.counts.any() else 0].copy()
 
 
-def _share(heard: np.ndarray, owned: np.ndarray) -> float:
-    """The largest share of the n-grams heard that a language (a row of ``owned``) has."""
-    return float(max(heard[1:][one].sum() for one in owned) / max(1, heard.sum()))
+def _shares(heard: np.ndarray, owned: np.ndarray) -> list[float]:
+    """The share of the n-grams heard that each language (a row of ``owned``) has."""
+    return [float(heard[1:][one].sum() / max(1, heard.sum())) for one in owned]
 
 
 def know(model: Model, texts: list[str], labels: list[str]) -> Known:
-    """The n-grams of each language in the whole learning sample, and the least share that its texts have of those of
-    the other texts: ``MIN_SHARE``, or less where the sample is too small to know most n-grams of its own texts."""
+    """The n-grams of each language in the whole learning sample, and the least share of them that a text in it has:
+    ``MIN_SHARE``, or less (never under ``FLOOR``) for a language of which the sample has several texts but too few to
+    know most n-grams of each other. One language's few texts lower no other's share, and a lone text, which has no
+    others, not its own."""
     plain, sets = Grams(model.letters), []
     for t in texts:
         plain.of(t)
@@ -206,41 +211,65 @@ def know(model: Model, texts: list[str], labels: list[str]) -> Known:
         counting.of(t)
         others = number[k].copy()
         others[np.searchsorted(grams, s)] -= 1                           # a text does not vouch for itself
-        shares.append(_share(_longest(counting), others[None] > 0))
-    return Known(grams, number > 0, min(MIN_SHARE, SLACK * float(np.quantile(shares, 0.05))))
+        shares += _shares(_longest(counting), others[None] > 0)
+    least = np.full(len(model.languages), MIN_SHARE)
+    for k in range(len(least)):
+        own = [share for row, share in zip(rows, shares) if row == k]
+        if len(own) > 1:
+            least[k] = np.clip(SLACK * np.quantile(own, 0.05), FLOOR, MIN_SHARE)
+    return Known(grams, number > 0, least)
 
 
 def learning_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    per_language: int = PER_LANGUAGE) -> list[tuple[str, str]]:
+                    per_language: int = PER_LANGUAGE, last: Column | None = None) -> list[tuple[str, str]]:
     """At most ``per_language`` (text, lang) rows of each language, whole texts, chosen by a hash of the id.
 
-    Rows with a null lang, or with no letter in the text, are not learned from.
+    Rows with a null lang, or with no letter in the text, are not learned from;
+    rows with the condition ``last`` only where a language has too few others.
     """
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    first = Window.partitionBy(lang_col).orderBy(F.length(text_col) > LONG_TEXT, F.xxhash64(F.col(id_col).cast("string")), id_col)
+    order = [F.length(text_col) > LONG_TEXT, F.xxhash64(F.col(id_col).cast("string")), id_col]
+    first = Window.partitionBy(lang_col).orderBy(*([] if last is None else [last]), *order)
     narrow = usable.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language)
     rows = narrow.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l"), "_n").collect()
     return [(r["t"], r["l"]) for r in sorted(rows, key=lambda r: (r["_n"], r["l"]))]
 
 
+def _measure(m, grams: Grams, texts: list[str | None], owned: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """For each text its presence in the vocabulary, the regression value of each language (one matrix product for all),
+    whether it has a letter, and by language the share of its 3-grams that the language has (a row of ``owned``)."""
+    heard = None if owned is None else []
+    rows, counts = _presence(grams, [t or "" for t in texts], m.vocabulary, heard)
+    letters = np.array([any(map(str.isalpha, t or "")) for t in texts])
+    values = kernel(rows, counts, m.landmarks, m.sizes) @ m.weights + m.bias
+    shares = np.zeros(values.shape)
+    if owned is not None:
+        shares = np.array([_shares(h, owned) if has else [0.0] * len(owned) for h, has in zip(heard, letters)])
+    return rows, values, letters, shares
+
+
 def _judge(m, grams: Grams | None, texts: list[str | None], owned: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(language, score, share of its 3-grams that some language has)`` of each text, in one matrix product; the share
     is 0 without ``owned``, the languages' n-grams of those that ``grams`` watches."""
     langs, scores, shares = np.array([UNKNOWN] * len(texts), dtype=object), np.zeros(len(texts)), np.zeros(len(texts))
     if m is None or not len(texts):
         return langs, scores, shares
-    heard = None if owned is None else []
-    rows, counts = _presence(grams, [t or "" for t in texts], m.vocabulary, heard)
-    letters = np.array([any(map(str.isalpha, t or "")) for t in texts])
-    values = kernel(rows, counts, m.landmarks, m.sizes) @ m.weights + m.bias
+    rows, values, letters, by_language = _measure(m, grams, texts, owned)
     best = np.round(values, 9).argmax(axis=1)
     langs[letters] = np.array(m.languages, dtype=object)[best[letters]]
     top = np.clip(values[np.arange(len(texts)), best], 0, 1)
     shared = (rows[:, m.vocabulary != 0]).any(axis=1)                    # the gap alone says nothing
     scores = np.where(letters & shared, np.round(top, 6), 0.0)
-    if owned is not None:
-        shares = np.array([_share(h, owned) if has else 0.0 for h, has in zip(heard, letters)])
-    return langs, scores, shares
+    return langs, scores, by_language.max(axis=1)
+
+
+def _in_learned(m, grams: Grams, texts: list[str | None], owned: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Whether each text is in a learned language: one that the regression finds likely and that has ``least`` of its 3-grams."""
+    if not len(texts):
+        return np.zeros(0, bool)
+    _, values, letters, shares = _measure(m, grams, texts, owned)
+    likely = values >= LIKELY * values.max(axis=1, keepdims=True)        # the values add up to 1, so the largest is positive
+    return letters & (likely & (shares >= least)).any(axis=1)
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -286,29 +315,34 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_known(docs: DataFrame, min_share: float | None = None) -> DataFrame:
-    """The rows of ``docs`` whose text is in a learned language: some language has ``min_share`` of its 3-grams.
-
-    ``min_share`` is ``MIN_SHARE``, or less where the learning sample is too
-    small (see ``know``).  Null and empty texts and texts without a letter are
-    dropped; nothing else is where nothing could be learned (no labelled row).
-    A text of any length is judged as a whole.  A row is judged by its text
-    alone: null and repeated ids do not matter, repeated rows all stay or go.
-    Of languages close to a learned one (Italian, Dutch) most texts stay.
+    """The rows of ``docs`` whose text is in a learned language: one whose regression value is at least ``LIKELY`` of the
+    winner's and that has ``min_share`` of the text's 3-grams.
+
+    Every language that a labelled row with a letter has is learned, from at
+    most ``PER_LANGUAGE`` of its rows: those that ``identify`` learns from, and
+    where they are fewer also those that it holds out.
+    ``min_share`` is ``MIN_SHARE``, or less for a language with too small a
+    learning sample (see ``know``).  Null and empty texts and texts without a
+    letter are dropped; nothing else is where nothing could be learned (no
+    labelled row).  A text of any length is judged as a whole.  A row is judged
+    by its text alone: null and repeated ids do not matter, repeated rows all
+    stay or go.  Of languages close to a learned one (Italian, Dutch) most texts
+    stay.
     """
-    sample = learning_sample(docs.where(~held_out()))
+    sample = learning_sample(docs, last=held_out())
     model = fit([t for t, _ in sample], [lab for _, lab in sample]) if sample else None
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     known = know(model, [t for t, _ in sample], [lab for _, lab in sample])
-    shared = docs.sparkSession.sparkContext.broadcast((vars(model), known.grams, known.owned))
-    place, least = docs.columns.index("text"), known.least if min_share is None else min_share
+    least = known.least if min_share is None else np.full(len(model.languages), min_share)
+    shared = docs.sparkSession.sparkContext.broadcast((vars(model), known.grams, known.owned, least))
+    place = docs.columns.index("text")
 
     def run(batches):
-        values, watched, owned = shared.value
+        values, watched, owned, least = shared.value
         m, grams = SimpleNamespace(**values), Grams(values["letters"], watched)
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 part = batch.slice(at, BATCH)
-                langs, _, shares = _judge(m, grams, part.column(place).to_pylist(), owned)
-                yield part.filter(pa.array((langs != UNKNOWN) & (shares >= least), pa.bool_()))
+                yield part.filter(pa.array(_in_learned(m, grams, part.column(place).to_pylist(), owned, least), pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

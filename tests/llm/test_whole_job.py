@@ -4,6 +4,7 @@ import base64
 import math
 import random
 import tracemalloc
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -87,6 +88,44 @@ def test_a_small_learning_sample_lowers_the_share(spark):
     assert langid.keep_known(few).count() == 6
 
 
+def _with_labels(spark, given, rows):
+    """``given`` and rows of (doc_id, text, lang)."""
+    return given.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"), allowMissingColumns=True)
+
+
+def test_a_language_of_held_out_rows_alone_is_learned(spark):
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    held = [i for i in range(20_000_000, 20_000_100) if zlib.crc32(str(i).encode()) % 3 == 1]
+    polish = [ALIEN["pl"], ALIEN["pl"][:100], ALIEN["pl"][100:]]
+    rows = [(i, t, "pl") for i, t in zip(held, polish)] + [(held[5], ALIEN["ru"], "ru")]
+    aliens = [(None, t, None) for lang, t in ALIEN.items() if lang not in ("pl", "ru")]
+    kept = langid.keep_known(_with_labels(spark, given, rows + aliens)).where("doc_id is null or doc_id >= 20000000").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(r[:2] for r in rows)
+
+
+def test_few_texts_of_other_languages_let_nothing_else_in(spark):
+    given, rnd = spark.read.parquet(f"{SF}/documents.parquet"), random.Random(6)
+    learned = (i for i in range(20_000_000, 20_001_000) if zlib.crc32(str(i).encode()) % 3 != 1)
+    word = lambda letters: "".join(rnd.choice(letters) for _ in range(rnd.randint(3, 8)))
+    lone = [" ".join(word(rnd.sample("bcdfghlmnprst", 4) + ["ö"]) for _ in range(40)) for _ in range(16)]
+    unlike = ["abba " * 12, "cdöc " * 12]                                   # two texts of one language that know nothing of each other
+    rows = [(next(learned), t, f"l{k}") for k, t in enumerate(lone)] + [(next(learned), t, "unlike") for t in unlike]
+    aliens = [(None, t, None) for t in ALIEN.values()]
+    kept = langid.keep_known(_with_labels(spark, given, rows + aliens)).collect()
+    assert [r["text"][:30] for r in kept if r["doc_id"] is None] == []
+    assert len(kept) == given.count() + len(rows)
+
+
+def test_a_text_is_in_a_language_that_the_regression_finds_likely(spark):
+    texts, labels = ["the cat and the dog", "the dog and a cat", "le chat et le chien", "le chien et un chat"], ["en", "en", "fr", "fr"]
+    model = langid.fit(texts, labels)
+    known = langid.know(model, texts, labels)
+    grams = langid.Grams(model.letters, known.grams)
+    no_share_needed, only_french = np.zeros(2), np.array([2.0, 0.0])
+    assert langid._in_learned(model, grams, texts + ["", None, "12"], known.owned, no_share_needed).tolist() == [True] * 4 + [False] * 3
+    assert langid._in_learned(model, grams, texts, known.owned, only_french).tolist() == [False, False, True, True]
+
+
 def _pem(kind, lines, end=True, gap="\n", fields=""):
     rnd = random.Random(lines)
     body = base64.b64encode(rnd.randbytes(48 * lines + 20)).decode()
